@@ -52,8 +52,8 @@ def _sliding_sum_by_panes(df: DataFrame, size: int, slide: int) -> DataFrame:
     return (
         df.groupBy("id", pane.alias("_pane"))
         .agg(F.max("ts").alias("ts"), F.sum("value").alias("value"))
-        .select("id", "ts", "value", (F.col("_pane") - F.explode(offsets)).alias("window_start"))
-        .groupBy("id", "window_start")
+        .withColumn("_offset", F.explode(offsets))
+        .groupBy("id", (F.col("_pane") - F.col("_offset")).alias("window_start"))
         .agg(F.max("ts").alias("ts"), F.sum("value").alias("value"))
         .select("window_start", "ts", "id", "value")
     )
@@ -123,7 +123,7 @@ def with_previous(
     df: DataFrame,
     key: str,
     order: Sequence[str],
-    previous: dict[str, tuple[Column, int]],
+    previous: dict[str, tuple[str, int]],
     max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Rows with values of earlier rows of their key: the count window of n rows

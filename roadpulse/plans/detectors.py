@@ -126,28 +126,19 @@ def accidents(
         from roadpulse.streaming.stateful import stream_accidents
 
         return stream_accidents(rows, rule.same_dir)
+    same = ("pos", "dir") if rule.same_dir else ("pos",)
+    first = ("time", "xway", "seg", "dir")
+    previous = {f"{c}_{n}": (c, n) for c in same for n in (1, 2, 3)}
+    previous |= {f"{c}_3": (c, 3) for c in first}
     rows = rows.select("vid", "time", "seq", "xway", "seg", "dir", "pos")
-    same = F.col("dir") if rule.same_dir else F.lit(0)
-    place = F.struct("pos", same.alias("dir"))
-    framed = with_previous(
-        rows, "vid", ARRIVAL,
-        {
-            "_place1": (place, 1),
-            "_place2": (place, 2),
-            "_place3": (place, 3),
-            "_first": (F.struct("time", "xway", "seg", "dir"), 3),
-        },
-        max_group_rows,
-    )
-    stuck = F.col("_place3").isNotNull()
-    for earlier in ("_place1", "_place2", "_place3"):
-        stuck = stuck & (F.col(earlier) == place)
-    return framed.where(stuck).select(
-        F.col("_first.time").alias("time1"),
+    framed = with_previous(rows, "vid", ARRIVAL, previous, max_group_rows)
+    for c in same:
+        for n in (1, 2, 3):
+            framed = framed.where(F.col(f"{c}_{n}") == F.col(c))
+    return framed.select(
+        F.col("time_3").alias("time1"),
         F.col("time").alias("time2"),
         "vid",
-        F.col("_first.xway").alias("xway"),
-        F.col("_first.seg").alias("seg"),
-        F.col("_first.dir").alias("dir"),
+        *[F.col(f"{c}_3").alias(c) for c in first[1:]],
         "pos",
     )

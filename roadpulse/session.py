@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    # Sessions of a busy vehicle are merged before they are shuffled.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 

@@ -16,6 +16,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores before a fan-out when the input has few splits.
+
+    Large inputs have splits enough and are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def _epoch_seconds(df: DataFrame, name: str) -> Column:
     """Whole seconds since 1970, whatever the session time zone is."""
     ts = F.col(name)
@@ -76,7 +85,7 @@ def lines_from_documents(documents: DataFrame) -> DataFrame:
 
 
 def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports_from_events(_table(spark, sf_dir, "events"))
+    return reports_from_events(_spread(_table(spark, sf_dir, "events"), "event_id"))
 
 
 def sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,4 +93,4 @@ def sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines_from_documents(_table(spark, sf_dir, "documents"))
+    return lines_from_documents(_spread(_table(spark, sf_dir, "documents"), "doc_id"))
