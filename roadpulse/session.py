@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -45,5 +47,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        return tempfile.mkdtemp(prefix=f"roadpulse-{label}-")
+        folder = tempfile.mkdtemp(prefix=f"roadpulse-{label}-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        return folder
     return f"{root.rstrip('/')}/roadpulse-{label}-{uuid.uuid4().hex}"

@@ -21,111 +21,103 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-_ORDER_STATE = "last_a long, last_b long, regressions long"
-
 
 class _Ordered(StatefulProcessor):
-    """Sorts a key's rows and watches their order."""
+    """Sorts a key's rows, watches their order, keeps one state value per key.
+
+    A subclass names the state it adds and turns (rows, that state or None) into
+    (result rows or None, new state).
+    """
+
+    added_state = ""
 
     def __init__(self, order: Sequence[str]):
         self.order = list(order)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("order", _ORDER_STATE)
-
-    def close(self) -> None:
-        pass
+        self.state = handle.getValueState(
+            "state", f"last_a long, last_b long, regressions long, {self.added_state}"
+        )
 
-    def arrange(self, rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows), ignore_index=True)
         batch = batch.sort_values(self.order, kind="stable", ignore_index=True)
-        a, b = self.order[0], self.order[-1]
-        last_a, last_b, late = self.seen.get() if self.seen.exists() else (None, None, 0)
-        end = (int(batch[a].iloc[-1]), int(batch[b].iloc[-1]))
-        if last_a is not None:
-            early = (batch[a] < last_a) | ((batch[a] == last_a) & (batch[b] < last_b))
-            late += int(early.sum())
+        a, b = batch[self.order[0]], batch[self.order[-1]]
+        end, late = (int(a.iloc[-1]), int(b.iloc[-1])), 0
+        old = self.state.get()
+        if old is not None:
+            last_a, last_b, late = old[:3]
+            late += int(((a < last_a) | ((a == last_a) & (b < last_b))).sum())
             end = max(end, (last_a, last_b))
-        self.seen.update((*end, late))
-        return batch
+        result, new = self.advance(key, batch, None if old is None else old[3:])
+        self.state.update((*end, late, *new))
+        if result is not None:
+            yield result
+
+    def close(self) -> None:
+        pass
 
 
 class RollingProcessor(_Ordered):
     """Running min, max, sum or reduce of ``value``."""
 
+    added_state = "ts long, value double"
+
     def __init__(self, kind: str, order: Sequence[str]):
         super().__init__(order)
         self.kind = kind
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.acc = handle.getValueState("acc", "ts long, value double")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = self.arrange(rows)
+    def advance(self, key, batch, old):
         step = {"min": np.minimum, "max": np.maximum}.get(self.kind, np.add)
-        first, before = self.acc.get() if self.acc.exists() else (int(batch["ts"].iloc[0]), None)
         values = batch["value"].to_numpy()
-        if before is not None:
+        if old is None:
+            first = int(batch["ts"].iloc[0])
+        else:
+            first, before = old
             values = np.concatenate([[before], values])
         running = step.accumulate(values)[-len(batch):]
-        self.acc.update((first, float(running[-1])))
         batch["value"] = running
         if self.kind != "reduce":
             batch["ts"] = first
-        yield batch
+        return batch, (first, float(running[-1]))
 
 
 class CountProcessor(_Ordered):
     """Numbers the rows of a key."""
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.rows = handle.getValueState("rows", "n int")
+    added_state = "n int"
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = self.arrange(rows)
-        before = self.rows.get()[0] if self.rows.exists() else 0
-        self.rows.update((before + len(batch),))
-        yield batch.assign(count=np.arange(before + 1, before + len(batch) + 1, dtype="int32"))
+    def advance(self, key, batch, old):
+        before = 0 if old is None else old[0]
+        end = before + len(batch)
+        return batch.assign(count=np.arange(before + 1, end + 1, dtype="int32")), (end,)
 
 
 class StuckVehicleProcessor(_Ordered):
     """Four reports in a row from one place, see ``plans.detectors.accidents``."""
 
     FIELDS = ("time", "seq", "xway", "seg", "dir", "pos")
+    added_state = "tail array<long>"  # the fields of the last three reports, one after the other
 
     def __init__(self, order: Sequence[str], same_dir: bool):
         super().__init__(order)
         self.place = ["pos", "dir"] if same_dir else ["pos"]
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.tail = handle.getListState("tail", ", ".join(f"{c} long" for c in self.FIELDS))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = self.arrange(rows)[list(self.FIELDS)].astype("int64")
-        before = pd.DataFrame(list(self.tail.get()), columns=list(self.FIELDS), dtype="int64")
-        run = pd.concat([before, batch], ignore_index=True)
-        tail = run.tail(3)
-        self.tail.put([tuple(int(v) for v in r) for r in tail.itertuples(index=False)])
-        first, stuck = run.shift(3), np.arange(len(run)) >= max(3, len(before))
-        for n in (1, 2, 3):
-            earlier = run[self.place].shift(n)
-            stuck &= (run[self.place] == earlier).all(axis=1).to_numpy()
-        if stuck.any():
-            first = first[stuck].astype("int64")
-            yield pd.DataFrame(
-                {
-                    "time1": first["time"].to_numpy(),
-                    "time2": run.loc[stuck, "time"].to_numpy(),
-                    "vid": key[0],
-                    "xway": first["xway"].to_numpy(),
-                    "seg": first["seg"].to_numpy(),
-                    "dir": first["dir"].to_numpy(),
-                    "pos": run.loc[stuck, "pos"].to_numpy(),
-                }
-            )
+    def advance(self, key, batch, old):
+        fields = list(self.FIELDS)
+        before = np.array([] if old is None else old[0], dtype="int64").reshape(-1, len(fields))
+        run = np.concatenate([before, batch[fields].to_numpy(dtype="int64")])
+        place = run[:, [fields.index(c) for c in self.place]]
+        tail = (run[-3:].flatten().tolist(),)
+        if len(run) < 4:
+            return None, tail
+        same = (place[3:] == place[2:-1]) & (place[2:-1] == place[1:-2]) & (place[1:-2] == place[:-3])
+        hit = same.all(axis=1)
+        first, last = dict(zip(fields, run[:-3][hit].T)), dict(zip(fields, run[3:][hit].T))
+        found = pd.DataFrame({"time1": first["time"], "time2": last["time"], "vid": key[0]})
+        for c in ("xway", "seg", "dir", "pos"):
+            found[c] = first[c]
+        return (found if len(found) else None), tail
 
 
 def _process(df: DataFrame, key: str, processor: StatefulProcessor, schema: T.StructType) -> DataFrame:
