@@ -42,19 +42,24 @@ class Split:
     rows: DataFrame
     key: str
     order: tuple[str, ...]
-    is_split: bool
+    hot_keys: tuple = ()
+
+    @property
+    def is_split(self) -> bool:
+        return bool(self.hot_keys)
 
     @property
     def keys(self) -> list[str]:
         return [self.key, CHUNK] if self.is_split else [self.key]
 
     @property
-    def hot(self) -> DataFrame:
-        """Rows of the keys that were cut."""
-        return self.rows.where(F.col(CHUNK) > 0)
+    def is_hot(self) -> Column:
+        """Whether a row's key was cut; as a filter it can be pushed to the source."""
+        return F.col(self.key).isin(list(self.hot_keys))
 
-    def finish(self, df: DataFrame) -> DataFrame:
-        return df.drop(CHUNK)
+    @property
+    def hot(self) -> DataFrame:
+        return self.rows.where(self.is_hot)
 
 
 def split_hot_groups(
@@ -66,7 +71,7 @@ def split_hot_groups(
     ``max_group_rows=None`` promises that no key is large and skips the count.
     """
     order = tuple(order)
-    whole = Split(df, key, order, False)
+    whole = Split(df, key, order)
     if max_group_rows is None:
         return whole
     sizes = (
@@ -82,7 +87,7 @@ def split_hot_groups(
     hot = {row[0]: row[1] for row in sizes}
     bounds = _cut_points(df, key, order, hot, max_group_rows)
     chunk = F.when(F.col(key).isin(list(hot)), _rank(df, bounds, key, order) + 1).otherwise(0)
-    return Split(df.withColumn(CHUNK, chunk), key, order, True)
+    return Split(df.withColumn(CHUNK, chunk), key, order, tuple(hot))
 
 
 def _cut_points(
@@ -96,11 +101,10 @@ def _cut_points(
         df.where(F.col(key).isin(list(hot)))
         .select(key, *[F.col(c).cast("long") for c in order])
         .sample(fraction, seed=17)
-        .orderBy(key, *order)
         .collect()
     )
     by_key: dict = {}
-    for row in sample:
+    for row in sorted(sample):  # strings and numbers sort here as they do in Spark
         by_key.setdefault(row[0], []).append(tuple(row))
     bounds = []
     for k, points in by_key.items():
@@ -149,8 +153,6 @@ def with_lookback(split: Split, rows: int, flag: str) -> DataFrame:
     Copies carry ``flag = true`` and are to be dropped after the frame was
     evaluated. At most ``rows`` copies per chunk.
     """
-    if not split.is_split:
-        return split.rows.withColumn(flag, F.lit(False))
     newest = Window.partitionBy(*split.keys).orderBy(*[F.desc(c) for c in split.order])
     by_key = Window.partitionBy(split.key).orderBy(*split.order)
     oldest = Window.partitionBy(*split.keys).orderBy(*split.order)

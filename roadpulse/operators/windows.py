@@ -7,7 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadpulse.operators.hot_groups import MAX_GROUP_ROWS, split_hot_groups, with_lookback
+from roadpulse.operators.hot_groups import (
+    CHUNK,
+    MAX_GROUP_ROWS,
+    split_hot_groups,
+    with_lookback,
+)
 
 _MERGE = {"min": F.min, "max": F.max, "sum": F.sum}
 
@@ -98,14 +103,14 @@ def session_aggregate(
     chunk = Window.partitionBy(*split.keys)
     start = F.col("session_start")
     outer = (start == F.min(start).over(chunk)) | (start == F.max(start).over(chunk))
-    marked = local.withColumn("_edge", outer & (F.col("_chunk") > 0))
-    final = marked.where(~F.col("_edge")).drop("_chunk", "_edge")
+    marked = local.withColumn("_outer", outer)
+    final = marked.where(~(split.is_hot & F.col("_outer"))).drop(CHUNK, "_outer")
 
-    ordered = Window.partitionBy(key).orderBy("session_start", "_chunk")
+    ordered = Window.partitionBy(key).orderBy("session_start", CHUNK)
     reach = F.max("session_end").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
     new = F.when(start <= F.col("_reach"), 0).otherwise(1)
     merged = (
-        marked.where("_edge")
+        marked.where(split.is_hot & F.col("_outer"))
         .withColumn("_reach", reach)
         .withColumn("_n", F.sum(new).over(ordered))
         .groupBy(key, "_n")
@@ -139,4 +144,4 @@ def with_previous(
     out = rows.select(
         "*", *[F.lag(column, n).over(frame).alias(name) for name, (column, n) in previous.items()]
     )
-    return out.where(~F.col("_copy")).drop("_copy", "_chunk") if split.is_split else out
+    return out.where(~F.col("_copy")).drop("_copy", CHUNK) if split.is_split else out

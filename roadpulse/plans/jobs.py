@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from roadpulse.operators.filters import above, fan_out
 from roadpulse.operators.rolling import rolling
 from roadpulse.operators.windows import sliding_sum
 from roadpulse.plans.detectors import accidents, average_speed_fines, speed_fines
-from roadpulse.session import scratch_dir
+from roadpulse.session import drop_folder, scratch_dir
 from roadpulse.sources import readers, writers
 
 # The text the batch word count uses when it is given no file.
@@ -34,24 +35,35 @@ FULL_JOBS = {
 }
 
 
-def share(reports: DataFrame, how: str) -> DataFrame:
-    """Make three readers of one parsed input parse it once.
+@contextmanager
+def shared(reports: DataFrame, how: str = "table") -> Iterator[DataFrame]:
+    """Make several readers of one parsed input parse it once.
 
     ``table`` stages it as Parquet in the shared scratch folder: the detectors
     then read only their columns, their filters are pushed to the files, and it
     outlives lost executors. ``persist`` keeps it in executor memory and disk,
     which suits inputs of cluster-memory size. ``rescan`` reads the source anew
-    each time, best where the source is columnar already.
+    each time, best where the source is columnar already. Staged and persisted
+    data go when the block ends.
     """
+    spark = reports.sparkSession
     if how == "table":
-        path = scratch_dir(reports.sparkSession, "reports")
-        reports.write.parquet(path)
-        return reports.sparkSession.read.schema(reports.schema).parquet(path)
-    if how == "persist":
-        return reports.persist(StorageLevel.MEMORY_AND_DISK)
-    if how == "rescan":
-        return reports
-    raise ValueError(f"unknown way to share {how!r}")
+        path = scratch_dir(spark, "reports")
+        reports.write.mode("overwrite").parquet(path)
+        try:
+            yield spark.read.schema(reports.schema).parquet(path)
+        finally:
+            drop_folder(spark, path)
+    elif how == "persist":
+        kept = reports.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            yield kept
+        finally:
+            kept.unpersist()
+    elif how == "rescan":
+        yield reports
+    else:
+        raise ValueError(f"unknown way to share {how!r}")
 
 
 def telematics(
@@ -60,18 +72,14 @@ def telematics(
 ) -> None:
     """Speed fines, average-speed fines and accidents of one input into three folders."""
     fines, average, stuck, as_tuples = FULL_JOBS[preset]
-    shared = share(reports, sharing)
     folder = out.rstrip("/")
     write_fines = writers.write_tuple_text if as_tuples else writers.write_csv
-    try:
-        write_fines(speed_fines(shared, fines), f"{folder}/speedfines.csv", single_file)
+    with shared(reports, sharing) as rows:
+        write_fines(speed_fines(rows, fines), f"{folder}/speedfines.csv", single_file)
         writers.write_csv(
-            average_speed_fines(shared, average), f"{folder}/avgspeedfines.csv", single_file
+            average_speed_fines(rows, average), f"{folder}/avgspeedfines.csv", single_file
         )
-        writers.write_csv(accidents(shared, stuck), f"{folder}/accidents.csv", single_file)
-    finally:
-        if sharing == "persist":
-            shared.unpersist()
+        writers.write_csv(accidents(rows, stuck), f"{folder}/accidents.csv", single_file)
 
 
 def all_findings(reports: DataFrame, preset: str = "telematics") -> DataFrame:
@@ -142,13 +150,13 @@ def radar(spark: SparkSession, source: str, out: str) -> None:
 
 
 def average_speed(spark: SparkSession, source: str, out: str) -> None:
-    reports = share(readers.read_reports(spark, source), "table")
-    writers.write_csv(average_speed_fines(reports, "section60"), out)
+    with shared(readers.read_reports(spark, source)) as reports:
+        writers.write_csv(average_speed_fines(reports, "section60"), out)
 
 
 def find_accidents(spark: SparkSession, source: str, out: str) -> None:
-    reports = share(readers.read_reports(spark, source), "table")
-    writers.write_csv(accidents(reports, "telematics"), out)
+    with shared(readers.read_reports(spark, source)) as reports:
+        writers.write_csv(accidents(reports, "telematics"), out)
 
 
 def full(preset: str) -> Callable[[SparkSession, str, str], None]:

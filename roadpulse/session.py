@@ -18,7 +18,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
-    # Sessions of a busy vehicle are merged before they are shuffled.
+    # Sessions are merged within a task before they are shuffled.
+    "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
@@ -51,3 +52,9 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
         return folder
     return f"{root.rstrip('/')}/roadpulse-{label}-{uuid.uuid4().hex}"
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder wherever it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

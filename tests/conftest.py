@@ -16,9 +16,9 @@ SMALL = "/root/testdata/sf0.001"
 def spark():
     session = build_session(
         "tests",
-        "local[8]",
+        "local[4]",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",

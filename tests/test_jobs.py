@@ -1,4 +1,5 @@
 import glob
+import os
 
 import pytest
 
@@ -50,8 +51,16 @@ def test_other_ways_of_sharing(spark, source, tmp_path, sharing):
     reports = readers.read_reports(spark, source)
     jobs.telematics(reports, str(tmp_path), "opt", sharing=sharing)
     assert lines_of(tmp_path / "accidents.csv") == expected_lines(accidents(reports, "opt"))
-    with pytest.raises(ValueError):
-        jobs.share(reports, "hope")
+    with pytest.raises(ValueError), jobs.shared(reports, "hope"):
+        pass
+
+
+def test_staged_table_is_read_by_columns_and_dropped(spark, source):
+    with jobs.shared(readers.read_reports(spark, source)) as rows:
+        (path,) = {f.rsplit("/", 1)[0].removeprefix("file://") for f in rows.inputFiles()}
+        plan = speed_fines(rows)._jdf.queryExecution().toString()
+        assert os.path.isdir(path) and "GreaterThan(spd,90)" in plan
+    assert not os.path.exists(path)
 
 
 def test_single_detectors(spark, source, tmp_path):

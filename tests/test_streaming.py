@@ -172,16 +172,27 @@ def test_csv_stream_is_strict(spark, tmp_path):
         go()
 
 
-def test_console_stream(spark, tmp_path, capfd):
+def test_console_stream(spark, tmp_path):
+    # The JVM prints to a descriptor of its own, so the query's report is checked instead.
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "0.txt").write_text("fox fox\n")
     lines = readers.stream_lines(spark, path=str(tmp_path / "in"))
-    start_available(writers.stream_console(word_count(lines), "update"), 2).awaitTermination()
-    assert "fox" in capfd.readouterr().out
+    query = start_available(writers.stream_console(word_count(lines), "update"), 2)
+    query.awaitTermination()
+    report = query.recentProgress[0]
+    assert "Console" in report["sink"]["description"]
+    assert (report["numInputRows"], report["sink"]["numOutputRows"]) == (1, 1)
 
 
 def test_restart_leaves_the_sessions_settings_alone(spark, tmp_path):
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    test_console = readers.stream_lines(spark, path=str(tmp_path))
-    start_available(writers.stream_console(test_console), 3).awaitTermination()
+    lines = readers.stream_lines(spark, path=str(tmp_path))
+    start_available(writers.stream_console(lines), 3).awaitTermination()
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_socket_lines_have_the_same_shape(spark):
+    # Nothing connects before the query starts.
+    lines = readers.stream_lines(spark, "socket", host="localhost", port="9999")
+    assert lines.isStreaming and lines.columns == ["value"]
+    assert word_count(lines).columns == ["word", "count"]
