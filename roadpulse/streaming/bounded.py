@@ -44,13 +44,14 @@ class BoundedInput:
         self.spark.createDataFrame([row], self.schema).write.mode("append").parquet(self.end)
 
 
-def start_available(writer: DataStreamWriter, state_partitions: int | None = None) -> StreamingQuery:
+def start_available(
+    spark: SparkSession, writer: DataStreamWriter, state_partitions: int | None = None
+) -> StreamingQuery:
     """Start a query that takes what has arrived and stops.
 
     The number of state partitions is fixed by the first start of a checkpoint;
     ``state_partitions`` sets it for this query alone.
     """
-    spark = SparkSession.getActiveSession()
     name = "spark.sql.shuffle.partitions"
     before = spark.conf.get(name)
     if state_partitions:
@@ -70,11 +71,17 @@ def replay(
 ) -> None:
     """Feed the slices one after the other through one query (same checkpoint).
 
+    The query runs once per slice, when the slice is complete: a query that is
+    always on could see half of one and so break the order of arrival.
     ``sentinel`` closes what is still open at the end.
     """
+
+    def run() -> None:
+        start_available(source.spark, build(source.stream()), state_partitions).awaitTermination()
+
     for piece in slices:
         source.append(piece)
-        start_available(build(source.stream()), state_partitions).awaitTermination()
+        run()
     if sentinel is not None:
         source.finalize(sentinel)
-        start_available(build(source.stream()), state_partitions).awaitTermination()
+        run()

@@ -13,14 +13,19 @@ limit bounds memory.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+# The processors travel with the plan, so executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class _Ordered(StatefulProcessor):
     """Sorts a key's rows, watches their order, keeps one state value per key.

@@ -149,7 +149,7 @@ def test_running_totals_per_word(spark, tmp_path):
     writer = writer.option("checkpointLocation", str(tmp_path / "checkpoint"))
     for i, text in enumerate(["b a b\n", "a, b\n"]):
         (tmp_path / "in" / f"{i}.txt").write_text(text)
-        start_available(writer, 2).awaitTermination()
+        start_available(spark, writer, 2).awaitTermination()
     assert seen == [[("a", 1), ("b", 2)], [("a", 2), ("b", 3)]]
 
 
@@ -162,7 +162,7 @@ def test_csv_stream_is_strict(spark, tmp_path):
         writer = writers.stream_files(
             speed_fines(stream), str(tmp_path / "out"), str(tmp_path / "checkpoint"), "tuple"
         )
-        start_available(writer).awaitTermination()
+        start_available(spark, writer).awaitTermination()
 
     (tmp_path / "in" / "0.csv").write_text(good)
     go()
@@ -177,7 +177,7 @@ def test_console_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "0.txt").write_text("fox fox\n")
     lines = readers.stream_lines(spark, path=str(tmp_path / "in"))
-    query = start_available(writers.stream_console(word_count(lines), "update"), 2)
+    query = start_available(spark, writers.stream_console(word_count(lines), "update"), 2)
     query.awaitTermination()
     report = query.recentProgress[0]
     assert "Console" in report["sink"]["description"]
@@ -187,7 +187,7 @@ def test_console_stream(spark, tmp_path):
 def test_restart_leaves_the_sessions_settings_alone(spark, tmp_path):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     lines = readers.stream_lines(spark, path=str(tmp_path))
-    start_available(writers.stream_console(lines), 3).awaitTermination()
+    start_available(spark, writers.stream_console(lines), 3).awaitTermination()
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
