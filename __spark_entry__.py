@@ -18,6 +18,7 @@ from roadpulse.schemas import REPORT_COLUMNS
 from roadpulse.session import ROCKSDB_PROVIDER, scratch_dir
 from roadpulse.sources import readers, writers
 from roadpulse.streaming.bounded import BoundedInput, replay, with_event_time
+from roadpulse.streaming.by_batch import AccidentsByBatch, ByBatch, RollingByBatch
 from roadpulse.streaming.stateful import stream_rolling
 
 COMPACT = ("xway", "dir", "seg")
@@ -103,14 +104,17 @@ def _tuple_text(spark: SparkSession, sf: str) -> DataFrame:
     return readers.read_lines(spark, path)
 
 
+def _slices(rows: DataFrame, time: str) -> list[DataFrame]:
+    low, high = rows.agg(F.min(time), F.max(time)).first()
+    number = F.floor((F.col(time) - low) / ((high - low) // SLICES + 1))
+    return [rows.where(number == i) for i in range(SLICES)]
+
+
 def _through_stream(spark, label, rows, time, operator, event_time=None, sentinel=None) -> DataFrame:
     """Feed ``rows`` in slices of ``time`` through ``operator`` and return what came out."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     root = scratch_dir(spark, label)
     source = BoundedInput(spark, root, rows.schema)
-    low, high = rows.agg(F.min(time), F.max(time)).first()
-    step = (high - low) // SLICES + 1
-    number = F.floor((F.col(time) - low) / step)
     built = {}
 
     def build(stream: DataFrame):
@@ -119,8 +123,7 @@ def _through_stream(spark, label, rows, time, operator, event_time=None, sentine
         return writers.stream_files(result, f"{root}/out", f"{root}/checkpoint")
 
     replay(
-        source, [rows.where(number == i) for i in range(SLICES)], build, sentinel,
-        spark.sparkContext.defaultParallelism,
+        source, _slices(rows, time), build, sentinel, spark.sparkContext.defaultParallelism
     )
     return spark.read.schema(built["schema"]).parquet(f"{root}/out")
 
@@ -153,6 +156,27 @@ def _stream_rolling_sum(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(result, "value")
 
 
+def _by_batch(spark, label, rows, time, make: Callable[[str], ByBatch], like: DataFrame) -> DataFrame:
+    """Feed ``rows`` in slices of ``time``; the result has the columns of ``like``."""
+    root = scratch_dir(spark, label)
+    target = make(root)
+    replay(BoundedInput(spark, root, rows.schema), _slices(rows, time), target.writer)
+    return target.results(spark, like.schema).drop("batch")
+
+
+def _stream_accidents_by_batch(spark: SparkSession, sf: str) -> DataFrame:
+    rows = views.reports(spark, sf)
+    make = lambda root: AccidentsByBatch(root, "telematics", max_group_rows=SPLIT_ROWS)
+    like = accidents(rows, "telematics", None)
+    return _by_batch(spark, "batch-accidents", rows, "time", make, like)
+
+
+def _stream_rolling_sum_by_batch(spark: SparkSession, sf: str) -> DataFrame:
+    rows = views.sensor(spark, sf)
+    make = lambda root: RollingByBatch(root, "sum", max_group_rows=SPLIT_ROWS)
+    return _rounded(_by_batch(spark, "batch-rolling", rows, "ts", make, rows), "value")
+
+
 def _stream_word_count(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_dir(spark, "stream-words")
     lines = views.lines(spark, sf)
@@ -215,6 +239,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["stream_sliding_sum"] = _stream_sliding_sum
     out["stream_rolling_sum"] = _stream_rolling_sum
     out["stream_word_count"] = _stream_word_count
+    out["stream_accidents_by_batch"] = _stream_accidents_by_batch
+    out["stream_rolling_sum_by_batch"] = _stream_rolling_sum_by_batch
     return out
 
 
@@ -403,4 +429,6 @@ from ({_speed_fines_sql('radar')})"""
     out["stream_sliding_sum"] = out["sliding_sum"]
     out["stream_rolling_sum"] = out["rolling_sum"]
     out["stream_word_count"] = out["word_count"]
+    out["stream_accidents_by_batch"] = out["accidents_telematics"]
+    out["stream_rolling_sum_by_batch"] = out["rolling_sum"]
     return out

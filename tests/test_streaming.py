@@ -13,6 +13,7 @@ from roadpulse.plans.detectors import accidents, average_speed_fines, speed_fine
 from roadpulse.schemas import REPORT, with_seq
 from roadpulse.sources import readers, writers
 from roadpulse.streaming.bounded import BoundedInput, replay, start_available, with_event_time
+from roadpulse.streaming.by_batch import AccidentsByBatch, RollingByBatch
 from roadpulse.streaming.stateful import stream_rolling, stream_running_count
 
 END_OF_REPORTS = {"vid": -1, "time": 2**31 - 1, "seq": 0, "spd": 0, "xway": 0, "lane": 0,
@@ -196,3 +197,23 @@ def test_socket_lines_have_the_same_shape(spark):
     lines = readers.stream_lines(spark, "socket", host="localhost", port="9999")
     assert lines.isStreaming and lines.columns == ["value"]
     assert word_count(lines).columns == ["word", "count"]
+
+
+@pytest.mark.parametrize("preset, size", [("telematics", None), ("opt", 30)])
+def test_accidents_by_batch(spark, tmp_path, reports, preset, size):
+    target = AccidentsByBatch(str(tmp_path), preset, max_group_rows=size)
+    for batch, piece in enumerate(cut(reports, "time", 3)):
+        target(piece, batch)
+        target(piece, batch)  # a batch that runs again changes nothing
+    expected = accidents(reports, preset)
+    assert rows(target.results(spark, expected.schema).drop("batch")) == rows(expected)
+
+
+@pytest.mark.parametrize("kind, size", [("min", None), ("max", 20), ("sum", 20), ("reduce", 20)])
+def test_rolling_by_batch(spark, tmp_path, sensor, kind, size):
+    target = RollingByBatch(str(tmp_path), kind, max_group_rows=size)
+    for batch, piece in enumerate(cut(sensor, "ts", 3)):
+        target(piece, batch)
+    tidy = lambda df: rows(df.withColumn("value", F.round("value", 6)))
+    got = target.results(spark, sensor.schema).drop("batch")
+    assert tidy(got) == tidy(rolling(sensor, kind))
