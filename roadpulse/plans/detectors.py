@@ -76,6 +76,7 @@ def average_speed_fines(
     entry is the report at the first segment with the smallest position, the exit
     the one at the last segment with the largest; the later arrival wins a tie.
     Both must have the same direction; expressway and direction are the entry's.
+    A stream needs an event time, see ``streaming.bounded.with_event_time``.
     """
     rule = AVERAGE_SPEED_RULES[preset]
     at = lambda seg: (F.col("seg") == seg) & (F.col("pos") > 0)

@@ -36,32 +36,33 @@ FULL_JOBS = {
 
 
 @contextmanager
-def shared(reports: DataFrame, how: str = "table") -> Iterator[DataFrame]:
+def shared(records: DataFrame, how: str = "table") -> Iterator[DataFrame]:
     """Make several readers of one parsed input parse it once.
 
-    ``table`` stages it as Parquet in the shared scratch folder: the detectors
-    then read only their columns, their filters are pushed to the files, and it
-    outlives lost executors. ``persist`` keeps it in executor memory and disk,
-    which suits inputs of cluster-memory size. ``rescan`` reads the source anew
-    each time, best where the source is columnar already. Staged and persisted
-    data go when the block ends.
+    Keyed operators read twice, as they count their keys first. ``table`` stages
+    the input as Parquet in the shared scratch folder: readers then take only
+    their columns, their filters are pushed to the files, and it outlives lost
+    executors. ``persist`` keeps it in executor memory and disk, which suits
+    inputs of cluster-memory size. ``rescan`` reads the source anew each time,
+    best where the source is columnar already. Staged and persisted data go when
+    the block ends.
     """
-    spark = reports.sparkSession
+    spark = records.sparkSession
     if how == "table":
-        path = scratch_dir(spark, "reports")
-        reports.write.mode("overwrite").parquet(path)
+        path = scratch_dir(spark, "records")
+        records.write.mode("overwrite").parquet(path)
         try:
-            yield spark.read.schema(reports.schema).parquet(path)
+            yield spark.read.schema(records.schema).parquet(path)
         finally:
             drop_folder(spark, path)
     elif how == "persist":
-        kept = reports.persist(StorageLevel.MEMORY_AND_DISK)
+        kept = records.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             yield kept
         finally:
             kept.unpersist()
     elif how == "rescan":
-        yield reports
+        yield records
     else:
         raise ValueError(f"unknown way to share {how!r}")
 
@@ -128,15 +129,16 @@ def fan_out_sensor(spark: SparkSession, source: str, out: str) -> None:
 
 
 def reduce_sensor(spark: SparkSession, source: str, out: str) -> None:
-    rows = rolling(readers.read_sensor(spark, source), "reduce", order=("seq",))
-    writers.write_csv(rows.select("ts", "id", "value"), out)
+    with shared(readers.read_sensor(spark, source)) as readings:
+        rows = rolling(readings, "reduce", order=("seq",))
+        writers.write_csv(rows.select("ts", "id", "value"), out)
 
 
 def rolling_sensor(spark: SparkSession, source: str) -> None:
     """Print running minimum, maximum and sum."""
-    readings = readers.read_sensor(spark, source)
-    for kind in ("min", "max", "sum"):
-        writers.show(rolling(readings, kind, order=("seq",)).select("ts", "id", "value"))
+    with shared(readers.read_sensor(spark, source)) as readings:
+        for kind in ("min", "max", "sum"):
+            writers.show(rolling(readings, kind, order=("seq",)).select("ts", "id", "value"))
 
 
 def sliding_sensor(spark: SparkSession, source: str, out: str) -> None:
