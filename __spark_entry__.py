@@ -166,14 +166,13 @@ def _by_batch(spark, label, rows, time, make: Callable[[str], ByBatch], like: Da
 
 def _stream_accidents_by_batch(spark: SparkSession, sf: str) -> DataFrame:
     rows = views.reports(spark, sf)
-    make = lambda root: AccidentsByBatch(root, "telematics", max_group_rows=SPLIT_ROWS)
     like = accidents(rows, "telematics", None)
-    return _by_batch(spark, "batch-accidents", rows, "time", make, like)
+    return _by_batch(spark, "batch-accidents", rows, "time", AccidentsByBatch, like)
 
 
 def _stream_rolling_sum_by_batch(spark: SparkSession, sf: str) -> DataFrame:
     rows = views.sensor(spark, sf)
-    make = lambda root: RollingByBatch(root, "sum", max_group_rows=SPLIT_ROWS)
+    make = lambda root: RollingByBatch(root, "sum")
     return _rounded(_by_batch(spark, "batch-rolling", rows, "ts", make, rows), "value")
 
 
