@@ -21,6 +21,14 @@ from roadpulse.streaming.bounded import BoundedInput, replay, with_event_time
 from roadpulse.streaming.by_batch import AccidentsByBatch, ByBatch, RollingByBatch
 from roadpulse.streaming.stateful import stream_rolling
 
+try:  # the training-data operators are optional and come and go together
+    import corpus_pipeline
+    from roadpulse.llm import registry as training_data
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "roadpulse.llm", "roadpulse.llm.registry"):
+        raise
+    training_data = None
+
 COMPACT = ("xway", "dir", "seg")
 SLICES = 2
 # The "split" queries cut every key with more rows than this, as hot keys are cut.
@@ -240,6 +248,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["stream_word_count"] = _stream_word_count
     out["stream_accidents_by_batch"] = _stream_accidents_by_batch
     out["stream_rolling_sum_by_batch"] = _stream_rolling_sum_by_batch
+    if training_data:
+        out |= training_data.queries() | {"pipeline": corpus_pipeline.run}
     return out
 
 
@@ -430,4 +440,8 @@ from ({_speed_fines_sql('radar')})"""
     out["stream_word_count"] = out["word_count"]
     out["stream_accidents_by_batch"] = out["accidents_telematics"]
     out["stream_rolling_sum_by_batch"] = out["rolling_sum"]
+    if training_data:
+        out |= training_data.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            out["pipeline"] = corpus_pipeline.ORACLE_SQL
     return out

@@ -6,10 +6,13 @@ from compare import connect, differences
 import __spark_entry__ as entry_point
 
 QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+if entry_point.training_data:  # tested in tests/llm
+    QUERIES = {n: q for n, q in QUERIES.items() if n not in entry_point.training_data.queries()}
+    QUERIES.pop("pipeline")
 
 
 def test_every_query_has_an_oracle():
-    assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() <= ORACLES.keys()
 
 
 def test_entry(spark, sf):
