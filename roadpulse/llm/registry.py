@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from roadpulse.llm import quality_rules
+from roadpulse.llm import mixing, quality_rules
 
 
 def queries() -> dict:
     return {
         "op6_quality_rules": quality_rules.op6_quality_rules,
+        "op9_mixing": mixing.op9_mixing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op6_quality_rules": quality_rules.SQL,
+        "op9_mixing": mixing.SQL,
     }
