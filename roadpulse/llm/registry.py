@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from roadpulse.llm import mixing, quality_rules
+from roadpulse.llm import line_dedup, mixing, quality_rules
 
 
 def queries() -> dict:
     return {
+        "op1_line_dedup": line_dedup.op1_line_dedup,
         "op6_quality_rules": quality_rules.op6_quality_rules,
         "op9_mixing": mixing.op9_mixing,
     }
@@ -14,6 +15,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_line_dedup": line_dedup.SQL,
         "op6_quality_rules": quality_rules.SQL,
         "op9_mixing": mixing.SQL,
     }
