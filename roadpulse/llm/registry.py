@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from roadpulse.llm import line_dedup, mixing, quality_rules, sentence_pieces
+from roadpulse.llm import line_dedup, mixing, near_dedup, quality_rules, sentence_pieces
 
 
 def queries() -> dict:
     return {
         "op1_line_dedup": line_dedup.op1_line_dedup,
+        "op5_near_dedup": near_dedup.op5_near_dedup,
         "op6_quality_rules": quality_rules.op6_quality_rules,
         "op7_sentence_pieces": sentence_pieces.op7_sentence_pieces,
         "op9_mixing": mixing.op9_mixing,
