@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from roadpulse.llm import line_dedup, mixing, near_dedup, quality_rules, sentence_pieces
+from roadpulse.llm import (
+    license_scans,
+    line_dedup,
+    mixing,
+    near_dedup,
+    quality_rules,
+    sentence_pieces,
+)
 
 
 def queries() -> dict:
     return {
         "op1_line_dedup": line_dedup.op1_line_dedup,
+        "op2_license_scans": license_scans.op2_license_scans,
         "op5_near_dedup": near_dedup.op5_near_dedup,
         "op6_quality_rules": quality_rules.op6_quality_rules,
         "op7_sentence_pieces": sentence_pieces.op7_sentence_pieces,
@@ -18,6 +26,7 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_line_dedup": line_dedup.SQL,
+        "op2_license_scans": license_scans.SQL,
         "op6_quality_rules": quality_rules.SQL,
         "op9_mixing": mixing.SQL,
     }
