@@ -49,3 +49,13 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = f"{scratch_dir(spark, label)}/{label}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remainder(modulus: int) -> Column:
+    """crc32 of the decimal ``doc_id`` modulo ``modulus``: which rows labels are learned from."""
+    return F.crc32(F.col("doc_id").cast("string")) % modulus
+
+
+def sampled_ids(ids: DataFrame, most: int, seed: int) -> DataFrame:
+    """At most ``most`` rows of ``ids`` (which has ``doc_id``), the first in a random order of ids."""
+    return ids.orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(most)

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from roadpulse.llm import (
+    chat_tools,
     license_scans,
     line_dedup,
     mixing,
     near_dedup,
+    quality_classifier,
     quality_rules,
     sentence_pieces,
+    toxicity,
 )
 
 
@@ -16,10 +19,13 @@ def queries() -> dict:
     return {
         "op1_line_dedup": line_dedup.op1_line_dedup,
         "op2_license_scans": license_scans.op2_license_scans,
+        "op3_toxicity": toxicity.op3_toxicity,
         "op5_near_dedup": near_dedup.op5_near_dedup,
         "op6_quality_rules": quality_rules.op6_quality_rules,
         "op7_sentence_pieces": sentence_pieces.op7_sentence_pieces,
+        "op8_chat_tools": chat_tools.op8_chat_tools,
         "op9_mixing": mixing.op9_mixing,
+        "op10_quality_classifier": quality_classifier.op10_quality_classifier,
     }
 
 
@@ -28,5 +34,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_line_dedup": line_dedup.SQL,
         "op2_license_scans": license_scans.SQL,
         "op6_quality_rules": quality_rules.SQL,
+        "op8_chat_tools": chat_tools.SQL,
         "op9_mixing": mixing.SQL,
     }
