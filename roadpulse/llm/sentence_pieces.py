@@ -38,6 +38,7 @@ from roadpulse.llm.common import whole_text
 
 SPACE = "▁"
 CHUNK = 1 << 20
+BATCH = 512
 KEPT_WORDS = 200_000
 KEPT_CHARS = 40
 NO_PAIR = np.int64(2**62)
@@ -89,13 +90,16 @@ class Pieces:
         for piece, i in self.ids.items():
             raw[i] = piece.replace(SPACE, " ").encode()
         self.raw = raw
-        self.is_byte = np.zeros(n, bool)
-        self.is_byte[self.bytes] = True
+        # Symbol of every code point: its piece, or -1 - code point.
+        self.of_point = -1 - np.arange(0x110000, dtype=np.int64)
+        for piece, i in self.ids.items():
+            if len(piece) == 1:
+                self.of_point[ord(piece)] = i
         self.names = [str(i) for i in range(n)]
         runs = [len(p) for p in self.ids if not p.strip(SPACE)]
         self.run = max(runs, default=0)  # spaces in the longest piece of spaces
-        first = self.ids.get(SPACE * self.run)
-        self.cut_runs = self.run > 1 and self.merge([SPACE * (3 * self.run)])[0].tolist() == [first] * 3
+        longest = self.ids.get(SPACE * self.run)
+        self.cut_runs = self.run > 1 and self.merge([SPACE * (3 * self.run)])[0].tolist() == [longest] * 3
 
     def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank (NO_PAIR if none) and id of each merged pair; symbols below 0 merge with none."""
@@ -105,46 +109,62 @@ class Pieces:
         piece = self.merged[at]
         return np.where(ok, self.rank[piece], NO_PAIR), piece
 
-    def merge(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each word, characters outside the vocabulary as -1 - code point."""
-        get = self.ids.get
-        symbol = np.fromiter(
-            (get(c, -1 - ord(c)) for w in words for c in w), np.int64, sum(map(len, words))
-        )
+    def merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words one after another, and how many each word has."""
+        points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        symbol = self.of_point[points]
         word = np.repeat(np.arange(len(words)), [len(w) for w in words])
-        done: list[np.ndarray] = [np.zeros(0, np.int64)] * len(words)
+        ready: list[tuple[np.ndarray, np.ndarray]] = []
         rank = np.full(len(symbol), NO_PAIR)
         piece = np.zeros(len(symbol), np.int64)
         rank[:-1], piece[:-1] = self._pairs(symbol[:-1], symbol[1:])
         rank[:-1][word[1:] != word[:-1]] = NO_PAIR
         while len(symbol):
             starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-            best = np.minimum.reduceat(rank, starts)
             lengths = np.diff(np.r_[starts, len(symbol)])
+            best = np.minimum.reduceat(rank, starts)
             over = best == NO_PAIR
             if over.any():
-                for s, n in zip(starts[over], lengths[over]):
-                    done[word[s]] = symbol[s : s + n]
-                keep = ~np.repeat(over, lengths)
+                out = np.repeat(over, lengths)
+                ready.append((symbol[out], word[out]))
+                keep = ~out
                 symbol, word, rank, piece = symbol[keep], word[keep], rank[keep], piece[keep]
+                best, lengths = best[~over], lengths[~over]
                 if not len(symbol):
                     break
-                best, lengths = best[~over], lengths[~over]
             at = np.flatnonzero(rank == np.repeat(best, lengths))
             at = at[self._chosen(at, word[at], piece[at])]
             symbol[at] = piece[at]
             keep = np.ones(len(symbol), bool)
             keep[at + 1] = False
-            at = at - np.arange(len(at))  # places after compaction
             symbol, word, rank, piece = symbol[keep], word[keep], rank[keep], piece[keep]
+            at = at - np.arange(len(at))  # places after compaction
             # Only pairs that begin at a merged symbol or just before it have changed.
-            touched = np.unique(np.r_[at, at - 1])
-            touched = touched[touched >= 0]
-            inner = touched[touched < len(symbol) - 1]
-            rank[touched] = NO_PAIR
-            new_rank, piece[inner] = self._pairs(symbol[inner], symbol[inner + 1])
-            rank[inner] = np.where(word[inner] == word[inner + 1], new_rank, NO_PAIR)
-        return done
+            changed = np.zeros(len(symbol), bool)
+            changed[at] = True
+            changed[at[at > 0] - 1] = True
+            rank[changed] = NO_PAIR
+            changed[-1] = False
+            inner = np.flatnonzero(changed)
+            inner = inner[word[inner] == word[inner + 1]]
+            rank[inner], piece[inner] = self._pairs(symbol[inner], symbol[inner + 1])
+        return self._with_bytes(ready, len(words))
+
+    def _with_bytes(self, ready: list, n_words: int) -> tuple[np.ndarray, np.ndarray]:
+        """Finished symbols in word order; one outside the vocabulary gives an id per byte."""
+        symbol = np.concatenate([r[0] for r in ready]) if ready else np.zeros(0, np.int64)
+        word = np.concatenate([r[1] for r in ready]) if ready else np.zeros(0, np.int64)
+        order = np.argsort(word, kind="stable")
+        symbol, word = symbol[order], word[order]
+        unknown = np.flatnonzero(symbol < 0)
+        if len(unknown):
+            parts = [chr(-1 - s).encode() for s in symbol[unknown].tolist()]
+            times = np.ones(len(symbol), np.int64)
+            times[unknown] = [len(b) for b in parts]
+            known = np.repeat(symbol >= 0, times)
+            symbol, word = np.repeat(symbol, times), np.repeat(word, times)
+            symbol[~known] = self.bytes[np.frombuffer(b"".join(parts), np.uint8)]
+        return symbol, np.bincount(word, minlength=n_words)
 
     def _chosen(self, at: np.ndarray, word: np.ndarray, piece: np.ndarray) -> np.ndarray:
         """Which of the best pairs merge now: every other one of an overlapping run, leftmost
@@ -184,16 +204,6 @@ class Pieces:
             yield self._units(text[low:high])
             low = high
 
-    def with_bytes(self, symbols: np.ndarray) -> list[int]:
-        """Ids, where a character outside the vocabulary gives one id per byte."""
-        out: list[int] = []
-        for s in symbols.tolist():
-            if s >= 0:
-                out.append(s)
-            else:
-                out += self.bytes[list(chr(-1 - s).encode())].tolist()
-        return out
-
     def decode_bytes(self, ids) -> bytes:
         """The bytes of the pieces, without the space that encoding puts in front."""
         out = b"".join([self.raw[i] for i in ids])
@@ -204,33 +214,41 @@ class Pieces:
 
 
 class Encoder:
-    """Ids of texts; frequent words are encoded once."""
+    """Encodes texts in batches; what frequent words give is kept for the next ones."""
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
-        self.known: dict[str, tuple[list[int], str, bytes]] = {}
-
-    def _learn(self, words: set[str]) -> dict:
-        """What ``words`` are encoded as, from earlier batches or now."""
-        new = [w for w in words if w not in self.known]
-        found = {w: self.known[w] for w in words if w in self.known}
-        p = self.pieces
-        for w, symbols in zip(new, p.merge(new)):
-            ids = p.with_bytes(symbols)
-            found[w] = (ids, ",".join([p.names[i] for i in ids]), b"".join([p.raw[i] for i in ids]))
-        if len(self.known) + len(new) > KEPT_WORDS:
-            self.known.clear()
-        self.known.update((w, found[w]) for w in new if len(w) <= KEPT_CHARS)
+        self.known: dict[str, tuple[str, bytes]] = {}
+
+    def encode(self, texts: list[str | None]) -> list[list[int]]:
+        """The ids of each text."""
+        cut = [[w for chunk in self.pieces.chunks(t or "") for w in chunk] for t in texts]
+        words = list(dict.fromkeys(w for units in cut for w in units))
+        ids, counts = self.pieces.merge(words)
+        ends = np.cumsum(counts).tolist()
+        ids, of = ids.tolist(), {}
+        for word, low, high in zip(words, [0, *ends], ends):
+            of[word] = ids[low:high]
+        return [[i for w in units for i in of[w]] for units in cut]
+
+    def _learn(self, words: set[str]) -> dict[str, tuple[str, bytes]]:
+        """Per word its ids in decimal with commas, and the bytes of their pieces."""
+        known, p = self.known, self.pieces
+        found = {w: known[w] for w in words if w in known}
+        new = [w for w in words if w not in found]
+        ids, counts = p.merge(new)
+        ends, ids = np.cumsum(counts).tolist(), ids.tolist()
+        names = [p.names[i] for i in ids]
+        raw = [p.raw[i] for i in ids]
+        low = 0
+        for word, high in zip(new, ends):
+            found[word] = (",".join(names[low:high]), b"".join(raw[low:high]))
+            low = high
+        if len(known) + len(new) > KEPT_WORDS:
+            known.clear()
+        known.update((w, found[w]) for w in new if len(w) <= KEPT_CHARS)
         return found
 
-    def encode(self, text: str | None) -> list[int]:
-        out: list[int] = []
-        for words in self.pieces.chunks(text or ""):
-            found = self._learn(set(words))
-            for w in words:
-                out += found[w][0]
-        return out
-
     def digests(self, texts: list[str | None]) -> list[tuple[int, str, str]]:
         """Per text: how many ids, SHA-256 of the ids in decimal with commas, of the decoded text."""
         cut = [list(self.pieces.chunks(t or "")) if len(t or "") <= CHUNK else None for t in texts]
@@ -244,10 +262,10 @@ class Encoder:
         n, ids, decoded, first = 0, hashlib.sha256(), hashlib.sha256(), True
         for words in chunks:
             found = shared if shared is not None else self._learn(set(words))
-            parts = [found[w] for w in words]
-            n += sum(len(p[0]) for p in parts)
-            ids.update((("" if first else ",") + ",".join([p[1] for p in parts])).encode())
-            raw = b"".join([p[2] for p in parts])
+            names, raw = zip(*map(found.__getitem__, words))
+            names, raw = ",".join(names), b"".join(raw)
+            n += names.count(",") + 1
+            ids.update((names if first else "," + names).encode())
             decoded.update(raw[1:] if first and raw[:1] == b" " else raw)
             first = False
         return n, ids.hexdigest(), decoded.hexdigest()
@@ -282,10 +300,10 @@ def _ids_mapper(model_path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(_local(model_path))
         for batch in batches:
-            ids = [own.encode(t) for t in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch["row"], pa.array(ids, pa.list_(pa.int32()))], ["row", "ids"]
-            )
+            for low in range(0, batch.num_rows, BATCH):
+                part = batch.slice(low, BATCH)
+                ids = pa.array(own.encode(part["text"].to_pylist()), pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([part["row"], ids], ["row", "ids"])
 
     return run
 
@@ -322,8 +340,8 @@ def _digest_mapper(model_path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(_local(model_path))
         for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                part = batch.slice(low, 256)
+            for low in range(0, batch.num_rows, BATCH):
+                part = batch.slice(low, BATCH)
                 n, ids, back = zip(*own.digests(part["text"].to_pylist()))
                 columns = [pa.array(n, pa.int64()), pa.array(ids), pa.array(back)]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
