@@ -8,6 +8,7 @@ from roadpulse.llm import (
     line_dedup,
     mixing,
     near_dedup,
+    projection_forest,
     quality_classifier,
     quality_rules,
     sentence_pieces,
@@ -20,6 +21,7 @@ def queries() -> dict:
         "op1_line_dedup": line_dedup.op1_line_dedup,
         "op2_license_scans": license_scans.op2_license_scans,
         "op3_toxicity": toxicity.op3_toxicity,
+        "op4_projection_forest": projection_forest.op4_projection_forest,
         "op5_near_dedup": near_dedup.op5_near_dedup,
         "op6_quality_rules": quality_rules.op6_quality_rules,
         "op7_sentence_pieces": sentence_pieces.op7_sentence_pieces,
