@@ -79,13 +79,17 @@ def measured(docs: DataFrame, *keep: Column) -> DataFrame:
         F.filter(F.split(text, "\n", -1), lambda line: strip(line) != "").alias("_lines"),
     )
     kept = [c for c in split.columns if c not in ("_text", "_words", "_lines")]
-    window = lambda i: F.xxhash64(F.slice(F.col("_words"), i, F.lit(WINDOW)))
     count = F.size("_words")
+
+    def hashes(all_words: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(all_words) - (WINDOW - 1))
+        return F.transform(starts, lambda i: F.xxhash64(F.slice(all_words, i, F.lit(WINDOW))))
+
     windows = split.withColumn(
         "_windows",
-        F.when(
-            count >= WINDOW, F.transform(F.sequence(F.lit(1), count - (WINDOW - 1)), window)
-        ).otherwise(F.array().cast("array<bigint>")),
+        F.when(count >= WINDOW, let(F.col("_words"), hashes)).otherwise(
+            F.array().cast("array<bigint>")
+        ),
     )
     repeats = F.size(F.array_distinct("_windows")) < F.size("_windows")
     long = {
@@ -97,7 +101,9 @@ def measured(docs: DataFrame, *keep: Column) -> DataFrame:
         "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
         "n_repeat_words": F.when(repeats, _covered(F.col("_windows"))).otherwise(F.lit(0)),
     }
-    return windows.select(*kept, *(long[m].cast("long").alias(m) for m in MEASURES))
+    # A generator, so that a condition on a measurement is not moved below it and worked out anew.
+    values = F.array(F.struct(*(long[m].cast("long").alias(m) for m in MEASURES)))
+    return windows.select(*kept, F.inline(values))
 
 
 def ledger(docs: DataFrame, *keep: str) -> DataFrame:
