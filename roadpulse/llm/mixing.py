@@ -13,8 +13,8 @@ sorted whole: ranks fall into buckets that are summed before the shuffle, and on
 bucket in which the words run out, some BUCKET_ROWS rows, is put in order.
 
 Defined cases. A null text has size 0, and what has size 0 is taken 0 times. A null
-source is a source, the last one. Repeated rows share one rank and so one decision;
-rows of one ``doc_id`` but different size are ordered by size. A null ``doc_id`` is drawn
+source is a source, the last one. Repeated rows share one rank and one decision, that of
+the first of them; rows of one ``doc_id`` but different size are ordered by size. A null ``doc_id`` is drawn
 like the empty id. If all sizes are 0, so are all targets. Other columns are carried
 along untouched by ``mixed`` and not read by ``copies``.
 """
@@ -231,8 +231,9 @@ u as (select doc_id, size, f.source, source_size, target, whole, fraction, rest,
 k as (select *, case when fraction > 0 and size > 0
                      then u / (1 - u) / (fraction / (1 - fraction)) end as place from u),
 b as (select *, coalesce(sum(size) over (partition by source, place is null order by place, doc_id, size
-                   rows between unbounded preceding and 1 preceding), 0) as before from k)
+                   rows between unbounded preceding and 1 preceding), 0) as before from k),
+t as (select *, min(before) over (partition by source, place, doc_id, size) as first_before from b)
 select doc_id, size, source_size, target,
        case when size = 0 then 0 else size * (whole + case when place is not null
-              and before + size / 2.0::double <= rest then 1 else 0 end) end::bigint as taken
-from b"""
+              and first_before + size / 2.0::double <= rest then 1 else 0 end) end::bigint as taken
+from t"""

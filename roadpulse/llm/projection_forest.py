@@ -173,12 +173,18 @@ class _Leaf:
         own = np.einsum("ij,ij->i", x, x)
         rough = np.einsum("ij,ij->i", q, q)[:, None] + own - 2 * q @ x.T
         slack = 1e-9 * (1 + own.max() + np.abs(rough).max())
-        take = min(self.nearest + 1, len(x))  # one more, as a query may meet itself
-        bound = np.partition(rough, take - 1, axis=1)[:, take - 1]
+        rough[np.array(self.ids)[:, None] == ids] = np.inf
+        first = min(self.nearest, len(x))
+        bound = np.partition(rough, first - 1, axis=1)[:, first - 1]
         for i, best in enumerate(self.best):
-            if len(best) == self.nearest:
-                bound[i] = min(bound[i], best[-1][0] ** 2)
-            near = np.flatnonzero((rough[i] <= bound[i] + slack) & (ids != self.ids[i]))
+            full = best[-1][0] ** 2 if len(best) == self.nearest else np.inf
+            limit, take = bound[i], first
+            while True:  # wider where rows of one id crowd the shortlist
+                near = np.flatnonzero((rough[i] <= min(limit, full) + slack) & np.isfinite(rough[i]))
+                if take == len(x) or limit >= full or len(np.unique(ids[near])) >= self.nearest:
+                    break
+                take = min(4 * take, len(x))
+                limit = np.partition(rough[i], take - 1)[take - 1]
             exact = np.sqrt(((x[near] - q[i]) ** 2).sum(1))
             merged: dict[int, float] = {v: d for d, v in best}
             for v, d in zip(ids[near].tolist(), exact.tolist()):
