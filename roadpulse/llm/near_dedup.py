@@ -31,13 +31,12 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roadpulse.llm.common import ascii_lower, staged, whole_text, words
+from roadpulse.llm.common import arrow_batches, ascii_lower, staged, whole_text, words
 from roadpulse.llm.components import components
 
 ROWS, BANDS = 6, 40
@@ -48,6 +47,8 @@ QUERIES = 256
 LAST_ID = 2**63 - 1
 _ODD = np.uint64(0x9E3779B97F4A7C15)  # 2 ** 64 over the golden ratio
 _STEP = 128
+_PART = 500
+BATCH_ROWS = 1000
 
 _random = np.random.default_rng(20240501)
 _FACTORS = _random.integers(0, 2**32, ROWS * BANDS, np.uint64).astype(np.uint32) | np.uint32(1)
@@ -118,7 +119,8 @@ _FEATURES = pa.schema(
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    parts = (b.slice(low, _PART) for b in batches for low in range(0, b.num_rows, _PART))
+    for batch in parts:
         lists = batch["words"]
         flat = lists.flatten().to_numpy()
         ends = np.cumsum(np.diff(lists.offsets.to_numpy()))
@@ -189,8 +191,8 @@ def _with_pivots(members: DataFrame) -> DataFrame:
     )
 
 
-@F.pandas_udf(T.LongType())
-def _differing(left: pd.Series, right: pd.Series) -> pd.Series:
+@F.arrow_udf(T.LongType())
+def _differing(left: pa.Array, right: pa.Array) -> pa.Array:
     """Bits in which two sketches differ, the longer one folded."""
 
     def count(a: bytes, b: bytes) -> int:
@@ -198,12 +200,13 @@ def _differing(left: pd.Series, right: pd.Series) -> pd.Series:
         width = min(x.shape[1], y.shape[1])
         return int(np.bitwise_count(folded(x, width) ^ folded(y, width)).sum())
 
-    return pd.Series([count(a, b) for a, b in zip(left, right)], dtype="int64")
+    return pa.array([count(a.as_py(), b.as_py()) for a, b in zip(left, right)], pa.int64())
 
 
-@F.pandas_udf(T.DoubleType())
-def _limit(n_a: pd.Series, n_b: pd.Series) -> pd.Series:
-    return pd.Series(limit(n_a.to_numpy(), n_b.to_numpy()))
+def _limit() -> Column:
+    """``limit`` as a column."""
+    sampled = F.greatest("n_a", "n_b") > SAMPLE
+    return F.when(sampled, float(limit(SAMPLE + 1, SAMPLE))).otherwise((F.col("n_a") + F.col("n_b")) / 9)
 
 
 def _passing(pairs: DataFrame, reps: DataFrame) -> DataFrame:
@@ -212,12 +215,12 @@ def _passing(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     left = reps.select(F.col("cls").alias("a"), F.col("sketch").alias("s_a"))
     right = reps.select(F.col("cls").alias("b"), F.col("sketch").alias("s_b"))
     both = distinct.join(left, "a").join(right, "b")
-    measured = both.select("a", "b", _differing("s_a", "s_b").alias("bits"), _limit("n_a", "n_b").alias("limit"))
+    measured = both.select("a", "b", _differing("s_a", "s_b").alias("bits"), _limit().alias("limit"))
     return measured.where("bits <= limit")
 
 
-@F.pandas_udf(T.BooleanType())
-def _linked(left: pd.Series, right: pd.Series) -> pd.Series:
+@F.arrow_udf(T.BooleanType())
+def _linked(left: pa.Array, right: pa.Array) -> pa.Array:
     """Whether the full sets reach the threshold. Bytes split and lower as the definition asks."""
 
     def items(text: str) -> set:
@@ -229,7 +232,7 @@ def _linked(left: pd.Series, right: pd.Series) -> pd.Series:
         both = len(x & y)
         return 100 * both >= 80 * (len(x) + len(y) - both)
 
-    return pd.Series([linked(a, b) for a, b in zip(left, right)], dtype=bool)
+    return pa.array([linked(a.as_py(), b.as_py()) for a, b in zip(left, right)], pa.bool_())
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -351,7 +354,12 @@ def _left_over(members: DataFrame, comps: DataFrame, reps: DataFrame) -> DataFra
 
 
 def classes_and_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc, tag, n, cls) of all rows (null ``cls``: no words), and (cls, component, first_doc)."""
+    """(row_id, doc, tag, n, d1, d2) of all rows, and (d1, d2, component_id) of all classes."""
+    with arrow_batches(docs.sparkSession, BATCH_ROWS):
+        return _classes_and_components(docs)
+
+
+def _classes_and_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = staged(features(docs), "features")
     full = rows.where("n > 0")
     classes = staged(
