@@ -10,7 +10,7 @@ contains the merged one has a better or equal rank; else only the leftmost does,
 the order in which one merge at a time would go.
 
 Characters outside the vocabulary become byte pieces. Ids of frequent words are kept for
-the next batches of the task, at most KEPT_WORDS of them.
+the next batches of the task, in two generations of at most KEPT_WORDS.
 
 Defined cases. A null text is an empty one and has no ids. Texts are cut into chunks of
 CHUNK characters at word borders, so one very long text takes no more memory than many
@@ -38,8 +38,8 @@ from roadpulse.llm.common import whole_text
 
 SPACE = "▁"
 CHUNK = 1 << 20
-BATCH = 512
-KEPT_WORDS = 200_000
+BATCH = 256
+KEPT_WORDS = 120_000
 KEPT_CHARS = 40
 NO_PAIR = np.int64(2**62)
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -219,6 +219,7 @@ class Encoder:
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
         self.known: dict[str, tuple[str, bytes]] = {}
+        self.earlier: dict[str, tuple[str, bytes]] = {}
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
         """The ids of each text."""
@@ -233,20 +234,28 @@ class Encoder:
 
     def _learn(self, words: set[str]) -> dict[str, tuple[str, bytes]]:
         """Per word its ids in decimal with commas, and the bytes of their pieces."""
-        known, p = self.known, self.pieces
-        found = {w: known[w] for w in words if w in known}
-        new = [w for w in words if w not in found]
+        p, known, earlier, found, new = self.pieces, self.known, self.earlier, {}, []
+        for w in words:
+            entry = known.get(w)
+            if entry is None:
+                entry = earlier.get(w)
+                if entry is None:
+                    new.append(w)
+                    continue
+                known[w] = entry
+            found[w] = entry
         ids, counts = p.merge(new)
         ends, ids = np.cumsum(counts).tolist(), ids.tolist()
         names = [p.names[i] for i in ids]
         raw = [p.raw[i] for i in ids]
         low = 0
         for word, high in zip(new, ends):
-            found[word] = (",".join(names[low:high]), b"".join(raw[low:high]))
+            found[word] = entry = (",".join(names[low:high]), b"".join(raw[low:high]))
+            if len(word) <= KEPT_CHARS:
+                known[word] = entry
             low = high
-        if len(known) + len(new) > KEPT_WORDS:
-            known.clear()
-        known.update((w, found[w]) for w in new if len(w) <= KEPT_CHARS)
+        if len(known) > KEPT_WORDS:
+            self.known, self.earlier = {}, known
         return found
 
     def digests(self, texts: list[str | None]) -> list[tuple[int, str, str]]:
