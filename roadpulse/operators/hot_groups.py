@@ -3,50 +3,47 @@
 An ordered, per-key computation (a running sum, a row frame, a session) puts all
 rows of a key into one task. That is right for ordinary keys, but one vehicle,
 sensor or word may hold a third of the data. Such keys are cut into *chunks*:
-ranges of the key's own order, none of which spans more than about
-``max_group_rows`` rows. Each operator then works per ``(key, chunk)`` and adds
-what the preceding chunks of that key hand over.
-
-How the cut is found: one column-pruned, map-side-combined count per key names
-the hot keys; a random sample of their order columns gives the cut points. The
-cut points are constants in the plan from then on, so the chunk of a row is a
-pure expression of that row: sampling decides only how even the chunks are, never
-the result, and a lost task recomputes the same chunks.
+ranges of the key's own order of at most ``max_group_rows`` rows. Each operator
+then works per ``(key, chunk)`` and adds what the preceding chunks of that key
+hand over.
+
+How keys are cut: one map-side-combined count per key names the hot ones, in a table
+in the shared folder. Their rows alone are dealt out by ranges of (key, order), sorted
+within a range, numbered, and written with the chunk as a column. There may be any
+number of hot keys and chunks; the driver holds neither. A chunk is written data, so a
+lost task sees the same chunks again. The null key is a key like others.
 """
 
 from __future__ import annotations
 
-import json
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from roadpulse.session import scratch_dir
+
 CHUNK = "_chunk"
 
 # A key with more rows than this is cut.
 MAX_GROUP_ROWS = 4_000_000
-# Both bound what the driver holds and what is broadcast. Keys beyond the first
-# MAX_HOT_KEYS (by size) stay whole: each has less than 1/MAX_HOT_KEYS of the rows.
-MAX_HOT_KEYS = 2_048
-MAX_CHUNKS = 16_384
-SAMPLES_PER_CHUNK = 20
+# monotonically_increasing_id: the partition above, the row within it in these bits.
+_ROW_BITS = 33
 
 
 @dataclass(frozen=True)
 class Split:
-    """Rows with their chunk. ``keys`` are the columns to group or partition by."""
+    """Rows with their chunk (0: the key is whole). ``keys`` are the columns to group by."""
 
     rows: DataFrame
     key: str
     order: tuple[str, ...]
-    hot_keys: tuple = ()
+    hot: DataFrame | None = None
 
     @property
     def is_split(self) -> bool:
-        return bool(self.hot_keys)
+        return self.hot is not None
 
     @property
     def keys(self) -> list[str]:
@@ -54,12 +51,14 @@ class Split:
 
     @property
     def is_hot(self) -> Column:
-        """Whether a row's key was cut; as a filter it can be pushed to the source."""
-        return F.col(self.key).isin(list(self.hot_keys))
+        """Whether a row's key was cut."""
+        return F.col(CHUNK) > 0
 
-    @property
-    def hot(self) -> DataFrame:
-        return self.rows.where(self.is_hot)
+
+def _staged(df: DataFrame, label: str) -> DataFrame:
+    path = f"{scratch_dir(df.sparkSession, label)}/rows"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def split_hot_groups(
@@ -67,84 +66,54 @@ def split_hot_groups(
 ) -> Split:
     """Cut the keys of ``df`` that hold more than ``max_group_rows`` rows.
 
-    ``order`` lists integer columns that put a key's rows into a total order.
+    ``order`` lists columns that put a key's rows into a total order.
     ``max_group_rows=None`` promises that no key is large and skips the count.
     """
     order = tuple(order)
     whole = Split(df, key, order)
     if max_group_rows is None:
         return whole
-    sizes = (
-        df.groupBy(key)
-        .count()
-        .where((F.col("count") > max_group_rows) & F.col(key).isNotNull())
-        .orderBy(F.desc("count"))
-        .limit(MAX_HOT_KEYS)
-        .collect()
-    )
-    if not sizes:
+    sizes = df.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > max_group_rows)
+    keys = _staged(sizes.select(F.col(key).alias("_hot")), "hot-keys")
+    if keys.isEmpty():
         return whole
-    hot = {row[0]: row[1] for row in sizes}
-    bounds = _cut_points(df, key, order, hot, max_group_rows)
-    chunk = F.when(F.col(key).isin(list(hot)), _rank(df, bounds, key, order) + 1).otherwise(0)
-    return Split(df.withColumn(CHUNK, chunk), key, order, tuple(hot))
-
-
-def _cut_points(
-    df: DataFrame, key: str, order: Sequence[str], hot: dict, max_group_rows: int
-) -> list[tuple]:
-    total = sum(hot.values())
-    chunk_rows = max(max_group_rows, math.ceil(total / MAX_CHUNKS))
-    pieces = {k: math.ceil(n / chunk_rows) for k, n in hot.items()}
-    fraction = min(1.0, SAMPLES_PER_CHUNK * sum(pieces.values()) / total)
-    sample = (
-        df.where(F.col(key).isin(list(hot)))
-        .select(key, *[F.col(c).cast("long") for c in order])
-        .sample(fraction, seed=17)
-        .collect()
-    )
-    by_key: dict = {}
-    for row in sorted(sample):  # strings and numbers sort here as they do in Spark
-        by_key.setdefault(row[0], []).append(tuple(row))
-    bounds = []
-    for k, points in by_key.items():
-        step = len(points) / pieces[k]
-        picked = {points[int(i * step)] for i in range(1, pieces[k])}
-        bounds.extend(sorted(picked))
-    return bounds
-
-
-def _rank(df: DataFrame, bounds: list[tuple], key: str, order: Sequence[str]) -> Column:
-    """How many cut points are not after the row: a binary search in a constant."""
-    key_type = df.schema[key].dataType.simpleString()
-    fields = [f"c{i}" for i in range(len(order))]
-    schema = f"array<struct<k:{key_type}," + ",".join(f"{f}:bigint" for f in fields) + ">>"
-    text = json.dumps([dict(zip(["k", *fields], b)) for b in bounds])
-    points = F.from_json(F.lit(text), schema)
-    probe = F.struct(
-        F.col(key).alias("k"), *[F.col(c).cast("long").alias(f) for c, f in zip(order, fields)]
-    )
-    steps = [1 << i for i in reversed(range(max(1, len(bounds).bit_length())))]
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda n, s: F.when(F.get(points, n + s - 1) <= probe, n + s).otherwise(n),
+    same = df[key].eqNullSafe(keys["_hot"])
+    number = F.monotonically_increasing_id()
+    partition = F.shiftright(number, _ROW_BITS)
+    row = number.bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    chunk = F.shiftleft(partition, _ROW_BITS) + F.floor(row / max_group_rows) + 1
+    hot = (
+        df.join(keys, same, "left_semi")
+        .repartitionByRange(key, *order)
+        .sortWithinPartitions(key, *order)
+        .withColumn(CHUNK, chunk)
     )
+    hot = _staged(hot, "hot-rows")
+    cold = df.join(keys, same, "left_anti").withColumn(CHUNK, F.lit(0).cast("long"))
+    return Split(cold.unionByName(hot), key, order, hot)
 
 
 def carry_over(split: Split, aggregates: dict[str, tuple[Column, Column]]) -> DataFrame:
-    """Per chunk of a hot key, what all *earlier* chunks of that key add up to.
+    """Per chunk of a hot key, what all *earlier* chunks of that key add up to: a row
+    ``(_c_key, _c_chunk, ...)`` per key and chunk.
 
     ``aggregates`` maps a name to (aggregate within a chunk, aggregate of the
-    chunk results). At most MAX_CHUNKS + MAX_HOT_KEYS rows, so it is broadcast.
+    chunk results).
     """
     earlier = (
         Window.partitionBy(split.key).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     )
     within = split.hot.groupBy(*split.keys).agg(*[a.alias(n) for n, (a, _) in aggregates.items()])
-    return F.broadcast(
-        within.select(*split.keys, *[m.over(earlier).alias(n) for n, (_, m) in aggregates.items()])
-    )
+    return within.select(
+        F.col(split.key).alias("_c_key"), F.col(CHUNK).alias("_c_chunk"),
+        *[m.over(earlier).alias(n) for n, (_, m) in aggregates.items()],
+    )
+
+
+def with_carry(rows: DataFrame, split: Split, carry: DataFrame) -> DataFrame:
+    """``rows`` with the columns that ``carry_over`` has for their key and chunk."""
+    same = rows[split.key].eqNullSafe(carry["_c_key"]) & (rows[CHUNK] == carry["_c_chunk"])
+    return rows.join(carry, same, "left")
 
 
 def with_lookback(split: Split, rows: int, flag: str) -> DataFrame:

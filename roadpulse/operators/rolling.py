@@ -11,14 +11,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadpulse.operators.hot_groups import MAX_GROUP_ROWS, carry_over, split_hot_groups
+from roadpulse.operators.hot_groups import (
+    MAX_GROUP_ROWS,
+    carry_over,
+    split_hot_groups,
+    with_carry,
+)
 
 _AGGREGATE = {"min": F.min, "max": F.max, "sum": F.sum, "reduce": F.sum}
 _COMBINE = {
     "min": F.least,
     "max": F.greatest,
-    "sum": lambda a, b: F.coalesce(a, F.lit(0.0)) + b,
-    "reduce": lambda a, b: F.coalesce(a, F.lit(0.0)) + b,
+    "sum": lambda a, b: F.coalesce(a + b, a, b),
+    "reduce": lambda a, b: F.coalesce(a + b, a, b),
 }
 KINDS = tuple(_AGGREGATE)
 
@@ -49,12 +54,13 @@ def rolling(
     if split.is_split:
         carry = {"_c_value": (aggregate("value"), aggregate("_c_value"))}
         if kind != "reduce":
-            first = F.min_by("ts", F.struct(*order))
+            first = F.min_by(F.struct("ts"), F.struct(*order))  # a struct, as the time may be null
             carry["_c_ts"] = (first, F.first("_c_ts"))
-        out = out.join(carry_over(split, carry), split.keys, "left")
+        out = with_carry(out, split, carry_over(split, carry))
         out = out.withColumn("_value", combine(F.col("_c_value"), F.col("_value")))
         if kind != "reduce":
-            out = out.withColumn("_ts", F.coalesce("_c_ts", "_ts"))
+            carried = F.col("_c_ts")
+            out = out.withColumn("_ts", F.when(carried.isNotNull(), carried["ts"]).otherwise(F.col("_ts")))
     ts = F.col("ts") if kind == "reduce" else F.col("_ts")
     new = {"ts": ts.alias("ts"), "value": F.col("_value").alias("value")}
     return out.select(*[new.get(c, F.col(c)) for c in df.columns])
@@ -67,12 +73,13 @@ def running_count(
     name: str = "count",
     max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Every row with the number of rows of its key up to and including it."""
+    """Every row with the number (bigint) of rows of its key up to and including it."""
     split = split_hot_groups(df, key, order, max_group_rows)
-    number = F.row_number().over(Window.partitionBy(*split.keys).orderBy(*order))
+    frame = Window.partitionBy(*split.keys).orderBy(*order)
+    number = F.count("*").over(frame.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     if not split.is_split:
         return split.rows.withColumn(name, number)
     carry = carry_over(split, {"_c_rows": (F.count("*"), F.sum("_c_rows"))})
-    total = F.coalesce(F.col("_c_rows"), F.lit(0)).cast("int") + F.col(name)
-    numbered = split.rows.withColumn(name, number).join(carry, split.keys, "left")
+    total = F.coalesce(F.col("_c_rows"), F.lit(0)) + F.col(name)
+    numbered = with_carry(split.rows.withColumn(name, number), split, carry)
     return numbered.select(*df.columns, total.alias(name))

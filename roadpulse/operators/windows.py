@@ -16,9 +16,6 @@ from roadpulse.operators.hot_groups import (
 
 _MERGE = {"min": F.min, "max": F.max, "sum": F.sum}
 
-# From this many windows per row on, rows are summed per slide first.
-PANES_FROM = 5
-
 
 def sliding_sum(
     df: DataFrame, size: int = 3, slide: int = 1, panes: bool | None = None
@@ -31,11 +28,11 @@ def sliding_sum(
 
     Sum and maximum are combined before the shuffle, so a busy id is no hot spot.
     ``panes`` sums per slide first and spreads the sums, not the rows, over the
-    windows; by default where a row lies in PANES_FROM windows or more. A stream
+    windows; it is the default wherever slides fill a window evenly. A stream
     takes the direct form: the watermark closes a window.
     """
     if panes is None:
-        panes = not df.isStreaming and size % slide == 0 and size // slide >= PANES_FROM
+        panes = not df.isStreaming and size % slide == 0
     if panes:
         return _sliding_sum_by_panes(df, size, slide)
     window = F.window(

@@ -86,7 +86,7 @@ def average_speed_fines(
     )
     exit_ = F.struct("pos", "time", "seq", "dir")
     trips = session_aggregate(
-        rule.section(reports), "vid", "time", ARRIVAL, gap_ticks or rule.gap_ticks,
+        rule.section(reports), "vid", "time", ARRIVAL, rule.gap_ticks if gap_ticks is None else gap_ticks,
         {
             "entry": ("min", F.when(at(filters.SECTION_FIRST), entry)),
             "exit": ("max", F.when(at(filters.SECTION_LAST), exit_)),

@@ -47,9 +47,25 @@ def test_small_keys_stay_whole(reports):
     assert not split_hot_groups(reports, "vid", ("time", "seq"), None).is_split
 
 
-def test_cut_points_are_a_constant_in_the_plan(reports):
-    split = split_hot_groups(reports, "vid", ("time", "seq"), 5000)
-    assert "from_json" not in split.rows._jdf.queryExecution().optimizedPlan().toString()
+def test_thousands_of_hot_keys_and_exact_chunks(spark):
+    """No bound on hot keys or chunks: 3,000 keys of 20 rows, cut at 8."""
+    rows_ = spark.range(60_000).selectExpr("id % 3000 as k", "id as at")
+    split = split_hot_groups(rows_, "k", ("at",), 8)
+    assert split.hot.select("k").distinct().count() == 3000
+    sizes = split.rows.groupBy("k", CHUNK).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 8
+    assert split.rows.groupBy(CHUNK).count().agg(F.max("count")).first()[0] <= 8
+
+
+@pytest.mark.parametrize("kind", ["min", "max", "sum", "reduce"])
+def test_types_nulls_and_null_keys_do_not_depend_on_cutting(spark, kind):
+    values = [(i, None if i % 3 == 0 else "a", None if i % 5 == 0 else i % 7, i) for i in range(60)]
+    values += [(None, "a", 3, 100), (None, None, 4, 101)]
+    df = spark.createDataFrame(values, "ts long, id string, value long, seq long")
+    whole, cut = rolling(df, kind, max_group_rows=None), rolling(df, kind, max_group_rows=4)
+    assert whole.dtypes == cut.dtypes
+    key = lambda r: [(v is not None, v) for v in r]
+    assert sorted(map(tuple, whole.collect()), key=key) == sorted(map(tuple, cut.collect()), key=key)
 
 
 def test_one_time_for_a_whole_key(make_sensor):

@@ -109,8 +109,11 @@ def test_one_shuffle_per_keyed_operator(make_sensor, make_reports):
     reports, sensor = make_reports([(1, 1, 95, 0, 0, 1, 1)]), make_sensor(READINGS)
     for df in (
         accidents(reports), average_speed_fines(reports), rolling(sensor, "sum"),
-        sliding_sum(sensor), word_count(sensor.select(F.col("id").alias("value"))),
+        sliding_sum(sensor, panes=False), word_count(sensor.select(F.col("id").alias("value"))),
     ):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange hashpartitioning") == 1
         assert plan.count("Exchange") == 1
+    # By panes: rows are summed per slide, then the sums per window.
+    plan = sliding_sum(sensor)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2
