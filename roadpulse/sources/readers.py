@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,11 +11,9 @@ from pyspark.sql import types as T
 
 from roadpulse.schemas import REPORT, REPORT_COMPACT, SENSOR
 
-# No quoting, and every field is parsed even if a query does not
-# need it, so that a malformed record fails whichever query reads it.
-CSV_OPTIONS = {"mode": "FAILFAST", "quote": "", "header": "false", "columnPruning": "false"}
-
-_NUMBER = {T.ByteType: r"^[+-]?\d+$", T.IntegerType: r"^[+-]?\d+$", T.LongType: r"^[+-]?\d+$"}
+WHOLE_NUMBER = r"^[+-]?\d+$"
+# monotonically_increasing_id: the partition above, the row within it in these bits.
+_ROW_BITS = 33
 
 
 def from_elements(spark: SparkSession, elements: Iterable[str]) -> DataFrame:
@@ -23,8 +22,39 @@ def from_elements(spark: SparkSession, elements: Iterable[str]) -> DataFrame:
     return spark.createDataFrame(rows, "value string, seq long")
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path)
+def read_lines(spark: SparkSession, path: str, numbered: bool = False) -> DataFrame:
+    """``value``, and on demand the arrival number ``seq``."""
+    lines = spark.read.text(path)
+    return lines.withColumn("seq", arrival(lines)) if numbered else lines
+
+
+def arrival(lines: DataFrame) -> Column:
+    """Arrival number of a text file's line: by file name, then by place in the file.
+
+    In one number lie, from the top, the file's place by name, the block that a task
+    reads (in units of the largest block), and the line within the task. Numbers are
+    in order but not without gaps. More files or blocks than the bits hold fail.
+    """
+    spark = lines.sparkSession
+    files = sorted(_plain_path(f) for f in lines.inputFiles())
+    file_bits = max(1, (len(files) - 1).bit_length())
+    block_bits = 63 - _ROW_BITS - file_bits
+    place = F.array_position(F.array(*map(F.lit, files)), _plain(F.col("_metadata.file_path"))) - 1
+    size = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    block = F.floor(F.col("_metadata.file_block_start") / size)
+    fits = (place >= 0) & (block < 1 << block_bits)
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    number = F.shiftleft(F.shiftleft(place, block_bits) + block, _ROW_BITS) + row
+    return F.when(fits, number).otherwise(F.raise_error(F.lit("too many blocks")).cast("long"))
+
+
+def _plain_path(uri: str) -> str:
+    """Without what tells spellings of one path apart: ``file:/a`` and ``file:///a``."""
+    return re.sub(r"^([a-z0-9]+):/+", r"\1:/", uri)
+
+
+def _plain(uri: Column) -> Column:
+    return F.regexp_replace(uri, r"^([a-z0-9]+):/+", "$1:/")
 
 
 def read_reports(
@@ -32,54 +62,50 @@ def read_reports(
 ) -> DataFrame:
     """Position reports with their arrival number ``seq``.
 
-    A malformed, missing or out-of-range field fails the query. The CSV reader
-    also rejects surplus columns and skips blank lines; ``lenient_columns``
-    ignores surplus columns and rejects blank lines.
+    A malformed, missing, surplus or out-of-range field fails the query, whichever
+    columns and rows it uses; blank lines are skipped. ``lenient_columns`` ignores
+    surplus columns and rejects blank lines.
     """
     schema = REPORT_COMPACT if compact else REPORT
     return _read(spark, path, schema, lenient_columns)
 
 
 def read_sensor(spark: SparkSession, path: str, lenient_columns: bool = False) -> DataFrame:
-    """Sensor readings with their arrival number ``seq``."""
+    """Sensor readings with their arrival number ``seq``; the id may be empty."""
     return _read(spark, path, SENSOR, lenient_columns)
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType, lenient: bool) -> DataFrame:
-    if lenient:
-        parsed = split_records(spark.read.text(path), schema)
-    else:
-        parsed = _complete(spark.read.schema(schema).options(**CSV_OPTIONS).csv(path), schema)
-    return parsed.withColumn("seq", F.monotonically_increasing_id())
+    lines = read_lines(spark, path)
+    return parse_records(lines.withColumn("seq", arrival(lines)), schema, lenient)
 
 
-def _complete(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Fail on an empty field, which the CSV reader takes for null.
+def parse_records(lines: DataFrame, schema: T.StructType, lenient: bool = False) -> DataFrame:
+    """Records from text lines ``value`` by plain splitting; other columns follow.
 
-    The check sits on the first column, the time, which every query reads.
+    All fields are checked in one condition right above the lines, which neither column
+    pruning nor a condition of the query can remove or get ahead of.
     """
-    first, *others = schema.fieldNames()
-    missing = F.lit(False)
-    for name in schema.fieldNames():
-        missing = missing | F.col(name).isNull()
-    error = F.raise_error(F.lit("empty field in a record")).cast(schema[first].dataType)
-    return df.select(F.when(missing, error).otherwise(F.col(first)).alias(first), *others)
-
-
-def split_records(lines: DataFrame, schema: T.StructType) -> DataFrame:
-    """Records from text lines by plain splitting; surplus fields are ignored."""
-    parts = lines.select(F.split("value", ",", -1).alias("_f"), "value")
-    return parts.select(
-        *[_field(i, f.dataType).alias(f.name) for i, f in enumerate(schema.fields)]
+    others = [c for c in lines.columns if c != "value"]
+    fields = F.split("value", ",", -1)
+    sound = F.size(fields) >= len(schema) if lenient else F.size(fields) == len(schema)
+    for i, f in enumerate(schema.fields):
+        sound = sound & F.coalesce(_sound(F.get(fields, F.lit(i)), f.dataType), F.lit(False))
+    error = F.raise_error(F.concat(F.lit("malformed record: "), "value")).cast("boolean")
+    keep = F.when(sound, True).otherwise(error)
+    if not lenient:
+        keep = F.when(F.trim("value") == "", False).otherwise(keep)
+    return lines.where(keep).select(
+        *[F.get(fields, F.lit(i)).cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)],
+        *others,
     )
 
 
-def _field(index: int, kind: T.DataType) -> Column:
-    text = F.get("_f", F.lit(index))
-    error = F.raise_error(F.concat(F.lit("malformed record: "), F.col("value")))
-    pattern = _NUMBER.get(type(kind))
-    valid = text.rlike(pattern) if pattern else (text != "" if kind != T.StringType() else text.isNotNull())
-    return F.when(F.coalesce(valid, F.lit(False)), text).otherwise(error.cast("string")).cast(kind)
+def _sound(text: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StringType):
+        return text.isNotNull()
+    number = text.try_cast(kind).isNotNull()
+    return number & text.rlike(WHOLE_NUMBER) if isinstance(kind, T.IntegralType) else number
 
 
 def stream_lines(spark: SparkSession, format: str = "text", **options: str) -> DataFrame:
@@ -98,7 +124,7 @@ def stream_csv(
     Arrival numbers are part of the data here (``schemas.with_seq``): a stream
     has no row numbering of its own.
     """
-    reader = spark.readStream.schema(schema).options(**CSV_OPTIONS)
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return _complete(reader.csv(path), schema)
+    return parse_records(reader.text(path), schema)

@@ -4,6 +4,8 @@ import pytest
 from conftest import rows
 from pyspark.errors import AnalysisException
 
+from roadpulse.plans.detectors import accidents, speed_fines
+from roadpulse.schemas import REPORT, with_seq
 from roadpulse.sources import readers, writers
 
 GOOD = "1,7,95,3,0,1,52,500"
@@ -46,10 +48,35 @@ def test_malformed_record_fails(spark, folder, line, lenient):
         df.collect()
 
 
-def test_malformed_field_fails_even_if_unused(spark, folder):
-    df = readers.read_reports(spark, folder("1,7,95,3,0,x,52,500"))
-    with pytest.raises(Exception):
-        df.select("time").collect()
+@pytest.mark.parametrize("line", ["2,7,50,3,0,x,52,500", "2,7,50,3", "2,7,50,3,0,,52,500", "2,7,50,3,0,99999999999,52,5"])
+@pytest.mark.parametrize("lenient", [False, True])
+@pytest.mark.parametrize(
+    "use",
+    [lambda d: d, lambda d: d.select("vid"), lambda d: d.groupBy().count(), speed_fines,
+     lambda d: accidents(d, "opt", None), lambda d: d.where("spd > 1000").select("time")],
+)
+def test_malformed_record_fails_whatever_is_used(spark, folder, line, lenient, use):
+    df = readers.read_reports(spark, folder(GOOD, line), lenient_columns=lenient)
+    with pytest.raises(Exception, match="malformed record"):
+        use(df).collect()
+
+
+def test_stream_parses_as_strictly(spark, folder, tmp_path):
+    folder(GOOD + ",1", "2,7,50,3,0,x,52,500,2")
+    stream = readers.stream_csv(spark, f"{tmp_path}/*.csv", with_seq(REPORT)).select("vid")
+    query = stream.writeStream.format("noop").trigger(availableNow=True)
+    with pytest.raises(Exception, match="malformed record"):
+        query.option("checkpointLocation", f"{tmp_path}/c").start().awaitTermination()
+
+
+def test_arrival_order_over_files(spark, tmp_path):
+    """The first file is the smaller one; Spark packs the larger one first."""
+    (tmp_path / "a.csv").write_text("1,s,1.0\n2,s,1.0\n")
+    (tmp_path / "b.csv").write_text("".join(f"{i},s,1.0\n" for i in range(3, 4003)))
+    sensor = readers.read_sensor(spark, str(tmp_path / "*.csv"))
+    assert [r.ts for r in sensor.orderBy("seq").select("ts").collect()] == list(range(1, 4003))
+    assert [r.ts for r in readers.read_lines(spark, str(tmp_path), numbered=True).orderBy("seq")
+            .selectExpr("cast(split(value, ',')[0] as int) ts").limit(3).collect()] == [1, 2, 3]
 
 
 def test_byte_range(spark, folder):
@@ -76,6 +103,9 @@ def test_sensor(spark, folder):
         assert rows(df) == [(5, "sensor1", 2.5, 0), (6, "a b", 1000.0, 1), (7, '"q"', -1.0, 2)]
     with pytest.raises(Exception):
         readers.read_sensor(spark, folder("5,a,", "6,b,1")).collect()
+    for lenient in (False, True):
+        empty = readers.read_sensor(spark, folder("5,,2.5"), lenient_columns=lenient)
+        assert rows(empty) == [(5, "", 2.5, 0)]
 
 
 def test_text_sink_creates_only(spark, folder, tmp_path):
@@ -105,6 +135,6 @@ def test_single_file(spark, tmp_path):
     assert (count("many"), count("one")) == (4, 1)
 
 
-def test_console(spark, capfd):
-    writers.show(spark.createDataFrame([("some words",)], "value string"))
-    assert "some words" in capfd.readouterr().out
+def test_console_prints_every_row(spark, capsys):
+    writers.show(spark.createDataFrame([(f"word {i}",) for i in range(300)], "value string"))
+    assert capsys.readouterr().out.count("(word ") == 300
