@@ -31,7 +31,7 @@ def numbered_tokens(lines: DataFrame, value: str = "value", seq: str = "seq") ->
 def word_count(lines: DataFrame, value: str = "value") -> DataFrame:
     """``(word, count)``. Counts are combined before the shuffle, so a frequent
     word costs one row per task. On a stream: the running total per word."""
-    return tokens(lines, value).groupBy("word").agg(F.count("*").cast("int").alias("count"))
+    return tokens(lines, value).groupBy("word").agg(F.count("*").alias("count"))
 
 
 def running_word_count(

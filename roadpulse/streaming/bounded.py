@@ -24,13 +24,16 @@ def with_event_time(df: DataFrame, time: str, unit: str = "ms") -> DataFrame:
 
 
 class BoundedInput:
-    """A folder that grows by slices, read as a stream of Parquet files."""
+    """A folder that grows by slices, read as a stream of Parquet files.
+
+    Opened again, it goes on with what it holds.
+    """
 
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType):
         self.spark, self.root, self.schema = spark, root, schema
         self.input, self.end = f"{root}/input", f"{root}/end"
         for folder in (self.input, self.end):
-            spark.createDataFrame([], schema).write.mode("overwrite").parquet(folder)
+            spark.createDataFrame([], schema).write.mode("ignore").parquet(folder)
 
     def stream(self) -> DataFrame:
         read = lambda folder: self.spark.readStream.schema(self.schema).parquet(folder)

@@ -90,12 +90,12 @@ class RollingProcessor(_Ordered):
 class CountProcessor(_Ordered):
     """Numbers the rows of a key."""
 
-    added_state = "n int"
+    added_state = "n long"
 
     def advance(self, key, batch, old):
         before = 0 if old is None else old[0]
         end = before + len(batch)
-        return batch.assign(count=np.arange(before + 1, end + 1, dtype="int32")), (end,)
+        return batch.assign(count=np.arange(before + 1, end + 1, dtype="int64")), (end,)
 
 
 class StuckVehicleProcessor(_Ordered):
@@ -138,7 +138,7 @@ def stream_rolling(df: DataFrame, kind: str, order: Sequence[str] = ("ts", "seq"
 
 def stream_running_count(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """``operators.rolling.running_count`` on a stream."""
-    schema = T.StructType(df.schema.fields + [T.StructField("count", T.IntegerType())])
+    schema = T.StructType(df.schema.fields + [T.StructField("count", T.LongType())])
     return _process(df, key, CountProcessor(order), schema)
 
 

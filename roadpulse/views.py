@@ -16,15 +16,6 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores before a fan-out when the input has few splits.
-
-    Large inputs have splits enough and are left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def _epoch_seconds(df: DataFrame, name: str) -> Column:
     """Whole seconds since 1970, whatever the session time zone is."""
     ts = F.col(name)
@@ -84,8 +75,10 @@ def lines_from_documents(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").alias("seq"), F.col("text").alias("value"))
 
 
-def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports_from_events(_spread(_table(spark, sf_dir, "events"), "event_id"))
+def reports(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
+    """``partitions`` deals the events out before each becomes 40 reports; for few, large files."""
+    events = _table(spark, sf_dir, "events")
+    return reports_from_events(events.repartition(partitions, "event_id") if partitions else events)
 
 
 def sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,4 +86,4 @@ def sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines_from_documents(_spread(_table(spark, sf_dir, "documents"), "doc_id"))
+    return lines_from_documents(_table(spark, sf_dir, "documents"))
