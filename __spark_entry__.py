@@ -8,18 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse import views
-from roadpulse.functions.text import running_word_count, word_count
+from roadpulse.functions.text import numbered_tokens, running_word_count, word_count
 from roadpulse.operators.filters import above, fan_out
 from roadpulse.operators.rolling import rolling
 from roadpulse.operators.windows import sliding_sum
 from roadpulse.plans.detectors import accidents, average_speed_fines, speed_fines
-from roadpulse.plans.jobs import all_findings
+from roadpulse.plans.jobs import all_findings, findings_of, telematics
 from roadpulse.schemas import REPORT_COLUMNS
 from roadpulse.session import ROCKSDB_PROVIDER, scratch_dir
 from roadpulse.sources import readers, writers
 from roadpulse.streaming.bounded import BoundedInput, replay, with_event_time
 from roadpulse.streaming.by_batch import AccidentsByBatch, ByBatch, RollingByBatch
-from roadpulse.streaming.stateful import stream_rolling
+from roadpulse.streaming.stateful import stream_rolling, stream_running_count
 
 try:  # the training-data operators are optional and come and go together
     import corpus_pipeline
@@ -43,12 +43,17 @@ def entry(spark: SparkSession) -> DataFrame:
 # --- Spark side -------------------------------------------------------------
 
 
+def _all_reports(spark: SparkSession, sf: str) -> DataFrame:
+    # The test tables are single files: dealt out first, all cores make reports.
+    return views.reports(spark, sf, spark.sparkContext.defaultParallelism)
+
+
 def _compact(reports: DataFrame) -> DataFrame:
     return reports.withColumns({c: F.col(c).cast("byte") for c in COMPACT})
 
 
 def _reports(spark: SparkSession, sf: str, preset: str = "telematics") -> DataFrame:
-    reports = views.reports(spark, sf)
+    reports = _all_reports(spark, sf)
     return _compact(reports) if preset == "compact" else reports
 
 
@@ -73,6 +78,17 @@ def _accidents(preset: str):
 
 
 def _job(preset: str):
+    """The full job into a scratch folder, and its three outputs read back as one table."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        out = scratch_dir(spark, "job")
+        telematics(_reports(spark, sf, preset), out, preset, sharing="rescan")
+        return _rounded(findings_of(spark, out, preset), "speed")
+
+    return run
+
+
+def _findings(preset: str):
     return lambda spark, sf: _rounded(all_findings(_reports(spark, sf, preset), preset), "speed")
 
 
@@ -87,7 +103,7 @@ def _sliding(size: int, slide: int):
 def _parse(compact: bool, lenient_columns: bool = False):
     def run(spark: SparkSession, sf: str) -> DataFrame:
         path = scratch_dir(spark, "parse")
-        writers.write_csv(views.reports(spark, sf).select(*REPORT_COLUMNS), path)
+        writers.write_csv(_all_reports(spark, sf).select(*REPORT_COLUMNS), path)
         return readers.read_reports(spark, path, compact, lenient_columns).drop("seq")
 
     return run
@@ -95,7 +111,7 @@ def _parse(compact: bool, lenient_columns: bool = False):
 
 def _line_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = f"{scratch_dir(spark, 'lines')}/lines"
-    lines = writers.csv_lines(views.reports(spark, sf).select(*REPORT_COLUMNS))
+    lines = writers.csv_lines(_all_reports(spark, sf).select(*REPORT_COLUMNS))
     writers.write_text(lines, path)
     return readers.read_lines(spark, path)
 
@@ -106,9 +122,26 @@ def _csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return readers.read_sensor(spark, path).drop("seq")
 
 
+def _reduce_of_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The sensor view by time ranges in several CSV files, read in arrival order and reduced."""
+    path = scratch_dir(spark, "files")
+    sensor = views.sensor(spark, sf)
+    by_time = sensor.repartitionByRange(5, "ts", "seq").sortWithinPartitions("ts", "seq")
+    writers.write_csv(by_time.select("ts", "id", "value"), path)
+    return _rounded(rolling(readers.read_sensor(spark, path), "reduce").drop("seq"), "value")
+
+
+def _stream_running_word_count(spark: SparkSession, sf: str) -> DataFrame:
+    lines = views.lines(spark, sf)
+    return _through_stream(
+        spark, "stream-tokens", lines, "seq",
+        lambda stream: stream_running_count(numbered_tokens(stream), "word", ("seq", "pos")),
+    )
+
+
 def _tuple_text(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "tuples")
-    writers.write_tuple_text(speed_fines(views.reports(spark, sf)), path)
+    writers.write_tuple_text(speed_fines(_all_reports(spark, sf)), path)
     return readers.read_lines(spark, path)
 
 
@@ -120,7 +153,6 @@ def _slices(rows: DataFrame, time: str) -> list[DataFrame]:
 
 def _through_stream(spark, label, rows, time, operator, event_time=None, sentinel=None) -> DataFrame:
     """Feed ``rows`` in slices of ``time`` through ``operator`` and return what came out."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     root = scratch_dir(spark, label)
     source = BoundedInput(spark, root, rows.schema)
     built = {}
@@ -130,21 +162,25 @@ def _through_stream(spark, label, rows, time, operator, event_time=None, sentine
         built["schema"] = result.schema
         return writers.stream_files(result, f"{root}/out", f"{root}/checkpoint")
 
-    replay(
-        source, _slices(rows, time), build, sentinel, spark.sparkContext.defaultParallelism
-    )
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, ROCKSDB_PROVIDER)
+    try:
+        replay(source, _slices(rows, time), build, sentinel, spark.sparkContext.defaultParallelism)
+    finally:
+        spark.conf.set(name, before)
     return spark.read.schema(built["schema"]).parquet(f"{root}/out")
 
 
 def _stream_accidents(spark: SparkSession, sf: str) -> DataFrame:
-    return _through_stream(spark, "stream-accidents", views.reports(spark, sf), "time", accidents)
+    return _through_stream(spark, "stream-accidents", _all_reports(spark, sf), "time", accidents)
 
 
 def _stream_avg_speed(spark: SparkSession, sf: str) -> DataFrame:
     end = {"vid": -1, "time": 2**31 - 1, "seq": 0, "spd": 0, "xway": 0, "lane": 0, "dir": 0,
            "seg": 52, "pos": 274560}
     return _through_stream(
-        spark, "stream-average", views.reports(spark, sf), "time", average_speed_fines, "ms", end
+        spark, "stream-average", _all_reports(spark, sf), "time", average_speed_fines, "ms", end
     )
 
 
@@ -173,7 +209,7 @@ def _by_batch(spark, label, rows, time, make: Callable[[str], ByBatch], like: Da
 
 
 def _stream_accidents_by_batch(spark: SparkSession, sf: str) -> DataFrame:
-    rows = views.reports(spark, sf)
+    rows = _all_reports(spark, sf)
     like = accidents(rows, "telematics", None)
     return _by_batch(spark, "batch-accidents", rows, "time", AccidentsByBatch, like)
 
@@ -198,7 +234,7 @@ def _stream_word_count(spark: SparkSession, sf: str) -> DataFrame:
 
     slices = [lines.where(F.col("seq") % SLICES == i) for i in range(SLICES)]
     replay(source, slices, build, None, spark.sparkContext.defaultParallelism)
-    updates = spark.read.schema("word string, count int, batch long").parquet(f"{root}/out")
+    updates = spark.read.schema("word string, count long, batch long").parquet(f"{root}/out")
     return updates.groupBy("word").agg(F.max("count").alias("count"))
 
 
@@ -214,6 +250,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["telematics_job"] = _job("telematics")
     out["telematics_job_opt"] = _job("opt")
     out["telematics_job_compact"] = _job("compact")
+    out["telematics_findings"] = _findings("telematics")
     out["sensor_filter"] = lambda spark, sf: above(views.sensor(spark, sf))
     out["sensor_fanout"] = lambda spark, sf: fan_out(views.sensor(spark, sf), "click")
     for kind in ("min", "max", "sum"):
@@ -230,10 +267,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["csv_roundtrip"] = _csv_roundtrip
     out["tuple_text"] = _tuple_text
     out["accidents_split"] = lambda spark, sf: accidents(
-        views.reports(spark, sf), "telematics", SPLIT_ROWS
+        _all_reports(spark, sf), "telematics", SPLIT_ROWS
     )
     out["avg_speed_split"] = lambda spark, sf: average_speed_fines(
-        views.reports(spark, sf), "telematics", max_group_rows=SPLIT_ROWS
+        _all_reports(spark, sf), "telematics", max_group_rows=SPLIT_ROWS
     )
     out["rolling_sum_split"] = lambda spark, sf: _rounded(
         rolling(views.sensor(spark, sf), "sum", max_group_rows=SPLIT_ROWS), "value"
@@ -241,6 +278,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["running_word_count_split"] = lambda spark, sf: running_word_count(
         views.lines(spark, sf), max_group_rows=SPLIT_ROWS
     )
+    out["keyed_reduce_files"] = _reduce_of_files
+    out["stream_running_word_count"] = _stream_running_word_count
     out["stream_accidents"] = _stream_accidents
     out["stream_avg_speed"] = _stream_avg_speed
     out["stream_sliding_sum"] = _stream_sliding_sum
@@ -404,6 +443,7 @@ def oracle_sql() -> dict[str, str]:
     out["telematics_job"] = _job_sql("telematics")
     out["telematics_job_opt"] = _job_sql("opt")
     out["telematics_job_compact"] = _job_sql("compact")
+    out["telematics_findings"] = out["telematics_job"]
     out["sensor_filter"] = f"with {SENSOR}\nselect ts, id, value, seq from sensor where value > 20"
     out["sensor_fanout"] = f"""with {SENSOR}
 select ts, id, value, seq from sensor where id = 'click'
@@ -415,10 +455,10 @@ union all select ts, 'this is a string test', 134.0::double, seq from sensor whe
     out["sliding_sum"] = _sliding_sql(3, 1)
     out["sliding_sum_wide"] = _sliding_sql(3600, 600)
     out["word_count"] = f"""with {_tokens_sql()}
-select word, cast(count(*) as int) as count from tokens group by word"""
+select word, count(*) as count from tokens group by word"""
     out["running_word_count"] = f"""with {_tokens_sql()}
 select seq, pos, word,
-       cast(row_number() over (partition by word order by seq, pos) as int) as count from tokens"""
+       row_number() over (partition by word order by seq, pos) as count from tokens"""
     columns = ", ".join(REPORT_COLUMNS)
     out["report_parse"] = f"with {_reports_sql('')}\nselect {columns} from reports"
     out["report_parse_compact"] = f"with {_reports_sql('compact')}\nselect {columns} from reports"
@@ -433,6 +473,8 @@ from ({_speed_fines_sql('radar')})"""
     out["avg_speed_split"] = out["avg_speed_telematics"]
     out["rolling_sum_split"] = out["rolling_sum"]
     out["running_word_count_split"] = out["running_word_count"]
+    out["keyed_reduce_files"] = f"select ts, id, value from ({out['keyed_reduce']})"
+    out["stream_running_word_count"] = out["running_word_count"]
     out["stream_accidents"] = out["accidents_telematics"]
     out["stream_avg_speed"] = out["avg_speed_telematics"]
     out["stream_sliding_sum"] = out["sliding_sum"]

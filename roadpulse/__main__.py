@@ -13,7 +13,7 @@ JOBS = {
     "filter-sensor": (jobs.filter_sensor, ("source", "out")),
     "fan-out-sensor": (jobs.fan_out_sensor, ("source", "out")),
     "reduce-sensor": (jobs.reduce_sensor, ("source", "out")),
-    "rolling-sensor": (jobs.rolling_sensor, ("source",)),
+    "rolling-sensor": (jobs.rolling_sensor, ("source", "out?")),
     "sliding-sensor": (jobs.sliding_sensor, ("source", "out")),
     "radar": (jobs.radar, ("source", "out")),
     "average-speed": (jobs.average_speed, ("source", "out")),
@@ -21,7 +21,7 @@ JOBS = {
     "telematics": (jobs.full("telematics"), ("source", "out")),
     "telematics-opt": (jobs.full("opt"), ("source", "out")),
     "telematics-compact": (jobs.full("compact"), ("source", "out")),
-    "word-count": (jobs.count_words, ("source?",)),
+    "word-count": (jobs.count_words, ("source?", "out?")),
     "socket-word-count": (jobs.count_words_of_socket, ("host", "port")),
 }
 

@@ -11,10 +11,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from roadpulse.functions.text import word_count
-from roadpulse.operators.filters import above, fan_out
+from roadpulse.operators.filters import above, fan_out, in_section
 from roadpulse.operators.rolling import rolling
 from roadpulse.operators.windows import sliding_sum
-from roadpulse.plans.detectors import accidents, average_speed_fines, speed_fines
+from roadpulse.plans.detectors import (
+    SPEED_FINE_COLUMNS,
+    accidents,
+    average_speed_fines,
+    speed_fines,
+)
 from roadpulse.session import drop_folder, scratch_dir
 from roadpulse.sources import readers, writers
 
@@ -114,6 +119,34 @@ def all_findings(reports: DataFrame, preset: str = "telematics") -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def findings_of(spark: SparkSession, out: str, preset: str = "telematics") -> DataFrame:
+    """What ``telematics`` wrote below ``out``, as the table of ``all_findings``."""
+    fines, _, _, as_tuples = FULL_JOBS[preset]
+    folder, lines = out.rstrip("/"), {}
+    for name in ("speedfines", "avgspeedfines", "accidents"):
+        text = readers.read_lines(spark, f"{folder}/{name}.csv")
+        if as_tuples and name == "speedfines":
+            text = text.select(F.expr("substring(value, 2, length(value) - 2)").alias("value"))
+        lines[name] = text
+    kinds = {
+        "speedfines": ("speed", SPEED_FINE_COLUMNS[fines], {"time": "time1", "spd": "speed"}),
+        "avgspeedfines": (
+            "average", ("time1", "time2", "vid", "xway", "dir", "avgspd"), {"avgspd": "speed"}
+        ),
+        "accidents": ("accident", ("time1", "time2", "vid", "xway", "seg", "dir", "pos"), {}),
+    }
+    parts = []
+    for name, (kind, columns, renamed) in kinds.items():
+        at = {renamed.get(c, c): i for i, c in enumerate(columns)}
+        field = lambda c: F.get(F.split("value", ","), F.lit(at[c])) if c in at else F.lit(None)  # noqa: B023, E731
+        parts.append(lines[name].select(
+            F.lit(kind).alias("kind"),
+            *(field(c).cast("int").alias(c) for c in ("time1", "time2", "vid", "xway", "seg", "dir", "pos")),
+            field("speed").cast("double").alias("speed"),
+        ))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def copy_lines(spark: SparkSession, source: str, out: str) -> None:
     writers.write_text(readers.read_lines(spark, source), out)
 
@@ -130,15 +163,22 @@ def fan_out_sensor(spark: SparkSession, source: str, out: str) -> None:
 
 def reduce_sensor(spark: SparkSession, source: str, out: str) -> None:
     with shared(readers.read_sensor(spark, source)) as readings:
-        rows = rolling(readings, "reduce", order=("seq",))
-        writers.write_csv(rows.select("ts", "id", "value"), out)
+        writers.write_csv(rolling(readings, "reduce").select("ts", "id", "value"), out)
 
 
-def rolling_sensor(spark: SparkSession, source: str) -> None:
-    """Print running minimum, maximum and sum."""
+def rolling_sensor(spark: SparkSession, source: str, out: str | None = None) -> None:
+    """Running minimum, maximum and sum: into folders below ``out``, or else printed."""
     with shared(readers.read_sensor(spark, source)) as readings:
         for kind in ("min", "max", "sum"):
-            writers.show(rolling(readings, kind, order=("seq",)).select("ts", "id", "value"))
+            rows = rolling(readings, kind).select("ts", "id", "value")
+            _print_or_write(rows, out and f"{out.rstrip('/')}/{kind}")
+
+
+def _print_or_write(rows: DataFrame, out: str | None) -> None:
+    if out:
+        writers.write_tuple_text(rows, out)
+    else:
+        writers.show(rows)
 
 
 def sliding_sensor(spark: SparkSession, source: str, out: str) -> None:
@@ -152,12 +192,15 @@ def radar(spark: SparkSession, source: str, out: str) -> None:
 
 
 def average_speed(spark: SparkSession, source: str, out: str) -> None:
-    with shared(readers.read_reports(spark, source)) as reports:
+    needed = ("time", "vid", "xway", "seg", "dir", "pos", "seq")
+    section = in_section(readers.read_reports(spark, source)).select(*needed)
+    with shared(section) as reports:
         writers.write_csv(average_speed_fines(reports, "section60"), out)
 
 
 def find_accidents(spark: SparkSession, source: str, out: str) -> None:
-    with shared(readers.read_reports(spark, source)) as reports:
+    needed = ("time", "vid", "xway", "seg", "dir", "pos", "seq")
+    with shared(readers.read_reports(spark, source).select(*needed)) as reports:
         writers.write_csv(accidents(reports, "telematics"), out)
 
 
@@ -169,10 +212,10 @@ def full(preset: str) -> Callable[[SparkSession, str, str], None]:
     return run
 
 
-def count_words(spark: SparkSession, source: str | None = None) -> None:
-    """Print how often each word occurs in a file or in the sample lines."""
+def count_words(spark: SparkSession, source: str | None = None, out: str | None = None) -> None:
+    """How often each word occurs in a file or in the sample lines; all words, printed or written."""
     lines = readers.read_lines(spark, source) if source else readers.from_elements(spark, SAMPLE_LINES)
-    writers.show(word_count(lines))
+    _print_or_write(word_count(lines), out)
 
 
 def count_words_of_socket(spark: SparkSession, host: str, port: str) -> StreamingQuery:

@@ -23,9 +23,10 @@ def write_text(
 ) -> None:
     """Lines as they are; by default into a folder that must not exist yet.
 
-    ``single_file`` sends everything through one task, so it suits small results.
+    ``single_file`` writes everything in one task, so it suits small results; what comes
+    before the writing stays parallel.
     """
-    (df.coalesce(1) if single_file else df).write.mode(mode).text(path)
+    (df.repartition(1) if single_file else df).write.mode(mode).text(path)
 
 
 def write_tuple_text(df: DataFrame, path: str, single_file: bool = False) -> None:
@@ -36,13 +37,15 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     write_text(csv_lines(df), path, "overwrite", single_file)
 
 
-def show(df: DataFrame, rows: int = 20) -> None:
-    """Print some rows; a console is no place for a whole large result."""
-    df.show(rows, truncate=False)
+def show(df: DataFrame) -> None:
+    """Print every row as a tuple, one partition at a time."""
+    for row in tuple_lines(df).toLocalIterator(prefetchPartitions=True):
+        print(row["value"], flush=True)
 
 
 def stream_console(df: DataFrame, output_mode: str = "append") -> DataStreamWriter:
-    return df.writeStream.format("console").option("truncate", "false").outputMode(output_mode)
+    """Print every row of every micro-batch."""
+    return df.writeStream.foreachBatch(lambda rows, _: show(rows)).outputMode(output_mode)
 
 
 def stream_files(

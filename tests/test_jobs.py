@@ -100,10 +100,13 @@ def test_sensor_jobs(spark, tmp_path, capfd):
 
 def test_word_count_job(spark, tmp_path, capfd):
     main(["word-count"])
-    assert "|question" in capfd.readouterr().out
-    (tmp_path / "t.txt").write_text("fox fox\n")
+    assert "(question,1)" in capfd.readouterr().out
+    (tmp_path / "t.txt").write_text("fox fox " + " ".join(f"word{i}" for i in range(30)))
     main(["word-count", str(tmp_path / "t.txt")])
-    assert "|fox |2" in capfd.readouterr().out
+    printed = capfd.readouterr().out
+    assert "(fox,2)" in printed and printed.count("(word") == 30
+    main(["word-count", str(tmp_path / "t.txt"), str(tmp_path / "words")])
+    assert len(lines_of(tmp_path / "words")) == 31
 
 
 def test_arguments_are_checked():
