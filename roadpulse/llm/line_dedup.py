@@ -174,18 +174,18 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
         .sortWithinPartitions("shard", "kind")
         .mapInArrow(_probe, "doc long, tag long, at int")
     )
-    return hits.groupBy("doc", "tag").agg(F.collect_list("at").alias("drops"))
+    return hits.groupBy("doc", "tag").agg(F.collect_set("at").alias("drops"))
 
 
-@F.pandas_udf(T.StringType())
-def _without(texts: pd.Series, drops: pd.Series) -> pd.Series:
-    def kept(text, gone):
+@F.arrow_udf(T.StringType())
+def _without(texts: pa.Array, drops: pa.Array) -> pa.Array:
+    def kept(text: str, gone: list | None) -> str:
         if gone is None:
             return text
-        gone = set(gone.tolist())
+        gone = set(gone)
         return "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone)
 
-    return pd.Series([kept(t, g) for t, g in zip(texts, drops)], dtype=object)
+    return pa.array((kept(t.as_py(), g.as_py()) for t, g in zip(texts, drops)), pa.string())
 
 
 def _deduped(docs: DataFrame) -> DataFrame:
