@@ -41,29 +41,43 @@ def rolling(
     """
     if kind not in _AGGREGATE:
         raise ValueError(f"unknown kind {kind!r}, expected one of {KINDS}")
-    aggregate, combine = _AGGREGATE[kind], _COMBINE[kind]
+    out = _running(df, (kind,), order, max_group_rows)
+    ts = F.col("ts") if kind == "reduce" else F.col("_ts")
+    new = {"ts": ts.alias("ts"), "value": F.col(f"_{kind}").alias("value")}
+    return out.select(*[new.get(c, F.col(c)) for c in df.columns])
+
+
+def rolling_together(
+    df: DataFrame,
+    kinds: Sequence[str],
+    order: Sequence[str] = ("ts", "seq"),
+    max_group_rows: int | None = MAX_GROUP_ROWS,
+) -> DataFrame:
+    """``(ts, id, seq)`` and a column per kind, all from one shuffle and one sort; ``ts`` is the
+    key's first."""
+    out = _running(df, tuple(kinds), order, max_group_rows)
+    return out.select(F.col("_ts").alias("ts"), "id", "seq", *(F.col(f"_{k}").alias(k) for k in kinds))
+
+
+def _running(df: DataFrame, kinds: tuple[str, ...], order: Sequence[str], max_group_rows) -> DataFrame:
+    """``df`` with ``_ts``, the time of the key's first row, and ``_kind`` for each kind."""
     split = split_hot_groups(df, "id", order, max_group_rows)
     so_far = (
         Window.partitionBy(*split.keys)
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    out = split.rows.withColumn("_value", aggregate("value").over(so_far))
-    if kind != "reduce":
-        out = out.withColumn("_ts", F.first("ts").over(so_far))
+    out = split.rows.withColumns({f"_{k}": _AGGREGATE[k]("value").over(so_far) for k in kinds})
+    out = out.withColumn("_ts", F.first("ts").over(so_far))
     if split.is_split:
-        carry = {"_c_value": (aggregate("value"), aggregate("_c_value"))}
-        if kind != "reduce":
-            first = F.min_by(F.struct("ts"), F.struct(*order))  # a struct, as the time may be null
-            carry["_c_ts"] = (first, F.first("_c_ts"))
+        carry = {f"_c_{k}": (_AGGREGATE[k]("value"), _AGGREGATE[k](f"_c_{k}")) for k in kinds}
+        first = F.min_by(F.struct("ts"), F.struct(*order))  # a struct, as the time may be null
+        carry["_c_ts"] = (first, F.first("_c_ts"))
         out = with_carry(out, split, carry_over(split, carry))
-        out = out.withColumn("_value", combine(F.col("_c_value"), F.col("_value")))
-        if kind != "reduce":
-            carried = F.col("_c_ts")
-            out = out.withColumn("_ts", F.when(carried.isNotNull(), carried["ts"]).otherwise(F.col("_ts")))
-    ts = F.col("ts") if kind == "reduce" else F.col("_ts")
-    new = {"ts": ts.alias("ts"), "value": F.col("_value").alias("value")}
-    return out.select(*[new.get(c, F.col(c)) for c in df.columns])
+        carried = F.col("_c_ts")
+        out = out.withColumns({f"_{k}": _COMBINE[k](F.col(f"_c_{k}"), F.col(f"_{k}")) for k in kinds})
+        out = out.withColumn("_ts", F.when(carried.isNotNull(), carried["ts"]).otherwise(F.col("_ts")))
+    return out
 
 
 def running_count(

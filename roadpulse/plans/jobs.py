@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from roadpulse.functions.text import word_count
+from roadpulse.functions.text import numbered_tokens, word_count
 from roadpulse.operators.filters import above, fan_out, in_section
-from roadpulse.operators.rolling import rolling
+from roadpulse.operators.rolling import rolling, rolling_together
 from roadpulse.operators.windows import sliding_sum
 from roadpulse.plans.detectors import (
     SPEED_FINE_COLUMNS,
@@ -22,6 +22,7 @@ from roadpulse.plans.detectors import (
 )
 from roadpulse.session import drop_folder, scratch_dir
 from roadpulse.sources import readers, writers
+from roadpulse.streaming.stateful import stream_running_count
 
 # The text the batch word count uses when it is given no file.
 SAMPLE_LINES = (
@@ -169,9 +170,10 @@ def reduce_sensor(spark: SparkSession, source: str, out: str) -> None:
 def rolling_sensor(spark: SparkSession, source: str, out: str | None = None) -> None:
     """Running minimum, maximum and sum: into folders below ``out``, or else printed."""
     with shared(readers.read_sensor(spark, source)) as readings:
-        for kind in ("min", "max", "sum"):
-            rows = rolling(readings, kind).select("ts", "id", "value")
-            _print_or_write(rows, out and f"{out.rstrip('/')}/{kind}")
+        with shared(rolling_together(readings, ("min", "max", "sum"))) as running:
+            for kind in ("min", "max", "sum"):
+                rows = running.select("ts", "id", F.col(kind).alias("value"))
+                _print_or_write(rows, out and f"{out.rstrip('/')}/{kind}")
 
 
 def _print_or_write(rows: DataFrame, out: str | None) -> None:
@@ -218,7 +220,16 @@ def count_words(spark: SparkSession, source: str | None = None, out: str | None
     _print_or_write(word_count(lines), out)
 
 
+def running_words(lines: DataFrame) -> DataFrame:
+    """``(word, count)`` per token of a text stream, how often its word was seen so far.
+
+    A line's arrival number is the time of its micro-batch.
+    """
+    numbered = numbered_tokens(lines.withColumn("seq", F.unix_micros(F.current_timestamp())))
+    return stream_running_count(numbered, "word", ("seq", "pos")).select("word", "count")
+
+
 def count_words_of_socket(spark: SparkSession, host: str, port: str) -> StreamingQuery:
-    """Print running word counts of a socket's text until stopped."""
+    """Print each word of a socket's text with its running count until stopped."""
     lines = readers.stream_lines(spark, "socket", host=host, port=port)
-    return writers.stream_console(word_count(lines), "update").start()
+    return writers.stream_console(running_words(lines)).start()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from roadpulse import views
 from roadpulse.functions.text import running_word_count
 from roadpulse.operators.hot_groups import CHUNK, split_hot_groups
-from roadpulse.operators.rolling import rolling
+from roadpulse.operators.rolling import rolling, rolling_together
 from roadpulse.operators.windows import session_aggregate, with_previous
 from roadpulse.plans.detectors import (
     ACCIDENT_RULES,
@@ -126,3 +126,14 @@ def test_lookback_over_chunks_smaller_than_the_frame(make_sensor):
         (i, i - 1, i - 3) for i in range(3, 40)
     ]
     assert got.count() == 40
+
+
+def test_several_aggregates_of_one_shuffle(spark, sf):
+    sensor = views.sensor(spark, sf)
+    for size in (None, 60):
+        together = rolling_together(sensor, ("min", "max", "sum"), max_group_rows=size)
+        for kind in ("min", "max", "sum"):
+            one = rolling(sensor, kind, max_group_rows=None).selectExpr("ts", "id", "seq", "round(value, 6)")
+            assert rows(together.selectExpr("ts", "id", "seq", f"round({kind}, 6)")) == rows(one)
+    plan = rolling_together(sensor, ("min", "max", "sum"), max_group_rows=None)
+    assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1

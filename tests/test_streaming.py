@@ -167,6 +167,18 @@ def test_csv_stream_is_strict(spark, tmp_path):
         go()
 
 
+def test_running_words_of_a_text_stream(spark, tmp_path):
+    from roadpulse.plans.jobs import running_words
+
+    (tmp_path / "in").mkdir()
+    for i, text in enumerate(("fox dog fox", "dog fox")):
+        (tmp_path / "in" / f"{i}.txt").write_text(text + "\n")
+    lines = readers.stream_lines(spark, path=str(tmp_path / "in"), maxFilesPerTrigger="1")
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    start_available(spark, writers.stream_files(running_words(lines), out, checkpoint), 2).awaitTermination()
+    assert rows(spark.read.parquet(out)) == [("dog", 1), ("dog", 2), ("fox", 1), ("fox", 2), ("fox", 3)]
+
+
 def test_console_stream_prints_every_row(spark, tmp_path, capfd):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "0.txt").write_text(" ".join(f"word{i}" for i in range(50)) + "\n")
