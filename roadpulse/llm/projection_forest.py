@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import staged
+from roadpulse.llm.common import sampled, staged
 
 TREES, DEPTH = 8, 8
 SAMPLE = 32_768
@@ -243,7 +243,7 @@ def nearest(
     if common is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     rows = rows.where(F.size("vector") == common["d"])
-    sample = rows.orderBy(F.xxhash64("vec_id", F.lit(3)), "vec_id").limit(SAMPLE).toArrow()
+    sample = sampled(rows, SAMPLE, 3, "vec_id").toArrow()
     forest = Forest.fit(_matrix(sample["vector"].combine_chunks()))
     index = staged(_with_leaves(rows, forest), "index")
     places = index.select("vec_id", "vector", F.posexplode("leaves").alias("tree", "leaf"))

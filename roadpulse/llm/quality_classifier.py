@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import remainder, sampled_ids, staged, whole_text
+from roadpulse.llm.common import remainder, sampled, staged, whole_text
 
 FOLDS, HELD = 4, 2
 LABELLED = 20_000
@@ -180,7 +180,7 @@ def fit(features: DataFrame, labels: DataFrame) -> Network:
         labels.where(learn & F.col("quality").isNotNull())
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"))
     )
-    rows = sampled_ids(features.join(known, "doc_id"), LABELLED, 21).toArrow()
+    rows = sampled(features.join(known, "doc_id"), LABELLED, 21).toArrow()
     if not rows.num_rows:
         return Network(constant=0.5)
     x = np.array(rows["pooled"].combine_chunks().flatten()).reshape(rows.num_rows, -1).astype(float)

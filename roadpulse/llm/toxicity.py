@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import remainder, sampled_ids, staged, whole_text
+from roadpulse.llm.common import remainder, sampled, staged, whole_text
 
 FOLDS = 5
 POSITIVES, UNLABELLED = 4_000, 16_000
@@ -119,8 +119,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     prior = known.agg(F.avg("toxic")).first()[0] or 0.0
     present = docs.where(learn).select("doc_id").distinct()
     toxic = known.where("toxic = 1").select("doc_id").join(present, "doc_id", "left_semi")
-    sides = sampled_ids(toxic, POSITIVES, 11).withColumn("positive", F.lit(True)).union(
-        sampled_ids(present, UNLABELLED, 12).withColumn("positive", F.lit(False))
+    sides = sampled(toxic, POSITIVES, 11).withColumn("positive", F.lit(True)).union(
+        sampled(present, UNLABELLED, 12).withColumn("positive", F.lit(False))
     )
     # At most POSITIVES + UNLABELLED ids, so they may be broadcast.
     sample = staged(
