@@ -239,8 +239,9 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose texts are linked."""
     left = texts.select(F.col("cls").alias("a"), F.col("text").alias("t_a"))
     right = texts.select(F.col("cls").alias("b"), F.col("text").alias("t_b"))
-    both = left.join(pairs.select("a", "b").hint("shuffle_hash"), "a")
-    return right.join(both.hint("shuffle_hash"), "b").where(_linked("t_a", "t_b")).select("a", "b")
+    # Sorted joins: one class may stand in very many pairs, and such a partition can be split.
+    both = pairs.select("a", "b").join(left, "a").join(right, "b")
+    return both.where(_linked("t_a", "t_b")).select("a", "b")
 
 
 def _across(pairs: DataFrame, comps: DataFrame) -> DataFrame:
