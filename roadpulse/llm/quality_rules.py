@@ -32,7 +32,7 @@ RULES = {
     "short_words": "2 * word_chars < 5 * n_words",
     "long_words": "word_chars > 15 * n_words",
     "symbols": "10 * n_symbols > n_words",
-    "duplicate_lines": "10 * n_dup_lines > 3 * n_lines",
+    "duplicate_lines": "10 * n_dup_lines > 4 * n_lines",
 }
 BASE = ("few_words", "repeated_windows")
 POLICIES = {"base": BASE, "v1": tuple(RULES)}
