@@ -17,7 +17,7 @@ CHUNK characters at word borders, so one very long text takes no more memory tha
 short ones but for its own string. Repeated rows are encoded each on its own; a null
 ``doc_id`` is passed on; other columns are carried along untouched.
 
-The model file is a parameter; each task loads it once from ``model_path``, which every
+The model file is a parameter; a task loads it once from ``model_path``, which every
 executor must be able to read (a path of the executor's own installation, or a file
 shipped with ``SparkContext.addFile``).
 """
@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roadpulse.llm.common import whole_text
 
@@ -280,14 +281,9 @@ class Encoder:
         return n, ids.hexdigest(), decoded.hexdigest()
 
 
-_loaded: dict[str, Encoder] = {}
-
-
 def encoder(model_path: str) -> Encoder:
-    """The encoder of this Python worker, made once per model."""
-    if model_path not in _loaded:
-        _loaded[model_path] = Encoder(Pieces(model_path))
-    return _loaded[model_path]
+    """An encoder; a task makes one of its own and drops it when it ends."""
+    return Encoder(Pieces(model_path))
 
 
 def _local(model_path: str) -> str:
@@ -305,26 +301,26 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def _ids_mapper(model_path: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(_local(model_path))
-        for batch in batches:
-            for low in range(0, batch.num_rows, BATCH):
-                part = batch.slice(low, BATCH)
-                ids = pa.array(own.encode(part["text"].to_pylist()), pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([part["row"], ids], ["row", "ids"])
+def _ids_function(model_path: str):
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own, kind = encoder(_local(model_path)), pa.list_(pa.int32())
+        for texts in batches:
+            parts = (texts.slice(low, BATCH) for low in range(0, len(texts), BATCH))
+            found = [pa.array(own.encode(part.to_pylist()), kind) for part in parts]
+            yield pa.concat_arrays(found) if found else pa.array([], kind)
 
-    return run
+    return ids
 
 
 def encoded(docs: DataFrame, model_path: str | None = None) -> DataFrame:
-    """The documents with a column ``ids``, in place of one of that name."""
-    rows = docs.select(F.struct("*").alias("row"), whole_text(F.col("text")).alias("text"))
-    schema = f"row {rows.schema['row'].dataType.simpleString()}, ids array<int>"
+    """The documents with a column ``ids``, in place of one of that name.
+
+    Only the text goes to Python, the other columns stay where they are.
+    """
+    ids = _ids_function(model_path or default_model())
     others = [c for c in docs.columns if c.lower() != "ids"]
-    return rows.mapInArrow(_ids_mapper(model_path or default_model()), schema).select(
-        *(F.col("row")[c].alias(c) for c in others), "ids"
-    )
+    return docs.select(*(docs[c] for c in others), ids(whole_text(F.col("text"))).alias("ids"))
 
 
 def _text_mapper(model_path: str, id_column: str):
