@@ -6,6 +6,18 @@ where 2 * common / (bigrams of the unit + bigrams of the template) reaches DICE.
 needs sizes within DICE / (2 - DICE) of each other, so a unit meets only the templates
 that its number of bigrams allows, which for most units are none.
 
+Then the passages: all runs of words, across lines and paragraphs or within a line, of up
+to the largest size that the template allows (and as many repeats as the template has).
+Per template the best passage is one more match if it scores better than each unit. A
+line of a size that the template allows is judged as a whole, not by passages within it.
+``n_units`` counts units only. SQL has the units alone: rows differ from it where a
+passage is found.
+
+A match has at least ``low`` bigrams in common, all of them bigrams of the whole text, so
+units and passages are looked at only for templates that share as many with the text.
+Passages start and end with a bigram of the template. They take time with the bigrams of a
+text that stand as close together as a match needs, times the square of the template.
+
 Native: column expressions within a row, no shuffle and no join; the templates are a
 constant of the plan.
 
@@ -16,6 +28,7 @@ template that comes first by name. Other columns of the input are not read.
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -90,9 +103,13 @@ TEMPLATES = {
 }
 
 
+def _words(text: str) -> list[str]:
+    return re.findall(r"[\w]+", text.lower())
+
+
 def bigrams(text: str) -> list[str]:
     """The distinct word bigrams of a template, as ``_bigrams`` makes them of a column."""
-    w = re.findall(r"[\w]+", text.lower())
+    w = _words(text)
     return sorted({f"{a} {b}" for a, b in zip(w, w[1:])})
 
 
@@ -118,21 +135,83 @@ def _units(text: Column) -> Column:
     return F.array_distinct(F.concat(F.array(_joined(text)), blank_lines, _lines(text)))
 
 
-def _bigrams(unit: Column) -> Column:
-    pairs = F.transform(
-        F.sequence(F.lit(1), F.size(unit) - 1),
-        lambda i: F.concat_ws(" ", F.get(unit, i - 1), F.get(unit, i)),
+def _all_bigrams(unit: Column) -> Column:
+    return F.when(F.size(unit) < 2, F.array().cast("array<string>")).otherwise(
+        F.transform(
+            F.sequence(F.lit(1), F.size(unit) - 1),
+            lambda i: F.concat_ws(" ", F.get(unit, i - 1), F.get(unit, i)),
+        )
     )
-    return F.array_distinct(pairs)
+
+
+def _bigrams(unit: Column) -> Column:
+    return F.array_distinct(_all_bigrams(unit))
+
+
+def _places(text: Column) -> Column:
+    """For each word of a normalised text its line and the number of bigrams of that line."""
+
+    def place(line: Column, i: Column) -> Column:
+        return let(
+            F.split(line, " "),
+            lambda w: F.array_repeat(F.struct(i.alias("line"), F.size(_bigrams(w)).alias("n")), F.size(w)),
+        )
+
+    return F.flatten(F.transform(F.filter(_lines(text), lambda line: line != ""), place))
+
+
+def _best_passage(pairs: Column, places: Column, t: Column, above: Column) -> Column:
+    """The best coefficient of a template and a passage if higher than ``above``, else ``above``.
+
+    ``pairs`` are all bigrams of the text in order, ``places`` as ``_places`` gives them.
+    """
+
+    def from_start(at: Column) -> Column:
+        # At 1-based bigram ``at``: its passages grow bigram by bigram.
+        own = F.get(places, at - 1)
+        whole_line = (own["n"] >= t["low"]) & (own["n"] <= t["high"])
+
+        def grow(run: Column) -> Column:
+            def step(state: Column, j: Column) -> Column:
+                pair = F.get(run, j - 1)
+                new = (F.array_position(run, pair) == j).cast("int")
+                hit = F.array_contains(t["pairs"], pair)
+                common, n = state["common"] + new * hit.cast("int"), state["n"] + new
+                last = F.get(places, at + j - 1)
+                within = whole_line & (last["line"] == own["line"])
+                score = F.when(hit & ~within, 2.0 * common / (n + t["n"])).otherwise(F.lit(0.0))
+                return F.struct(
+                    common.alias("common"), n.alias("n"), F.greatest(state["best"], score).alias("best")
+                )
+
+            none = F.struct(F.lit(0).alias("common"), F.lit(0).alias("n"), F.lit(0.0).alias("best"))
+            return F.aggregate(F.sequence(F.lit(1), F.size(run)), none, step, lambda state: state["best"])
+
+        return let(F.slice(pairs, at, t["span"]), grow)
+
+    def over(hits: Column) -> Column:
+        def step(best: Column, k: Column) -> Column:
+            at = F.get(hits, k)
+            # A better passage has more than this many bigrams in common, all within the span.
+            least = F.greatest(F.floor(best * t["n"] / (2 - best) - 1e-6).cast("int"), F.lit(1))
+            dense = F.coalesce(F.get(hits, k + least - 1) < at + t["span"], F.lit(False))
+            return F.when(dense & (best < 1.0), F.greatest(best, from_start(at))).otherwise(best)
+
+        return F.aggregate(F.sequence(F.lit(0), F.size(hits) - 1), above, step)
+
+    numbers = F.sequence(F.lit(1), F.size(pairs))
+    return let(F.filter(numbers, lambda i: F.array_contains(t["pairs"], F.get(pairs, i - 1))), over)
 
 
 def matches(docs: DataFrame, templates: dict[str, str] | None = None, dice: float = DICE) -> DataFrame:
-    """``doc_id``, ``n_units`` and ``matches``: per matching unit and template its dice, best first."""
-    known = sorted((name, bigrams(text)) for name, text in (templates or TEMPLATES).items())
+    """``doc_id``, ``n_units`` and ``matches``: per match of unit or passage its dice, best first."""
+    named = sorted((templates or TEMPLATES).items())
+    known = [(name, bigrams(text)) for name, text in named]
     rows = [
         F.struct(
             F.lit(name).alias("license"), F.lit(i).alias("place"), F.lit(len(pairs)).alias("n"),
             F.lit(sizes(len(pairs), dice)[0]).alias("low"), F.lit(sizes(len(pairs), dice)[1]).alias("high"),
+            F.lit(sizes(len(pairs), dice)[1] + len(_words(named[i][1])) - 1 - len(pairs)).alias("span"),
             F.array(*map(F.lit, pairs)).alias("pairs"),
         )
         for i, (name, pairs) in enumerate(known)
@@ -140,11 +219,21 @@ def matches(docs: DataFrame, templates: dict[str, str] | None = None, dice: floa
     # A unit may repeat bigrams, so only the lower bound holds for its number of words.
     least = min(sizes(len(pairs), dice)[0] for _, pairs in known)
     table = F.array(*rows)
+    vocabulary = F.array(*map(F.lit, sorted({pair for _, pairs in known for pair in pairs})))
+
+    def near(pairs: Column) -> Column:
+        """The templates that share enough bigrams with the text."""
+        return let(
+            F.array_intersect(pairs, vocabulary),
+            lambda shared: F.when(F.size(shared) < least, F.slice(table, 1, 0)).otherwise(
+                F.filter(table, lambda t: F.size(F.array_intersect(shared, t["pairs"])) >= t["low"])
+            ),
+        )
 
     def scan(unit: Column) -> Column:
         def against(pairs: Column) -> Column:
             n = F.size(pairs)
-            fits = F.filter(table, lambda t: (n >= t["low"]) & (n <= t["high"]))
+            fits = F.filter("near", lambda t: (n >= t["low"]) & (n <= t["high"]))
             scores = F.transform(
                 fits,
                 lambda t: F.struct(
@@ -156,16 +245,38 @@ def matches(docs: DataFrame, templates: dict[str, str] | None = None, dice: floa
 
         return let(_bigrams(unit), against)
 
+    def passage(t: Column) -> Column:
+        of_units = F.get(F.filter("of_units", lambda s: s["place"] == t["place"]), F.lit(0))
+        # The next number below: a coefficient above it reaches the threshold.
+        above = F.coalesce(-of_units["minus"], F.lit(math.nextafter(dice, 0)))
+
+        def scored(least_score: Column) -> Column:
+            best = F.when(least_score < 1.0, _best_passage(F.col("pairs"), F.col("places"), t, least_score))
+            return let(best, lambda b: F.struct(
+                F.when(b > least_score, -b).alias("minus"), t["place"].alias("place"), t["license"].alias("license"),
+            ))
+
+        return let(above, scored)
+
     text = F.regexp_replace(F.lower(whole_text(F.col("text"))), r"[^\p{L}\p{N}_\n]+", " ")
-    normal = docs.select("doc_id", text.alias("t")).select("doc_id", _units(F.col("t")).alias("units"))
+    normal = docs.select("doc_id", text.alias("t")).select("doc_id", "t", _units(F.col("t")).alias("units"))
+    paired = normal.select("*", let(F.split(F.get("units", F.lit(0)), " "), _all_bigrams).alias("pairs"))
+    met = paired.select("*", near(F.col("pairs")).alias("near"))
+    some = F.size("near") > 0
     split = F.transform("units", lambda u: F.split(u, " "))
     long_enough = F.filter(split, lambda u: F.size(u) > least)
-    found = F.sort_array(F.flatten(F.transform(long_enough, scan)))
-    return normal.select(
+    scanned = met.select(
+        "*", F.when(some, F.sort_array(F.flatten(F.transform(long_enough, scan)))).alias("of_units"),
+        F.when(some, _places(F.col("t"))).alias("places"),
+    )
+    passages = F.filter(F.transform("near", passage), lambda s: s["minus"].isNotNull())
+    found = F.when(some, F.sort_array(F.concat("of_units", passages)))
+    empty = F.array().cast("array<struct<license:string,dice:double>>")
+    return scanned.select(
         "doc_id", F.size("units").cast("long").alias("n_units"),
-        F.transform(
+        F.coalesce(F.transform(
             found, lambda s: F.struct(s["license"].alias("license"), (-s["minus"]).alias("dice"))
-        ).alias("matches"),
+        ), empty).alias("matches"),
     )
 
 

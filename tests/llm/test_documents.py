@@ -239,6 +239,51 @@ def test_licences_on_odd_rows(make_docs, same, odd_rows):
     assert license_scans.matches(make_docs([])).count() == 0
 
 
+def _laid_out(name):
+    """A template with a blank line after every third line."""
+    lines = [line.strip() for line in license_scans.TEMPLATES[name].split("\n")]
+    return "\n\n".join("\n".join(lines[i : i + 3]) for i in range(0, len(lines), 3))
+
+
+def test_licences_inside_larger_documents(make_docs):
+    """Several paragraphs followed by code, and a sentence in mid-line."""
+    code = "\n\n".join(f"def f{i}(a, b):\n    return a + b * {i}" for i in range(60))
+    names = ["MIT", "Apache-2.0 (notice)", "GPL-3.0 (notice)", "BSD-2-Clause"]
+    texts = [(i, f"{code}\n\n{_laid_out(name)}\n\n{code}") for i, name in enumerate(names)]
+    prose = "some words of prose "
+    texts += [(10, f"{prose * 9}released under the MIT License {prose * 9}"), (11, f"{code}\n{prose * 99}"),
+              (12, f"{code}\nReleased under the MIT licence?\n{code}")]
+    found = {r.doc_id: r.matches for r in license_scans.matches(make_docs(texts)).collect()}
+    for i, name in enumerate(names):
+        assert (found[i][0].license, found[i][0].dice) == (name, 1.0)
+    assert [(m.license, m.dice) for m in found[10]] == [("MIT (name)", 1.0)]
+    assert found[11] == [] and found[12] == []  # 12: a line judged as a whole
+
+
+def test_passages_are_the_best_of_all_runs(make_docs):
+    """Against every run of words, on a template with repeats and texts of its words."""
+    template = "a b c a b d e f"
+    known, some = set(license_scans.bigrams(template)), random.Random(6)
+    span = license_scans.sizes(len(known), 0.8)[1] + 7 - len(known)
+    texts = []
+    for i in range(150):
+        words = template.split()
+        for _ in range(some.choice([0, 1, 1, 2])):
+            words[some.randrange(8)] = some.choice("abxy")
+        around = [[some.choice("abcdexyz") for _ in range(some.randint(12, 20))] for _ in range(2)]
+        words = around[0] + words + around[1]
+        texts.append((i, " ".join(words)))
+    found = license_scans.matches(make_docs(texts), {"t": template})
+    got = {r.doc_id: [round(m.dice, 9) for m in r.matches] for r in found.collect()}
+    for i, text in texts:
+        w = text.split()
+        pairs = [f"{a} {b}" for a, b in zip(w, w[1:])]
+        runs = [set(pairs[a:b]) for a in range(len(pairs)) for b in range(a + 1, min(a + span, len(pairs)) + 1)]
+        best = max(2 * len(r & known) / (len(r) + len(known)) for r in runs)
+        assert got[i] == ([round(best, 9)] if best >= 0.8 else []), text
+    assert 20 < sum(map(bool, got.values())) < 150
+
+
 def test_sizes_bound_the_coefficient():
     for n in (3, 10, 170):
         low, high = license_scans.sizes(n, 0.8)
