@@ -13,7 +13,9 @@ member outside its largest component with all members, in blocks of QUERIES. No
 within a component is looked at, and in a bucket no list of all pairs is ever made.
 
 Links are confirmed on the full sets of words. First each class's likeliest partner is
-confirmed; of the other pairs only those between different components are left.
+confirmed; of the other pairs only those between different components are left. In a large
+bucket a member outside is confirmed with the likeliest members of a component first; while
+that leaves the two apart, more of them follow until no pair is held back.
 
 Two texts at similarity 0.8 share no band with probability (1 - 0.8 ** ROWS) ** BANDS,
 5e-6, and less above.
@@ -44,6 +46,7 @@ SAMPLE = 16_384
 SMALL = 24
 PIVOTS = 3
 QUERIES = 256
+FIRST, MORE = 1, 32
 LAST_ID = 2**63 - 1
 _ODD = np.uint64(0x9E3779B97F4A7C15)  # 2 ** 64 over the golden ratio
 _STEP = 128
@@ -258,13 +261,14 @@ def _likeliest(pairs: DataFrame) -> DataFrame:
     return ends.groupBy("cls").agg(F.min("p").alias("p")).select("p.a", "p.b").distinct()
 
 
-_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("bits", pa.int64()), ("limit", pa.float64())])
+_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("held", pa.bool_())])
 
 
 class _Block:
     """Up to some QUERIES classes of a bucket, held against a stream of its members."""
 
-    def __init__(self):
+    def __init__(self, most_sure: int):
+        self.most_sure = most_sure
         self.rows: list[tuple] = []
 
     def add(self, part: pa.RecordBatch) -> None:
@@ -272,7 +276,10 @@ class _Block:
         self.rows += [(c, m, n, np.frombuffer(s, np.uint64)) for c, m, n, s in zip(*columns)]
 
     def pairs(self, part: pa.RecordBatch) -> Iterator[tuple]:
-        """Pairs not rejected, between components; of the sure ones one per component."""
+        """Pairs not rejected, between components; of the likely ones ``most_sure`` per component.
+
+        The third value tells that likely pairs with the same component are held back.
+        """
         cls, component, n = (part[c].to_numpy() for c in ("cls", "component", "n"))
         sketches = part["sketch"].to_pylist()
         by_width: dict[int, list[int]] = {}
@@ -289,19 +296,22 @@ class _Block:
                 most = limit(n[at], own_n)
                 ok = (bits <= most) & (component[at] != own_component)
                 ok &= 100 * np.minimum(n[at], own_n) >= 80 * np.maximum(n[at], own_n)
-                met = set()
+                met: dict[int, list[int]] = {}
                 for i in np.flatnonzero(ok)[np.argsort(bits[ok] / most[ok], kind="stable")]:
-                    if bits[i] <= 0.75 * most[i]:
-                        if component[at[i]] in met:
-                            continue
-                        met.add(component[at[i]])
                     other = int(cls[at[i]])
-                    yield min(own, other), max(own, other), int(bits[i]), float(most[i])
+                    if bits[i] <= 0.75 * most[i]:
+                        met.setdefault(component[at[i]], []).append(other)
+                    else:
+                        yield min(own, other), max(own, other), False
+                for likely in met.values():
+                    held = len(likely) > self.most_sure
+                    for other in likely[: self.most_sure]:
+                        yield min(own, other), max(own, other), held
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _blocks(batches: Iterator[pa.RecordBatch], most_sure: int) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (key, block, kind): a block's queries (kind 0), then members (kind 1)."""
-    current, block = None, _Block()
+    current, block = None, _Block(most_sure)
     for batch in batches:
         group = np.stack([batch[c].to_numpy() for c in ("key", "block", "kind")])
         ends = np.flatnonzero(np.any(np.diff(group, axis=1) != 0, axis=0)) + 1
@@ -311,7 +321,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             part = batch.slice(low, high - low)
             if (head := tuple(group[:2, low])) != current:
-                current, block = head, _Block()
+                current, block = head, _Block(most_sure)
             if group[2, low] == 0:
                 block.add(part)
             else:
@@ -321,8 +331,8 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, schema=_PAIR)
 
 
-def _left_over(members: DataFrame, comps: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs of large buckets that several components share, outside the largest one."""
+def _left_over(members: DataFrame, comps: DataFrame, reps: DataFrame, most_sure: int) -> DataFrame:
+    """Pairs (a, b, held) of large buckets that several components share, outside the largest one."""
     large = members.where(F.col("size") > SMALL).select("key", "cls", "n")
     placed = large.join(comps.toDF("cls", "component"), "cls", "left").withColumn(
         "component", F.coalesce("component", "cls")
@@ -349,9 +359,27 @@ def _left_over(members: DataFrame, comps: DataFrame, reps: DataFrame) -> DataFra
     found = (
         rows.repartition("key", "block")
         .sortWithinPartitions("key", "block", "kind")
-        .mapInArrow(_blocks, "a long, b long, bits long, limit double")
+        .mapInArrow(lambda batches: _blocks(batches, most_sure), "a long, b long, held boolean")
     )
-    return found.groupBy("a", "b").agg(F.first("bits").alias("bits"), F.first("limit").alias("limit"))
+    return found.groupBy("a", "b").agg(F.max("held").alias("held"))
+
+
+def _with_left_over(members: DataFrame, comps: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
+    """The components when all pairs of large buckets are confirmed or within one.
+
+    A pair that was held back is within a component once the pair handed on for it is. The
+    number of pairs handed on grows by a factor, so few rounds reach the whole of a batch.
+    """
+    most_sure, tried = FIRST, None
+    while True:
+        found = staged(_left_over(members, comps, reps, most_sure), "left")
+        fresh = found if tried is None else found.join(tried, ["a", "b"], "left_anti")
+        late = _confirmed(fresh, texts)
+        comps = staged(components(comps.toDF("a", "b").union(late)), "components")
+        if _across(found.where("held"), comps).isEmpty():
+            return comps
+        tried = found.select("a", "b") if tried is None else tried.union(fresh.select("a", "b"))
+        most_sure *= MORE
 
 
 def classes_and_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -391,8 +419,7 @@ def _classes_and_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rest = _across(passing.join(first, ["a", "b"], "left_anti"), comps)
     links = staged(links.union(_confirmed(rest, texts)), "links")
     comps = staged(components(links), "components")
-    late = _confirmed(_left_over(members, comps, reps), texts)
-    comps = staged(components(comps.toDF("a", "b").union(late)), "components")
+    comps = _with_left_over(members, comps, reps, texts)
 
     of_class = classes.join(comps.toDF("cls", "component"), "cls", "left").withColumn(
         "component", F.coalesce("component", "cls")

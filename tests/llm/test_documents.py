@@ -164,6 +164,34 @@ def test_near_duplicates_in_large_groups(make_docs, monkeypatch, small, queries)
     assert _near_rows(make_docs(texts)) == _plain_components(texts)
 
 
+def test_a_likely_pair_that_fails_holds_no_link_back(make_docs, monkeypatch):
+    """q differs in fewer bits from c1 (similarity 0.75) than from c2 (0.82), and c1 and c2 are linked."""
+    import numpy as np
+
+    monkeypatch.setattr(near_dedup, "SAMPLE", 1024)
+    c2 = [f"a{i}" for i in range(1641)]
+    q = [*c2, *(f"s{i}" for i in range(75)), *(f"q{i}" for i in range(285))]
+    c1 = [*c2, *(f"s{i}" for i in range(75)), *(f"c{i}" for i in range(286))]
+    texts = [(i, " ".join(words)) for i, words in enumerate((q, c1, c2))]
+    docs = make_docs(texts)
+    made = sorted(near_dedup.features(docs).collect(), key=lambda r: r.doc)
+    sketches = [np.frombuffer(r.sketch, np.uint64) for r in made]
+    bits = [int(np.bitwise_count(sketches[0] ^ x).sum()) for x in sketches[1:]]
+    assert bits[0] < bits[1] < 0.75 * near_dedup.limit(2000, 1640)
+
+    # One band, in which the three meet; the pivots leave q to the blocks.
+    band = next(b for b, keys in enumerate(zip(*(r.bands for r in made))) if len(set(keys)) == 1)
+    part = slice(band * near_dedup.ROWS, (band + 1) * near_dedup.ROWS)
+    for name in ("_FACTORS", "_SHIFTS"):
+        monkeypatch.setattr(near_dedup, name, getattr(near_dedup, name)[part])
+    monkeypatch.setattr(near_dedup, "BANDS", 1)
+    monkeypatch.setattr(near_dedup, "SMALL", 1)
+    pivots = near_dedup._with_pivots
+    monkeypatch.setattr(near_dedup, "_with_pivots", lambda m: pivots(m).where("n_a <> 2000 and n_b <> 2000"))
+    assert _plain_components(texts) == [(0, 2000, 0), (1, 2001, 0), (2, 1640, 0)]
+    assert _near_rows(docs) == _plain_components(texts)
+
+
 def test_one_of_each_keeps_columns(make_docs, odd_rows):
     docs = make_docs(odd_rows)
     kept = near_dedup.one_of_each(docs)
