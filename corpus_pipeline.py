@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from roadpulse.llm import line_dedup, mixing, near_dedup, quality_rules, sentence_pieces
 from roadpulse.llm.common import staged
 
+# Words in a shingle of near_dedup: pairs, as in op5_near_dedup, so that both give the same groups.
+NEAR_WIDTH = 2
+
 
 def _quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.rejected_go(docs)
@@ -24,7 +27,7 @@ def _line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dedup.one_of_each(docs)
+    return near_dedup.one_of_each(docs, NEAR_WIDTH)
 
 
 def _mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

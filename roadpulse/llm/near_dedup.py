@@ -1,7 +1,7 @@
 """Near-duplicate documents by banded MinHash, checked with odd sketches and then exactly.
 
-A document's set holds its distinct word pairs (A-Z lower-cased; a single word stands for
-itself). Equal sets are one class; only classes go on. A class has BANDS keys of ROWS
+A document's set holds its distinct shingles, runs of ``width`` words (WIDTH, word pairs,
+unless asked otherwise; A-Z lower-cased; a text with fewer words stands for itself). Equal sets are one class; only classes go on. A class has BANDS keys of ROWS
 MinHash values each, and an odd sketch: the parities, by bit position, of its SAMPLE
 smallest hash values. Sets up to SAMPLE are sampled whole, and then the bits in which two
 sketches differ are at most the elements in which the sets differ, so a pair rejected by
@@ -41,6 +41,7 @@ from pyspark.sql import types as T
 from roadpulse.llm.common import arrow_batches, ascii_lower, staged, whole_text, words
 from roadpulse.llm.components import components
 
+WIDTH = 2
 ROWS, BANDS = 6, 40
 SAMPLE = 16_384
 SMALL = 24
@@ -64,12 +65,15 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def shingle_set(word_hashes: np.ndarray) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the word pairs."""
+def shingle_set(word_hashes: np.ndarray, width: int = WIDTH) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the runs of ``width`` words."""
     w = word_hashes.view(np.uint64)
-    if len(w) < 2:
-        return _mix(w + np.uint64(1))
-    return np.unique(_mix(_mix(w[:-1]) * np.uint64(3) + w[1:]))
+    length = max(1, min(width, len(w)))
+    runs = len(w) - length + 1
+    h = w[:runs]
+    for i in range(1, length):
+        h = _mix(h) * np.uint64(3) + w[i : i + runs]
+    return np.unique(_mix(h if len(w) >= width else h + np.uint64(1)))
 
 
 def minhashes(items: np.ndarray) -> np.ndarray:
@@ -121,7 +125,7 @@ _FEATURES = pa.schema(
 )
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _features(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     parts = (b.slice(low, _PART) for b in batches for low in range(0, b.num_rows, _PART))
     for batch in parts:
         lists = batch["words"]
@@ -129,7 +133,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends = np.cumsum(np.diff(lists.offsets.to_numpy()))
         out = []
         for low, high in zip([0, *ends[:-1]], ends):
-            items = shingle_set(flat[low:high])
+            items = shingle_set(flat[low:high], width)
             if not len(items):
                 out.append((0, 0, 0, None, None))
                 continue
@@ -149,14 +153,14 @@ def _tag() -> Column:
     return F.xxhash64("text")
 
 
-def features(docs: DataFrame) -> DataFrame:
+def features(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(row_id, doc, tag, n, d1, d2, bands, sketch) per row; ``tag`` tells texts of a doc apart."""
     hashes = F.transform(words(ascii_lower(whole_text(F.col("text")))), lambda w: F.xxhash64(w))
     return docs.select(
         F.monotonically_increasing_id().alias("row_id"), _doc().alias("doc"), _tag().alias("tag"),
         hashes.alias("words"),
     ).mapInArrow(
-        _features,
+        lambda batches: _features(batches, width),
         "row_id long, doc long, tag long, n long, d1 long, d2 long, bands array<long>, sketch binary",
     )
 
@@ -222,29 +226,32 @@ def _passing(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return measured.where("bits <= limit")
 
 
-@F.arrow_udf(T.BooleanType())
-def _linked(left: pa.Array, right: pa.Array) -> pa.Array:
+def _linked(left: Column, right: Column, width: int) -> Column:
     """Whether the full sets reach the threshold. Bytes split and lower as the definition asks."""
 
     def items(text: str) -> set:
         w = text.encode().lower().split()
-        return set(zip(w, w[1:])) if len(w) > 1 else set(w)
+        return set(zip(*(w[i:] for i in range(width)))) if len(w) >= width else {tuple(w)} - {()}
 
     def linked(a: str, b: str) -> bool:
         x, y = items(a), items(b)
         both = len(x & y)
         return 100 * both >= 80 * (len(x) + len(y) - both)
 
-    return pa.array([linked(a.as_py(), b.as_py()) for a, b in zip(left, right)], pa.bool_())
+    @F.arrow_udf(T.BooleanType())
+    def each(left: pa.Array, right: pa.Array) -> pa.Array:
+        return pa.array([linked(a.as_py(), b.as_py()) for a, b in zip(left, right)], pa.bool_())
 
+    return each(left, right)
 
-def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+
+def _confirmed(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """The pairs (a, b) whose texts are linked."""
     left = texts.select(F.col("cls").alias("a"), F.col("text").alias("t_a"))
     right = texts.select(F.col("cls").alias("b"), F.col("text").alias("t_b"))
     # Sorted joins: one class may stand in very many pairs, and such a partition can be split.
     both = pairs.select("a", "b").join(left, "a").join(right, "b")
-    return both.where(_linked("t_a", "t_b")).select("a", "b")
+    return both.where(_linked(F.col("t_a"), F.col("t_b"), width)).select("a", "b")
 
 
 def _across(pairs: DataFrame, comps: DataFrame) -> DataFrame:
@@ -364,7 +371,9 @@ def _left_over(members: DataFrame, comps: DataFrame, reps: DataFrame, most_sure:
     return found.groupBy("a", "b").agg(F.max("held").alias("held"))
 
 
-def _with_left_over(members: DataFrame, comps: DataFrame, reps: DataFrame, texts: DataFrame) -> DataFrame:
+def _with_left_over(
+    members: DataFrame, comps: DataFrame, reps: DataFrame, texts: DataFrame, width: int
+) -> DataFrame:
     """The components when all pairs of large buckets are confirmed or within one.
 
     A pair that was held back is within a component once the pair handed on for it is. The
@@ -374,7 +383,7 @@ def _with_left_over(members: DataFrame, comps: DataFrame, reps: DataFrame, texts
     while True:
         found = staged(_left_over(members, comps, reps, most_sure), "left")
         fresh = found if tried is None else found.join(tried, ["a", "b"], "left_anti")
-        late = _confirmed(fresh, texts)
+        late = _confirmed(fresh, texts, width)
         comps = staged(components(comps.toDF("a", "b").union(late)), "components")
         if _across(found.where("held"), comps).isEmpty():
             return comps
@@ -382,14 +391,14 @@ def _with_left_over(members: DataFrame, comps: DataFrame, reps: DataFrame, texts
         most_sure *= MORE
 
 
-def classes_and_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def classes_and_components(docs: DataFrame, width: int = WIDTH) -> tuple[DataFrame, DataFrame]:
     """(row_id, doc, tag, n, d1, d2) of all rows, and (d1, d2, component_id) of all classes."""
     with arrow_batches(docs.sparkSession, BATCH_ROWS):
-        return _classes_and_components(docs)
+        return _classes_and_components(docs, width)
 
 
-def _classes_and_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    rows = staged(features(docs), "features")
+def _classes_and_components(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
+    rows = staged(features(docs, width), "features")
     full = rows.where("n > 0")
     classes = staged(
         full.groupBy("d1", "d2").agg(F.min("row_id").alias("cls"), F.min("doc").alias("first_doc")),
@@ -414,12 +423,12 @@ def _classes_and_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
     first = _likeliest(passing)
-    links = staged(_confirmed(first, texts), "links")
+    links = staged(_confirmed(first, texts, width), "links")
     comps = staged(components(links), "components")
     rest = _across(passing.join(first, ["a", "b"], "left_anti"), comps)
-    links = staged(links.union(_confirmed(rest, texts)), "links")
+    links = staged(links.union(_confirmed(rest, texts, width)), "links")
     comps = staged(components(links), "components")
-    comps = _with_left_over(members, comps, reps, texts)
+    comps = _with_left_over(members, comps, reps, texts, width)
 
     of_class = classes.join(comps.toDF("cls", "component"), "cls", "left").withColumn(
         "component", F.coalesce("component", "cls")
@@ -429,18 +438,18 @@ def _classes_and_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.select("row_id", "doc", "tag", "n", "d1", "d2"), named
 
 
-def memberships(docs: DataFrame) -> DataFrame:
+def memberships(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """Per row: doc, tag, n_shingles and the id of its component."""
-    rows, named = classes_and_components(docs)
+    rows, named = classes_and_components(docs, width)
     with_words = F.col("n") > 0
     joined = rows.withColumn("has", with_words).join(named, ["d1", "d2"], "left")
     own = F.when(F.col("has"), F.col("component_id")).otherwise(F.col("doc"))
     return joined.select("doc", "tag", F.col("n").alias("n_shingles"), own.alias("component"))
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """One document of each component, the one with the smallest id, with its columns."""
-    judged = memberships(docs).where(F.col("doc") == F.col("component")).select("doc", "tag").distinct()
+    judged = memberships(docs, width).where(F.col("doc") == F.col("component")).select("doc", "tag").distinct()
     rows = docs.select(F.struct("*").alias("row"), _doc().alias("doc"), _tag().alias("tag"))
     return rows.join(judged.hint("shuffle_hash"), ["doc", "tag"], "left_semi").select("row.*")
 

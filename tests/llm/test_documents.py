@@ -192,6 +192,17 @@ def test_a_likely_pair_that_fails_holds_no_link_back(make_docs, monkeypatch):
     assert _near_rows(docs) == _plain_components(texts)
 
 
+def test_width_of_shingles(make_docs):
+    """25 words changed over 500: similarity 0.82 on word pairs, 0.6 on five words."""
+    base = [f"b{i}" for i in range(500)]
+    edited = [f"x{i}" if i % 20 == 10 else w for i, w in enumerate(base)]
+    docs = make_docs([(1, " ".join(base)), (2, " ".join(edited)), (3, "three words only"), (4, "Three words only")])
+    counts = {w: sorted((r.doc, r.n_shingles, r.component) for r in near_dedup.memberships(docs, w).collect()) for w in (2, 5)}
+    assert counts[2] == [(1, 499, 1), (2, 499, 1), (3, 2, 3), (4, 2, 3)]
+    assert counts[5] == [(1, 496, 1), (2, 496, 2), (3, 1, 3), (4, 1, 3)]
+    assert sorted(r.doc_id for r in near_dedup.one_of_each(docs, 5).collect()) == [1, 2, 3]
+
+
 def test_one_of_each_keeps_columns(make_docs, odd_rows):
     docs = make_docs(odd_rows)
     kept = near_dedup.one_of_each(docs)
