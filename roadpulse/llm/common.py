@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roadpulse.session import scratch_dir
@@ -78,3 +78,39 @@ def sampled(rows: DataFrame, most: int, seed: int, key: str = "doc_id") -> DataF
     place = F.xxhash64(key, F.lit(seed))
     share = (most + 6 * most**0.5 + 10) / max(rows.count(), 1)
     return rows.where(place / 2.0**64 + 0.5 < share).orderBy(place, key).limit(most)
+
+
+def running_total(rows: DataFrame, order: Sequence[str | Column], amount: Column, name: str) -> DataFrame:
+    """``rows``, staged, with ``name``: the sum of ``amount`` over all rows earlier in ``order``.
+
+    Rows are dealt out by ranges of the order; ranges are summed apart and shifted by the
+    totals of earlier ones, so no task sees all rows. Rows that are equal in ``order`` must
+    be equal in ``amount`` or may be taken in any order.
+    """
+    spark = rows.sparkSession
+    ranges = max(2, spark.sparkContext.defaultParallelism)
+    parts = staged(
+        rows.withColumn("_amount", amount)
+        .repartitionByRange(ranges, *order)
+        .withColumn("_part", F.spark_partition_id()),
+        "ranges",
+    )
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    totals = parts.groupBy("_part").agg(F.sum("_amount").alias("_total"))
+    shifts = totals.select("_part", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_shift"))
+    within = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_amount").over(within), F.lit(0)) + F.col("_shift")
+    out = parts.join(shifts, "_part").withColumn(name, before.cast("long"))
+    return staged(out.drop("_part", "_amount", "_shift"), "totals")
+
+
+def cut_bytes(text: bytes, most: int) -> Iterator[bytes]:
+    """A long text in pieces of about ``most`` bytes, cut at spaces only."""
+    start = 0
+    while len(text) - start > most:
+        end = text.find(b" ", start + most)
+        if end < 0:
+            break
+        yield text[start:end]
+        start = end + 1
+    yield text[start:] if start else text

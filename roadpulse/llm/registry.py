@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from roadpulse.llm import (
+    best_fit_packing,
     chat_tools,
+    lexical_search,
     license_scans,
     line_dedup,
     mixing,
     near_dedup,
+    phrase_mining,
     projection_forest,
     quality_classifier,
     quality_rules,
@@ -28,6 +31,9 @@ def queries() -> dict:
         "op8_chat_tools": chat_tools.op8_chat_tools,
         "op9_mixing": mixing.op9_mixing,
         "op10_quality_classifier": quality_classifier.op10_quality_classifier,
+        "op11_phrase_mining": phrase_mining.op11_phrase_mining,
+        "op12_lexical_search": lexical_search.op12_lexical_search,
+        "op13_best_fit_packing": best_fit_packing.op13_best_fit_packing,
     }
 
 
@@ -38,4 +44,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_quality_rules": quality_rules.SQL,
         "op8_chat_tools": chat_tools.SQL,
         "op9_mixing": mixing.SQL,
+        "op11_phrase_mining": phrase_mining.SQL,
+        "op12_lexical_search": lexical_search.SQL,
     }

@@ -16,5 +16,5 @@ def test_query_equals_sql(spark, sf, name):
 
 def test_all_are_registered():
     names = entry_point.queries().keys()
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in registry.queries()}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in registry.queries()}
     assert registry.queries().keys() | {"pipeline"} <= names
