@@ -1,7 +1,9 @@
 """Double-array tries over whole numbers, in numpy.
 
-A state's child by the number c lies at ``base[state] + c`` if ``check`` there names the state.
-State 1 is the root, 0 is none. Keys have one length; the last state of a key accepts it.
+A state's child by the digit d lies at ``base[state] + d`` if ``check`` there names the state.
+State 1 is the root, 0 is none. Keys have one length; the last state of a key accepts it. A
+number is as many digits of DIGIT_BITS bits as the largest one needs, the highest first: the
+children of a state then lie close together, and the array is hardly longer than it has states.
 """
 
 from __future__ import annotations
@@ -9,36 +11,39 @@ from __future__ import annotations
 import numpy as np
 
 ROOT = 1
-TRIES = 96
+TRIES = 32
+DIGIT_BITS = 6
+_MASK = (1 << DIGIT_BITS) - 1
 
 
 class DoubleArray:
     """``number`` of an accepting state is the key's place among the sorted keys, else -1."""
 
-    def __init__(self, base: np.ndarray, check: np.ndarray, number: np.ndarray):
-        self.base, self.check, self.number = base, check, number
+    def __init__(self, base: np.ndarray, check: np.ndarray, number: np.ndarray, digits: int):
+        self.base, self.check, self.number, self.digits = base, check, number, digits
 
     @classmethod
     def build(cls, keys: np.ndarray) -> DoubleArray:
         """Of distinct rows of positive numbers, sorted as rows."""
-        places = _Places(int(keys.max(initial=0)))
+        digits = max(1, -(-int(keys.max(initial=0)).bit_length() // DIGIT_BITS))
+        places = _Places()
         state = np.full(len(keys), ROOT, np.int64)
         for depth in range(keys.shape[1]):
-            code = keys[:, depth]
-            first = np.ones(len(keys), bool)
-            first[1:] = (state[1:] != state[:-1]) | (code[1:] != code[:-1])
-            edge = np.flatnonzero(first)
-            state = places.children(state[edge], code[edge])[np.cumsum(first) - 1]
+            for digit in _digits(keys[:, depth], digits):
+                first = np.ones(len(keys), bool)
+                first[1:] = (state[1:] != state[:-1]) | (digit[1:] != digit[:-1])
+                edge = np.flatnonzero(first)
+                state = places.children(state[edge], digit[edge])[np.cumsum(first) - 1]
         base, check = places.arrays()
         number = np.full(len(check), -1, np.int32)
         number[state] = np.arange(len(keys))
-        return cls(base, check, number)
+        return cls(base, check, number, digits)
 
-    def step(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
-        """The states after one more number each, 0 where there is no such child."""
-        at = self.base[state] + code
+    def step(self, state: np.ndarray, digit: np.ndarray) -> np.ndarray:
+        """The states after one more digit each, 0 where there is no such child."""
+        at = self.base[state].astype(np.int64) + digit
         at[(at < 0) | (at >= len(self.check))] = 0  # place 0 is nobody's child
-        return np.where((self.check[at] == state) & (state > 0) & (code > 0), at, 0)
+        return np.where(self.check[at] == state, at, 0)
 
     def walk(self, codes: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         """(starts, numbers) of those starts at which a key of ``length`` codes begins.
@@ -48,17 +53,24 @@ class DoubleArray:
         starts = starts[starts <= len(codes) - length]
         state = np.full(len(starts), ROOT, np.int64)
         for depth in range(length):
-            state = self.step(state, codes[starts + depth])
-            alive = state > 0
-            starts, state = starts[alive], state[alive]
+            code = codes[starts + depth]
+            known = (code > 0) & (code >> (DIGIT_BITS * self.digits) == 0)
+            starts, state = starts[known], state[known]
+            for digit in range(self.digits - 1, -1, -1):
+                state = self.step(state, (codes[starts + depth] >> (DIGIT_BITS * digit)) & _MASK)
+                alive = state > 0
+                starts, state = starts[alive], state[alive]
         return starts, self.number[state]
 
 
+def _digits(codes: np.ndarray, digits: int) -> list[np.ndarray]:
+    return [(codes >> (DIGIT_BITS * i)) & _MASK for i in range(digits - 1, -1, -1)]
+
+
 class _Places:
     """Finds free places for the children of states; grows as needed."""
 
-    def __init__(self, largest: int):
-        self.largest = largest
+    def __init__(self):
         self.base = np.zeros(2, np.int64)
         self.check = np.full(2, -1, np.int32)  # 0 would be free
         self.end = 2  # all places from here on are free
@@ -115,4 +127,4 @@ class _Places:
         return at
 
     def arrays(self) -> tuple[np.ndarray, np.ndarray]:
-        return self.base[: self.end].copy(), self.check[: self.end].copy()
+        return self.base[: self.end].astype(np.int32), self.check[: self.end].copy()

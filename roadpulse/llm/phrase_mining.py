@@ -42,7 +42,7 @@ SCALE = 2_000_000
 
 DICTIONARY = 1_000_000
 TRIE_PHRASES = 250_000
-PASS_TRIES = 8
+PASS_TRIES = 4
 BLOCK_CODES = 1 << 20
 PAIRS_HELD = 1 << 22
 WORDS_HELD = 500_000
@@ -206,14 +206,14 @@ def _build(length: int) -> Callable:
         names = _names(length)
         frame = frame.sort_values(names)
         trie = DoubleArray.build(frame[names].to_numpy(np.int64))
-        row = (frame["trie"].iloc[0], trie.base.tobytes(), trie.check.tobytes(), trie.number.tobytes(),
+        row = (frame["trie"].iloc[0], trie.digits, trie.base.tobytes(), trie.check.tobytes(), trie.number.tobytes(),
                frame["number"].to_numpy(np.int64).tobytes(), frame["f"].to_numpy(np.int64).tobytes())
         return pd.DataFrame([row])
 
     return run
 
 
-_TRIE = "trie long, base binary, check binary, number binary, numbers binary, counts binary"
+_TRIE = "trie long, digits int, base binary, check binary, number binary, numbers binary, counts binary"
 
 
 def _tries(phrases: DataFrame, length: int) -> DataFrame:
@@ -229,8 +229,8 @@ class _Tries:
         self.tries = []
         for row in table.to_pylist():
             trie = DoubleArray(
-                np.frombuffer(row["base"], np.int64), np.frombuffer(row["check"], np.int32),
-                np.frombuffer(row["number"], np.int32),
+                np.frombuffer(row["base"], np.int32), np.frombuffer(row["check"], np.int32),
+                np.frombuffer(row["number"], np.int32), row["digits"],
             )
             self.tries.append((trie, np.frombuffer(row["numbers"], np.int64), np.frombuffer(row["counts"], np.int64)))
 
