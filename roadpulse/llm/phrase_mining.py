@@ -3,7 +3,7 @@
 Per language, phrases of 2 to 4 words found at least ``least`` times are scored by the weakest
 place at which they can be cut. Words that are rare themselves cannot be part of such a phrase,
 so texts become arrays of the numbers of frequent words, with 0 where a phrase cannot go on (a rare
-word, the end of a piece or a text), staged once as blocks of about a million.
+word, the end of a piece or a text), staged once as blocks of some 250,000.
 
 Level by level (Apriori): a phrase of k words can be frequent only where both its first and its
 last k - 1 words are. Pairs are counted as two numbers, combined within tasks first: there are as
@@ -43,10 +43,11 @@ SCALE = 2_000_000
 DICTIONARY = 1_000_000
 TRIE_PHRASES = 250_000
 PASS_TRIES = 4
-BLOCK_CODES = 1 << 20
-PAIRS_HELD = 1 << 22
-WORDS_HELD = 500_000
-BATCH_ROWS = 512
+BLOCK_CODES = 1 << 18
+PAIRS_HELD = 1 << 21
+WORDS_HELD = 250_000
+BATCH_ROWS = 256
+BATCH_BLOCKS = 4
 SEGMENT = 1 << 22
 SALTS = 32
 
@@ -329,14 +330,15 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     vocabulary = running_total(frequent, [F.desc("f"), "lang", "word"], F.lit(1), "code")
     vocabulary = vocabulary.withColumn("code", (F.col("code") + 1).cast("int"))
     blocks = _coded(docs, vocabulary, vocabulary.count())
-    pairs = blocks.mapInArrow(_count_pairs, "pair long, f long").groupBy("pair").agg(F.sum("f").alias("f"))
-    pairs = pairs.where(F.col("f") >= least).select(
-        F.shiftright("pair", 32).cast("int").alias("c1"),
-        F.col("pair").bitwiseAND(F.lit(2**32 - 1)).cast("int").alias("c2"), "f",
-    )
-    levels = {2: _numbered(pairs, 2)}
-    for length in range(3, longest + 1):
-        levels[length] = _level(blocks, levels[length - 1], length, least)
+    with arrow_batches(docs.sparkSession, BATCH_BLOCKS):
+        pairs = blocks.mapInArrow(_count_pairs, "pair long, f long").groupBy("pair").agg(F.sum("f").alias("f"))
+        pairs = pairs.where(F.col("f") >= least).select(
+            F.shiftright("pair", 32).cast("int").alias("c1"),
+            F.col("pair").bitwiseAND(F.lit(2**32 - 1)).cast("int").alias("c2"), "f",
+        )
+        levels = {2: _numbered(pairs, 2)}
+        for length in range(3, longest + 1):
+            levels[length] = _level(blocks, levels[length - 1], length, least)
     phrases = vocabulary.select(F.array("code").alias("codes"), "f")
     for length, found in levels.items():
         if length <= longest:
