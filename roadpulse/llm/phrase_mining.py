@@ -44,7 +44,7 @@ DICTIONARY = 1_000_000
 TRIE_PHRASES = 250_000
 PASS_TRIES = 4
 BLOCK_CODES = 1 << 18
-PAIRS_HELD = 1 << 21
+PAIRS_HELD = 1 << 20
 WORDS_HELD = 250_000
 BATCH_ROWS = 256
 BATCH_BLOCKS = 4
@@ -180,12 +180,19 @@ def _coded(docs: DataFrame, vocabulary: DataFrame, n_words: int) -> DataFrame:
 
 
 def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(pair, f): both numbers of a pair in one, each pair once per task where it has room for them."""
+    none = np.zeros(0, np.int64)
+    pairs, counts = none, none
     held: list[np.ndarray] = []
 
-    def out() -> pa.RecordBatch:
-        pair, n = np.unique(np.concatenate(held), return_counts=True)
+    def combined() -> tuple[np.ndarray, np.ndarray]:
+        new, n = np.unique(np.concatenate([none, *held]), return_counts=True)
         held.clear()
-        return pa.RecordBatch.from_arrays([pa.array(pair), pa.array(n)], names=["pair", "f"])
+        both, f = np.concatenate([pairs, new]), np.concatenate([counts, n])
+        order = np.argsort(both, kind="stable")
+        both, f = both[order], f[order]
+        first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))[: len(both)]
+        return (both[first], np.add.reduceat(f, first)) if len(f) else (both, f)
 
     for batch in batches:
         for block in batch["codes"].to_pylist():
@@ -193,9 +200,12 @@ def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             both = (codes[:-1] > 0) & (codes[1:] > 0)
             held.append((codes[:-1][both] << 32) | codes[1:][both])
             if sum(map(len, held)) >= PAIRS_HELD:
-                yield out()
-    if held:
-        yield out()
+                pairs, counts = combined()
+                if len(pairs) >= PAIRS_HELD:
+                    yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(counts)], names=["pair", "f"])
+                    pairs, counts = none, none
+    pairs, counts = combined()
+    yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(counts)], names=["pair", "f"])
 
 
 def _names(length: int) -> list[str]:
@@ -324,14 +334,17 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     word, f, code) and per language the number of all words (lang, n)."""
     with arrow_batches(docs.sparkSession, BATCH_ROWS):
         counted = _texts(docs).mapInArrow(_count_words, "lang string, word binary, f long")
-        words = staged(counted.groupBy("lang", "word").agg(F.sum("f").alias("f")), "words")
+        dealt = counted.repartition("lang", "word")  # combined within tasks already
+        words = staged(dealt.groupBy("lang", "word").agg(F.sum("f").alias("f")), "words")
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     frequent = words.where(F.col("f") >= least)
     vocabulary = running_total(frequent, [F.desc("f"), "lang", "word"], F.lit(1), "code")
     vocabulary = vocabulary.withColumn("code", (F.col("code") + 1).cast("int"))
     blocks = _coded(docs, vocabulary, vocabulary.count())
     with arrow_batches(docs.sparkSession, BATCH_BLOCKS):
-        pairs = blocks.mapInArrow(_count_pairs, "pair long, f long").groupBy("pair").agg(F.sum("f").alias("f"))
+        # Combined within tasks already: a second time before the shuffle would only cost memory.
+        counted = blocks.mapInArrow(_count_pairs, "pair long, f long").repartition("pair")
+        pairs = counted.groupBy("pair").agg(F.sum("f").alias("f"))
         pairs = pairs.where(F.col("f") >= least).select(
             F.shiftright("pair", 32).cast("int").alias("c1"),
             F.col("pair").bitwiseAND(F.lit(2**32 - 1)).cast("int").alias("c2"), "f",
