@@ -13,12 +13,18 @@ from roadpulse.operators.filters import above, fan_out
 from roadpulse.operators.rolling import rolling
 from roadpulse.operators.windows import sliding_sum
 from roadpulse.plans.detectors import accidents, average_speed_fines, speed_fines
-from roadpulse.plans.jobs import all_findings, findings_of, telematics
+from roadpulse.plans.jobs import all_findings, findings_of, stream_telematics, telematics
 from roadpulse.schemas import REPORT_COLUMNS
+from roadpulse.schemas import SENSOR as SENSOR_RECORD
 from roadpulse.session import ROCKSDB_PROVIDER, scratch_dir
 from roadpulse.sources import readers, writers
-from roadpulse.streaming.bounded import BoundedInput, replay, with_event_time
-from roadpulse.streaming.by_batch import AccidentsByBatch, ByBatch, RollingByBatch
+from roadpulse.streaming.bounded import (
+    ASCENDING,
+    BoundedInput,
+    replay,
+    start_available,
+    with_event_time,
+)
 from roadpulse.streaming.stateful import stream_rolling, stream_running_count
 
 try:  # the training-data operators are optional and come and go together
@@ -77,12 +83,12 @@ def _accidents(preset: str):
     return lambda spark, sf: accidents(_reports(spark, sf, preset), preset)
 
 
-def _job(preset: str):
+def _job(preset: str, sharing: str):
     """The full job into a scratch folder, and its three outputs read back as one table."""
 
     def run(spark: SparkSession, sf: str) -> DataFrame:
         out = scratch_dir(spark, "job")
-        telematics(_reports(spark, sf, preset), out, preset, sharing="rescan")
+        telematics(_reports(spark, sf, preset), out, preset, sharing=sharing)
         return _rounded(findings_of(spark, out, preset), "speed")
 
     return run
@@ -104,7 +110,7 @@ def _parse(compact: bool, lenient_columns: bool = False):
     def run(spark: SparkSession, sf: str) -> DataFrame:
         path = scratch_dir(spark, "parse")
         writers.write_csv(_all_reports(spark, sf).select(*REPORT_COLUMNS), path)
-        return readers.read_reports(spark, path, compact, lenient_columns).drop("seq")
+        return readers.read_reports(spark, path, compact, lenient_columns, numbered=False)
 
     return run
 
@@ -119,7 +125,7 @@ def _line_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 def _csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "csv")
     writers.write_csv(views.sensor(spark, sf).select("ts", "id", "value"), path)
-    return readers.read_sensor(spark, path).drop("seq")
+    return readers.read_sensor(spark, path, numbered=False)
 
 
 def _reduce_of_files(spark: SparkSession, sf: str) -> DataFrame:
@@ -131,14 +137,6 @@ def _reduce_of_files(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(rolling(readers.read_sensor(spark, path), "reduce").drop("seq"), "value")
 
 
-def _stream_running_word_count(spark: SparkSession, sf: str) -> DataFrame:
-    lines = views.lines(spark, sf)
-    return _through_stream(
-        spark, "stream-tokens", lines, "seq",
-        lambda stream: stream_running_count(numbered_tokens(stream), "word", ("seq", "pos")),
-    )
-
-
 def _tuple_text(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_dir(spark, "tuples")
     writers.write_tuple_text(speed_fines(_all_reports(spark, sf)), path)
@@ -146,19 +144,22 @@ def _tuple_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _slices(rows: DataFrame, time: str) -> list[DataFrame]:
+    """By ranges of ``time``; rows without one are in the first."""
     low, high = rows.agg(F.min(time), F.max(time)).first()
-    number = F.floor((F.col(time) - low) / ((high - low) // SLICES + 1))
+    if low is None:
+        return [rows]
+    number = F.floor((F.coalesce(F.col(time), F.lit(low)) - low) / ((high - low) // SLICES + 1))
     return [rows.where(number == i) for i in range(SLICES)]
 
 
-def _through_stream(spark, label, rows, time, operator, event_time=None, sentinel=None) -> DataFrame:
+def _through_stream(spark, label, rows, time, operator, sentinel) -> DataFrame:
     """Feed ``rows`` in slices of ``time`` through ``operator`` and return what came out."""
     root = scratch_dir(spark, label)
     source = BoundedInput(spark, root, rows.schema)
     built = {}
 
     def build(stream: DataFrame):
-        result = operator(with_event_time(stream, time, event_time) if event_time else stream)
+        result = operator(stream)
         built["schema"] = result.schema
         return writers.stream_files(result, f"{root}/out", f"{root}/checkpoint")
 
@@ -172,52 +173,91 @@ def _through_stream(spark, label, rows, time, operator, event_time=None, sentine
     return spark.read.schema(built["schema"]).parquet(f"{root}/out")
 
 
+END_OF_REPORTS = {"vid": -1, "time": 2**31 - 1, "seq": 0, "spd": 0, "xway": 0, "lane": 0, "dir": 0,
+                  "seg": 52, "pos": 274560}
+END_OF_READINGS = {"ts": 4102444800, "id": "end of input", "value": 0.0, "seq": 0}
+
+
 def _stream_accidents(spark: SparkSession, sf: str) -> DataFrame:
-    return _through_stream(spark, "stream-accidents", _all_reports(spark, sf), "time", accidents)
+    return _through_stream(
+        spark, "stream-accidents", _all_reports(spark, sf), "time",
+        lambda stream: accidents(with_event_time(stream, "time", delay=ASCENDING)), END_OF_REPORTS,
+    )
 
 
 def _stream_avg_speed(spark: SparkSession, sf: str) -> DataFrame:
-    end = {"vid": -1, "time": 2**31 - 1, "seq": 0, "spd": 0, "xway": 0, "lane": 0, "dir": 0,
-           "seg": 52, "pos": 274560}
     return _through_stream(
-        spark, "stream-average", _all_reports(spark, sf), "time", average_speed_fines, "ms", end
+        spark, "stream-average", _all_reports(spark, sf), "time",
+        lambda stream: average_speed_fines(with_event_time(stream, "time")), END_OF_REPORTS,
     )
 
 
-def _stream_sliding_sum(spark: SparkSession, sf: str) -> DataFrame:
-    end = {"ts": 4102444800, "id": "end of input", "value": 0.0, "seq": 0}
-    result = _through_stream(
-        spark, "stream-sliding", views.sensor(spark, sf), "ts", sliding_sum, "s", end
-    )
-    return _rounded(result, "value")
+def _stream_sliding(size: int, slide: int, panes: bool = False):
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        result = _through_stream(
+            spark, "stream-sliding", views.sensor(spark, sf), "ts",
+            lambda stream: sliding_sum(with_event_time(stream, "ts", "s"), size, slide, panes),
+            END_OF_READINGS,
+        )
+        return _rounded(result, "value")
+
+    return run
 
 
 def _stream_rolling_sum(spark: SparkSession, sf: str) -> DataFrame:
     result = _through_stream(
         spark, "stream-rolling", views.sensor(spark, sf), "ts",
-        lambda readings: stream_rolling(readings, "sum"),
+        lambda stream: stream_rolling(with_event_time(stream, "ts", "s", ASCENDING), "sum"), END_OF_READINGS,
     )
     return _rounded(result, "value")
 
 
-def _by_batch(spark, label, rows, time, make: Callable[[str], ByBatch], like: DataFrame) -> DataFrame:
-    """Feed ``rows`` in slices of ``time``; the result has the columns of ``like``."""
-    root = scratch_dir(spark, label)
-    target = make(root)
-    replay(BoundedInput(spark, root, rows.schema), _slices(rows, time), target.writer)
-    return target.results(spark, like.schema).drop("batch")
+def _stream_running_word_count(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines in order of their number, which is their event time."""
+    end = {"seq": 2**40, "value": "end"}
+    return _through_stream(
+        spark, "stream-tokens", views.lines(spark, sf), "seq",
+        lambda stream: stream_running_count(
+            numbered_tokens(with_event_time(stream, "seq", delay=ASCENDING), also=("event_time",)),
+            "word", ("seq", "pos"),
+        ),
+        end,
+    )
+
+
+def _stream_telematics_job(spark: SparkSession, sf: str) -> DataFrame:
+    """The full job on a stream; its three outputs read back as one table."""
+    root, rows = scratch_dir(spark, "stream-job"), _all_reports(spark, sf)
+    source = BoundedInput(spark, root, rows.schema)
+
+    def build(stream: DataFrame):
+        timed = with_event_time(stream, "time", delay=ASCENDING)
+        return stream_telematics(timed, f"{root}/out", f"{root}/checkpoint")
+
+    replay(source, _slices(rows, "time"), build, END_OF_REPORTS, spark.sparkContext.defaultParallelism)
+    return findings_of(spark, f"{root}/out")
+
 
+def _stream_reduce_of_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The sensor view as CSV files without arrival numbers, which arrive in two runs."""
+    root, sensor = scratch_dir(spark, "stream-files"), views.sensor(spark, sf)
+    folder = f"{root}/in"
 
-def _stream_accidents_by_batch(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _all_reports(spark, sf)
-    like = accidents(rows, "telematics", None)
-    return _by_batch(spark, "batch-accidents", rows, "time", AccidentsByBatch, like)
+    def append(readings: DataFrame) -> None:
+        in_order = readings.repartitionByRange(3, "ts", "seq").sortWithinPartitions("ts", "seq")
+        writers.write_text(writers.csv_lines(in_order.select("ts", "id", "value")), folder, "append")
 
+    def run() -> None:
+        stream = with_event_time(readers.stream_csv(spark, folder, SENSOR_RECORD, numbered=True), "ts", "s", ASCENDING)
+        writer = writers.stream_files(stream_rolling(stream, "reduce"), f"{root}/out", f"{root}/checkpoint")
+        start_available(spark, writer, spark.sparkContext.defaultParallelism).awaitTermination()
 
-def _stream_rolling_sum_by_batch(spark: SparkSession, sf: str) -> DataFrame:
-    rows = views.sensor(spark, sf)
-    make = lambda root: RollingByBatch(root, "sum")
-    return _rounded(_by_batch(spark, "batch-rolling", rows, "ts", make, rows), "value")
+    end = spark.createDataFrame([tuple(END_OF_READINGS.values())], "ts long, id string, value double, seq long")
+    for piece in (*_slices(sensor, "ts"), end):
+        append(piece)
+        run()
+    reduced = spark.read.schema("ts long, id string, value double, seq string").parquet(f"{root}/out")
+    return _rounded(reduced.drop("seq"), "value")
 
 
 def _stream_word_count(spark: SparkSession, sf: str) -> DataFrame:
@@ -232,7 +272,7 @@ def _stream_word_count(spark: SparkSession, sf: str) -> DataFrame:
         writer = word_count(stream).writeStream.outputMode("update").foreachBatch(store)
         return writer.option("checkpointLocation", f"{root}/checkpoint")
 
-    slices = [lines.where(F.col("seq") % SLICES == i) for i in range(SLICES)]
+    slices = [lines.where(F.coalesce(F.pmod("seq", F.lit(SLICES)), F.lit(0)) == i) for i in range(SLICES)]
     replay(source, slices, build, None, spark.sparkContext.defaultParallelism)
     updates = spark.read.schema("word string, count long, batch long").parquet(f"{root}/out")
     return updates.groupBy("word").agg(F.max("count").alias("count"))
@@ -247,9 +287,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         out[f"avg_speed_{preset}"] = _average_speed(preset)
     for preset in ("telematics", "opt", "compact"):
         out[f"accidents_{preset}"] = _accidents(preset)
-    out["telematics_job"] = _job("telematics")
-    out["telematics_job_opt"] = _job("opt")
-    out["telematics_job_compact"] = _job("compact")
+    out["telematics_job"] = _job("telematics", "table")
+    out["telematics_job_opt"] = _job("opt", "persist")
+    out["telematics_job_compact"] = _job("compact", "rescan")
     out["telematics_findings"] = _findings("telematics")
     out["sensor_filter"] = lambda spark, sf: above(views.sensor(spark, sf))
     out["sensor_fanout"] = lambda spark, sf: fan_out(views.sensor(spark, sf), "click")
@@ -258,6 +298,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["keyed_reduce"] = _rolling("reduce")
     out["sliding_sum"] = _sliding(3, 1)
     out["sliding_sum_wide"] = _sliding(3600, 600)
+    out["sliding_sum_long"] = _sliding(3600, 60)
     out["word_count"] = lambda spark, sf: word_count(views.lines(spark, sf))
     out["running_word_count"] = lambda spark, sf: running_word_count(views.lines(spark, sf))
     out["report_parse"] = _parse(compact=False)
@@ -282,11 +323,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["stream_running_word_count"] = _stream_running_word_count
     out["stream_accidents"] = _stream_accidents
     out["stream_avg_speed"] = _stream_avg_speed
-    out["stream_sliding_sum"] = _stream_sliding_sum
+    out["stream_sliding_sum"] = _stream_sliding(3, 1)
+    out["stream_sliding_sum_wide"] = _stream_sliding(3600, 600, panes=True)
     out["stream_rolling_sum"] = _stream_rolling_sum
     out["stream_word_count"] = _stream_word_count
-    out["stream_accidents_by_batch"] = _stream_accidents_by_batch
-    out["stream_rolling_sum_by_batch"] = _stream_rolling_sum_by_batch
+    out["stream_telematics_job"] = _stream_telematics_job
+    out["stream_keyed_reduce_files"] = _stream_reduce_of_files
     if training_data:
         out |= training_data.queries() | {"pipeline": corpus_pipeline.run}
     return out
@@ -454,6 +496,7 @@ union all select ts, 'this is a string test', 134.0::double, seq from sensor whe
     out["keyed_reduce"] = _rolling_sql("reduce")
     out["sliding_sum"] = _sliding_sql(3, 1)
     out["sliding_sum_wide"] = _sliding_sql(3600, 600)
+    out["sliding_sum_long"] = _sliding_sql(3600, 60)
     out["word_count"] = f"""with {_tokens_sql()}
 select word, count(*) as count from tokens group by word"""
     out["running_word_count"] = f"""with {_tokens_sql()}
@@ -478,10 +521,11 @@ from ({_speed_fines_sql('radar')})"""
     out["stream_accidents"] = out["accidents_telematics"]
     out["stream_avg_speed"] = out["avg_speed_telematics"]
     out["stream_sliding_sum"] = out["sliding_sum"]
+    out["stream_sliding_sum_wide"] = out["sliding_sum_wide"]
     out["stream_rolling_sum"] = out["rolling_sum"]
     out["stream_word_count"] = out["word_count"]
-    out["stream_accidents_by_batch"] = out["accidents_telematics"]
-    out["stream_rolling_sum_by_batch"] = out["rolling_sum"]
+    out["stream_telematics_job"] = out["telematics_job"]
+    out["stream_keyed_reduce_files"] = out["keyed_reduce_files"]
     if training_data:
         out |= training_data.oracle_sql()
         if corpus_pipeline.ORACLE_SQL:

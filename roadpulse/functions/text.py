@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,11 +23,12 @@ def tokens(lines: DataFrame, value: str = "value") -> DataFrame:
     return lines.select(F.explode(_pieces(value)).alias("word")).where(F.col("word") != "")
 
 
-def numbered_tokens(lines: DataFrame, value: str = "value", seq: str = "seq") -> DataFrame:
-    """``(seq, pos, word)``: tokens with their line and their place in it."""
-    return lines.select(seq, F.posexplode(_pieces(value)).alias("pos", "word")).where(
-        F.col("word") != ""
-    )
+def numbered_tokens(
+    lines: DataFrame, value: str = "value", seq: str = "seq", also: Sequence[str] = ()
+) -> DataFrame:
+    """``(seq, pos, word)``: tokens with their line and their place in it, and columns of the line."""
+    pieces = F.posexplode(_pieces(value)).alias("pos", "word")
+    return lines.select(seq, pieces, *also).where(F.col("word") != "")
 
 
 def word_count(lines: DataFrame, value: str = "value") -> DataFrame:

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadpulse.session import scratch_dir
+from roadpulse.session import staged
 
 CHUNK = "_chunk"
 
@@ -55,12 +55,6 @@ class Split:
         return F.col(CHUNK) > 0
 
 
-def _staged(df: DataFrame, label: str) -> DataFrame:
-    path = f"{scratch_dir(df.sparkSession, label)}/rows"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def split_hot_groups(
     df: DataFrame, key: str, order: Sequence[str], max_group_rows: int | None = MAX_GROUP_ROWS
 ) -> Split:
@@ -73,10 +67,11 @@ def split_hot_groups(
     whole = Split(df, key, order)
     if max_group_rows is None:
         return whole
-    sizes = df.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > max_group_rows)
-    keys = _staged(sizes.select(F.col(key).alias("_hot")), "hot-keys")
-    if keys.isEmpty():
+    sizes = df.groupBy(key).agg(F.count("*").alias("_n"))
+    largest = sizes.agg(F.max("_n")).first()[0] or 0
+    if largest <= max_group_rows:
         return whole
+    keys = staged(sizes.where(F.col("_n") > max_group_rows).select(F.col(key).alias("_hot")), "hot-keys")
     same = df[key].eqNullSafe(keys["_hot"])
     number = F.monotonically_increasing_id()
     partition = F.shiftright(number, _ROW_BITS)
@@ -88,7 +83,7 @@ def split_hot_groups(
         .sortWithinPartitions(key, *order)
         .withColumn(CHUNK, chunk)
     )
-    hot = _staged(hot, "hot-rows")
+    hot = staged(hot, "hot-rows")
     cold = df.join(keys, same, "left_anti").withColumn(CHUNK, F.lit(0).cast("long"))
     return Split(cold.unionByName(hot), key, order, hot)
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roadpulse.operators.hot_groups import (
     CHUNK,
@@ -15,6 +16,8 @@ from roadpulse.operators.hot_groups import (
 )
 
 _MERGE = {"min": F.min, "max": F.max, "sum": F.sum}
+# Panes of a window up to which each pane is spread over its windows; only cost depends on it.
+MOST_SPREAD = 16
 
 
 def sliding_sum(
@@ -27,40 +30,110 @@ def sliding_sum(
     ``slide`` and exist only where they hold a reading.
 
     Sum and maximum are combined before the shuffle, so a busy id is no hot spot.
-    ``panes`` sums per slide first and spreads the sums, not the rows, over the
-    windows; it is the default wherever slides fill a window evenly. A stream
-    takes the direct form: the watermark closes a window.
+    ``panes`` sums per slide first; it needs slides that fill a window evenly and is the
+    default for tables where they do. Tables then go from panes to windows in one of two
+    ways that give the same: each pane's sum is spread over its windows, or, where that
+    would be many, windows are put together from running sums, see ``_windows_from_blocks``.
+
+    A stream by default puts each reading into its windows; the watermark closes them. With
+    ``panes`` the state holds a reading once, in its pane, and the windows of closed panes: the
+    form for wide windows. A reading behind the watermark whose pane is closed then is in
+    no window, while the default still adds it to those of its windows that are open.
     """
     if panes is None:
         panes = not df.isStreaming and size % slide == 0
+    if panes and size % slide:
+        raise ValueError("panes need a window size that is a multiple of the slide")
+    if df.isStreaming:
+        return _stream_sliding_sum(df, size, slide, panes)
     if panes:
-        return _sliding_sum_by_panes(df, size, slide)
-    window = F.window(
-        F.timestamp_seconds("ts") if not df.isStreaming else F.col("event_time"),
-        f"{size} seconds", f"{slide} seconds",
-    )
-    return (
-        df.groupBy("id", window.alias("_w"))
-        .agg(F.max("ts").alias("ts"), F.sum("value").alias("value"))
-        .select(F.unix_seconds("_w.start").alias("window_start"), "ts", "id", "value")
-    )
+        spread = size // slide <= MOST_SPREAD
+        return (_windows_by_spreading if spread else _windows_from_blocks)(_panes(df, slide), size, slide)
+    window = F.window(F.timestamp_seconds("ts"), f"{size} seconds", f"{slide} seconds")
+    return _named(df.groupBy("id", window.alias("_w")).agg(*_totals()))
 
 
-def _sliding_sum_by_panes(df: DataFrame, size: int, slide: int) -> DataFrame:
-    if size % slide:
-        raise ValueError("panes need a window size that is a multiple of the slide")
-    pane = F.col("ts") - F.pmod(F.col("ts"), F.lit(slide))
-    offsets = F.sequence(F.lit(0), F.lit(size - slide), F.lit(slide))
+def _totals() -> tuple[Column, Column]:
+    return F.max("ts").alias("ts"), F.sum("value").alias("value")
+
+
+def _named(windows: DataFrame) -> DataFrame:
+    return windows.select(F.unix_seconds("_w.start").alias("window_start"), "ts", "id", "value")
+
+
+def _stream_sliding_sum(df: DataFrame, size: int, slide: int, panes: bool) -> DataFrame:
+    window = lambda time: F.window(time, f"{size} seconds", f"{slide} seconds").alias("_w")
+    if not panes:
+        return _named(df.groupBy("id", window("event_time")).agg(*_totals()))
+    pane = F.window("event_time", f"{slide} seconds").alias("_pane")
+    sums = df.groupBy("id", pane).agg(*_totals())
+    return _named(sums.groupBy("id", window(F.window_time("_pane"))).agg(*_totals()))
+
+
+def _panes(df: DataFrame, slide: int) -> DataFrame:
+    """``(id, _pane, ts, value)``; panes are numbered by time in units of the slide."""
+    return df.groupBy("id", F.floor(F.col("ts") / slide).alias("_pane")).agg(*_totals())
+
+
+def _windows_by_spreading(panes: DataFrame, size: int, slide: int) -> DataFrame:
+    offsets = F.sequence(F.lit(0), F.lit(size // slide - 1))
     return (
-        df.groupBy("id", pane.alias("_pane"))
-        .agg(F.max("ts").alias("ts"), F.sum("value").alias("value"))
-        .withColumn("_offset", F.explode(offsets))
-        .groupBy("id", (F.col("_pane") - F.col("_offset")).alias("window_start"))
-        .agg(F.max("ts").alias("ts"), F.sum("value").alias("value"))
+        panes.withColumn("_offset", F.explode(offsets))
+        .groupBy("id", ((F.col("_pane") - F.col("_offset")) * slide).alias("window_start"))
+        .agg(*_totals())
         .select("window_start", "ts", "id", "value")
     )
 
 
+def _windows_from_blocks(panes: DataFrame, size: int, slide: int) -> DataFrame:
+    """Windows put together from two running sums, neither of which is ever subtracted from.
+
+    Panes lie in blocks of as many as a window has. A window that starts at place x of a block
+    holds the block's panes from x on and the next block's panes before x: the sum from
+    the end of the one, and from the start of the other. Between two places at which either sum
+    changes all windows are equal, so rows are made per change, at most three for a pane, and
+    windows only for what is returned.
+    """
+    per_block = size // slide
+    block = F.floor(F.col("_pane") / per_block)
+    placed = panes.select("id", block.alias("_block"), (F.col("_pane") - block * per_block).alias("_at"), "ts", "value")
+    own = Window.partitionBy("id", "_block")
+    so_far = own.orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    from_here = own.orderBy("_at").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    sums = lambda frame: F.struct(F.max("ts").over(frame).alias("ts"), F.sum("value").over(frame).alias("value"))
+    running = placed.select("id", "_block", "_at", sums(so_far).alias("_head"), sums(from_here).alias("_tail"))
+    by_place = own.orderBy("_at")
+    none = F.lit(None).cast(running.schema["_head"].dataType)
+    # A change of the tail is known also where there is none any more; hence a struct in a struct.
+    change = lambda at, tail, head: F.struct(at.alias("at"), tail.alias("tail"), head.alias("head"))
+    known, unknown = lambda sums: F.struct(sums.alias("of")), F.lit(None).cast(
+        T.StructType([T.StructField("of", running.schema["_head"].dataType)])
+    )
+    tails = running.withColumns({
+        "_next": F.lead("_tail").over(by_place), "_first": F.lag("_at").over(by_place).isNull(),
+    }).select("id", "_block", F.explode(F.filter(F.array(
+        F.when(F.col("_first"), change(F.lit(0).cast("long"), known(F.col("_tail")), none)),
+        change(F.col("_at") + 1, known(F.col("_next")), none),
+    ), lambda c: c.isNotNull())).alias("_c"))
+    heads = running.select(
+        "id", (F.col("_block") - 1).alias("_block"), change(F.col("_at") + 1, unknown, F.col("_head")).alias("_c")
+    )
+    by_change = own.orderBy("_c.at")
+    until_now = by_change.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    spans = tails.unionByName(heads).where(F.col("_c.at") < per_block).select(
+        "id", "_block", F.col("_c.at").alias("_from"),
+        F.lead("_c.at", 1, per_block).over(by_change).alias("_to"),
+        F.last("_c.tail", ignorenulls=True).over(until_now)["of"].alias("_tail"),
+        F.last("_c.head", ignorenulls=True).over(until_now).alias("_head"),
+    ).where((F.col("_from") < F.col("_to")) & (F.col("_tail").isNotNull() | F.col("_head").isNotNull()))
+    added = F.col("_tail.value") + F.col("_head.value")
+    return spans.select(
+        "id", F.greatest("_tail.ts", "_head.ts").alias("ts"),
+        F.coalesce(added, "_tail.value", "_head.value").alias("value"),
+        F.explode(F.sequence(F.col("_from"), F.col("_to") - 1)).alias("_place"), "_block",
+    ).select(((F.col("_block") * per_block + F.col("_place")) * slide).alias("window_start"), "ts", "id", "value")
+
+
 def session_aggregate(
     df: DataFrame,
     key: str,

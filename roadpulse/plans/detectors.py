@@ -120,6 +120,7 @@ def accidents(
     ``(time1, time2, vid, xway, seg, dir, pos)``: the first of the four reports
     and the time of the last. Every further report at that position is one more
     row. Which reports follow each other is decided after the preset's filter.
+    A stream with an event time (``streaming.bounded.with_event_time``) is walked in its order.
     """
     rule = ACCIDENT_RULES[preset]
     rows = filters.stopped(reports) if rule.stopped_only else reports

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from roadpulse.functions.text import numbered_tokens, word_count
 from roadpulse.operators.filters import above, fan_out, in_section
 from roadpulse.operators.rolling import rolling, rolling_together
 from roadpulse.operators.windows import sliding_sum
 from roadpulse.plans.detectors import (
+    AVERAGE_SPEED_RULES,
     SPEED_FINE_COLUMNS,
     accidents,
     average_speed_fines,
@@ -42,24 +44,27 @@ FULL_JOBS = {
 
 
 @contextmanager
-def shared(records: DataFrame, how: str = "table") -> Iterator[DataFrame]:
+def shared(records: DataFrame, how: str = "table", key: str | None = None) -> Iterator[DataFrame]:
     """Make several readers of one parsed input parse it once.
 
     Keyed operators read twice, as they count their keys first. ``table`` stages
     the input as Parquet in the shared scratch folder: readers then take only
     their columns, their filters are pushed to the files, and it outlives lost
-    executors. ``persist`` keeps it in executor memory and disk, which suits
-    inputs of cluster-memory size. ``rescan`` reads the source anew each time,
-    best where the source is columnar already. Staged and persisted data go when
-    the block ends.
+    executors. With a ``key`` it is staged in buckets of that key, a file each: one
+    shuffle, and operators on the key need none any more. ``persist`` keeps it in
+    executor memory and disk, which suits inputs of cluster-memory size. ``rescan``
+    reads the source anew each time, best where the source is columnar already.
+    Staged and persisted data go when the block ends.
     """
     spark = records.sparkSession
     if how == "table":
         path = scratch_dir(spark, "records")
-        records.write.mode("overwrite").parquet(path)
+        table = f"staged_{uuid.uuid4().hex}" if key else None
         try:
-            yield spark.read.schema(records.schema).parquet(path)
+            yield _in_buckets(records, path, table, key) if key else _in_files(records, path)
         finally:
+            if table:
+                spark.sql(f"drop table if exists {table}")
             drop_folder(spark, path)
     elif how == "persist":
         kept = records.persist(StorageLevel.MEMORY_AND_DISK)
@@ -73,15 +78,31 @@ def shared(records: DataFrame, how: str = "table") -> Iterator[DataFrame]:
         raise ValueError(f"unknown way to share {how!r}")
 
 
+def _in_files(records: DataFrame, path: str) -> DataFrame:
+    records.write.mode("overwrite").parquet(path)
+    return records.sparkSession.read.schema(records.schema).parquet(path)
+
+
+def _in_buckets(records: DataFrame, path: str, table: str, key: str) -> DataFrame:
+    spark = records.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = records.repartition(buckets, key)
+    dealt.write.bucketBy(buckets, key).option("path", path).saveAsTable(table, format="parquet")
+    return spark.table(table)
+
+
 def telematics(
     reports: DataFrame, out: str, preset: str = "telematics", single_file: bool = False,
     sharing: str = "table",
 ) -> None:
-    """Speed fines, average-speed fines and accidents of one input into three folders."""
+    """Speed fines, average-speed fines and accidents of one input into three folders.
+
+    Staged input (``sharing="table"``) lies in buckets of the vehicle, which the last two share.
+    """
     fines, average, stuck, as_tuples = FULL_JOBS[preset]
     folder = out.rstrip("/")
     write_fines = writers.write_tuple_text if as_tuples else writers.write_csv
-    with shared(reports, sharing) as rows:
+    with shared(reports, sharing, "vid") as rows:
         write_fines(speed_fines(rows, fines), f"{folder}/speedfines.csv", single_file)
         writers.write_csv(
             average_speed_fines(rows, average), f"{folder}/avgspeedfines.csv", single_file
@@ -89,6 +110,52 @@ def telematics(
         writers.write_csv(accidents(rows, stuck), f"{folder}/accidents.csv", single_file)
 
 
+# The folder and the columns of each kind of finding of a full job.
+_FOLDERS = {"speed": "speedfines", "average": "avgspeedfines", "accident": "accidents"}
+
+
+def _layouts(preset: str) -> dict[str, tuple[tuple[str, ...], dict[str, str]]]:
+    """Per kind of finding its columns as written, and which of them ``all_findings`` renames."""
+    return {
+        "speed": (SPEED_FINE_COLUMNS[FULL_JOBS[preset][0]], {"time": "time1", "spd": "speed"}),
+        "average": (("time1", "time2", "vid", "xway", "dir", "avgspd"), {"avgspd": "speed"}),
+        "accident": (("time1", "time2", "vid", "xway", "seg", "dir", "pos"), {}),
+    }
+
+
+def stream_telematics(
+    reports: DataFrame, out: str, checkpoint: str, preset: str = "telematics"
+) -> DataStreamWriter:
+    """The full job on a stream of reports with an event time: one query, three results.
+
+    Each micro-batch writes its findings below ``speedfines.csv``, ``avgspeedfines.csv`` and
+    ``accidents.csv`` into folders named after its number, so a batch that is run again
+    after a failure half way overwrites what it had written.
+    """
+    folder, as_tuples = out.rstrip("/"), FULL_JOBS[preset][3]
+    found = all_findings(reports, preset)
+    types = _written_types(preset)
+
+    def store(findings: DataFrame, batch: int) -> None:
+        findings.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for kind, (columns, renamed) in _layouts(preset).items():
+                own = findings.where(F.col("kind") == kind).select(
+                    *[F.col(renamed.get(c, c)).cast(types.get(c, "int")).alias(c) for c in columns]
+                )
+                tuples = as_tuples and kind == "speed"
+                lines = writers.tuple_lines(own) if tuples else writers.csv_lines(own)
+                writers.write_text(lines, f"{folder}/{_FOLDERS[kind]}.csv/batch={batch}", "overwrite")
+        finally:
+            findings.unpersist()
+
+    return found.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+
+
+def _written_types(preset: str) -> dict[str, str]:
+    return {"avgspd": "double" if AVERAGE_SPEED_RULES[FULL_JOBS[preset][1]].exact else "int"}
+
+
 def all_findings(reports: DataFrame, preset: str = "telematics") -> DataFrame:
     """The three results of a full job in one table, told apart by ``kind``."""
     fines, average, stuck, _ = FULL_JOBS[preset]
@@ -121,26 +188,15 @@ def all_findings(reports: DataFrame, preset: str = "telematics") -> DataFrame:
 
 
 def findings_of(spark: SparkSession, out: str, preset: str = "telematics") -> DataFrame:
-    """What ``telematics`` wrote below ``out``, as the table of ``all_findings``."""
-    fines, _, _, as_tuples = FULL_JOBS[preset]
-    folder, lines = out.rstrip("/"), {}
-    for name in ("speedfines", "avgspeedfines", "accidents"):
-        text = readers.read_lines(spark, f"{folder}/{name}.csv")
-        if as_tuples and name == "speedfines":
-            text = text.select(F.expr("substring(value, 2, length(value) - 2)").alias("value"))
-        lines[name] = text
-    kinds = {
-        "speedfines": ("speed", SPEED_FINE_COLUMNS[fines], {"time": "time1", "spd": "speed"}),
-        "avgspeedfines": (
-            "average", ("time1", "time2", "vid", "xway", "dir", "avgspd"), {"avgspd": "speed"}
-        ),
-        "accidents": ("accident", ("time1", "time2", "vid", "xway", "seg", "dir", "pos"), {}),
-    }
+    """What ``telematics`` or ``stream_telematics`` wrote below ``out``, as the table of ``all_findings``."""
     parts = []
-    for name, (kind, columns, renamed) in kinds.items():
+    for kind, (columns, renamed) in _layouts(preset).items():
+        text = readers.read_lines(spark, f"{out.rstrip('/')}/{_FOLDERS[kind]}.csv").select("value")
+        if kind == "speed" and FULL_JOBS[preset][3]:
+            text = text.select(F.expr("substring(value, 2, length(value) - 2)").alias("value"))
         at = {renamed.get(c, c): i for i, c in enumerate(columns)}
         field = lambda c: F.get(F.split("value", ","), F.lit(at[c])) if c in at else F.lit(None)  # noqa: B023, E731
-        parts.append(lines[name].select(
+        parts.append(text.select(
             F.lit(kind).alias("kind"),
             *(field(c).cast("int").alias(c) for c in ("time1", "time2", "vid", "xway", "seg", "dir", "pos")),
             field("speed").cast("double").alias("speed"),
@@ -223,7 +279,7 @@ def count_words(spark: SparkSession, source: str | None = None, out: str | None
 def running_words(lines: DataFrame) -> DataFrame:
     """``(word, count)`` per token of a text stream, how often its word was seen so far.
 
-    A line's arrival number is the time of its micro-batch.
+    Lines come in arrival order: a line's number is the time of its micro-batch.
     """
     numbered = numbered_tokens(lines.withColumn("seq", F.unix_micros(F.current_timestamp())))
     return stream_running_count(numbered, "word", ("seq", "pos")).select("word", "count")

@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -58,3 +58,10 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder wherever it lies."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to a scratch folder and read back: its lineage ends there."""
+    path = f"{scratch_dir(df.sparkSession, label)}/rows"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -17,10 +17,15 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 
-def with_event_time(df: DataFrame, time: str, unit: str = "ms") -> DataFrame:
-    """Adds ``event_time`` from a number (``ms`` or ``s``) with an ascending watermark."""
+# Fixed value: how far an ascending watermark stays behind, so that equal times are in time.
+ASCENDING = "1 millisecond"
+
+
+def with_event_time(df: DataFrame, time: str, unit: str = "ms", delay: str = "0 seconds") -> DataFrame:
+    """Adds ``event_time`` from a number (``ms`` or ``s``), with a watermark ``delay`` behind the
+    latest. ``ASCENDING`` lets a time go on in the next micro-batch."""
     convert = {"ms": F.timestamp_millis, "s": F.timestamp_seconds}[unit]
-    return df.withColumn("event_time", convert(F.col(time))).withWatermark("event_time", "0 seconds")
+    return df.withColumn("event_time", convert(F.col(time))).withWatermark("event_time", delay)
 
 
 class BoundedInput:

@@ -1,90 +1,301 @@
-"""Per-record stateful operators on streams.
-
-Spark's built-in stream aggregates yield one row per key and micro-batch; these
-processors yield one row per input row, and count windows that reach over
-micro-batches. A key's state is a handful of numbers (or the last three reports).
-
-Within a micro-batch a key's rows are put in order by the time and arrival
-columns; across micro-batches the source must deliver in order. The number of
-rows that came too late for that is kept in the state (``regressions``).
-The rows of one key in one micro-batch are held together, so the trigger's input
-limit bounds memory.
+"""Per-record stateful operators on streams, in the order of event time.
+
+Spark's built-in stream aggregates yield one row per key and micro-batch; these processors yield
+one row per input row, and count windows that reach over micro-batches. Rows are held in state
+until the watermark has passed them and are then walked in order of event time and arrival number,
+so input shuffled within the watermark's delay gives what sorted input gives. Rows behind the
+watermark are late: dropped, and counted per key. A stream without event time is taken in
+arrival order, micro-batch by micro-batch, instead.
+
+Held rows lie in the state as sorted runs, each cut into pages. Runs are merged page by page,
+so the memory of a task does not depend on how many rows of a key wait or come in one
+micro-batch. Keys are dealt to ``buckets``; a bucket is one group of Spark's stateful operator and
+its rows are walked together, while running values are kept, read and written per key.
 """
 
 from __future__ import annotations
 
+import json
 import sys
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 # The processors travel with the plan, so executors need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+BUCKETS = 256
+PAGE_ROWS = 4096
+RUN_ROWS = 16 * PAGE_ROWS
+MOST_RUNS = 24
+# Names that start with an underscore would reach the processor changed.
+_MS = "event_ms"
+_BUCKET = "key_bucket"
+FOREVER = 2**63 - 1
+
+Columns = dict[str, np.ndarray]
+
+
+def _packed(frame: pd.DataFrame) -> bytes:
+    batch = pa.RecordBatch.from_pandas(frame, preserve_index=False)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(data: bytes) -> pd.DataFrame:
+    return pa.ipc.open_stream(data).read_pandas()
+
+
+class SortedRuns:
+    """Rows in state, in sorted runs of pages. ``order`` starts with the time they wait for."""
+
+    def __init__(self, handle: StatefulProcessorHandle, order: Sequence[str]):
+        self.order = list(order)
+        self.pages = handle.getMapState("pages", "run long, page long", "rows binary")
+        # Per run: its number, its first and its last page, the time of its first row.
+        self.about = handle.getValueState("runs", "runs array<long>")
+
+    def _runs(self) -> list[list[int]]:
+        now = self.about.get()
+        flat = list(now[0]) if now else []
+        return [flat[i : i + 4] for i in range(0, len(flat), 4)]
+
+    def _keep(self, runs: list[list[int]]) -> None:
+        if runs:
+            self.about.update(([x for run in runs for x in run],))
+        elif self.about.exists():
+            self.about.clear()
+
+    def _write(self, run: int, page: int, frame: pd.DataFrame) -> int:
+        """Appends sorted rows to a run; the number of the next page."""
+        for low in range(0, len(frame), PAGE_ROWS):
+            self.pages.updateValue((run, page), (_packed(frame.iloc[low : low + PAGE_ROWS]),))
+            page += 1
+        return page
+
+    def add(self, frames: Iterator[pd.DataFrame]) -> int | None:
+        """Holds more rows; the time of the first row that waits."""
+        runs = self._runs()
+        for frame in _gathered(frames):
+            frame = frame.sort_values(self.order, kind="stable", ignore_index=True)
+            run = runs[-1][0] + 1 if runs else 0
+            end = self._write(run, 0, frame)
+            runs.append([run, 0, end - 1, int(frame[self.order[0]].iloc[0])])
+            if len(runs) > MOST_RUNS:
+                runs = self._merged(runs)
+        self._keep(runs)
+        return min((r[3] for r in runs), default=None)
+
+    def _merged(self, runs: list[list[int]]) -> list[list[int]]:
+        run, page, first = runs[-1][0] + 1, 0, min(r[3] for r in runs)
+        for frame in self._walk(runs, FOREVER):
+            page = self._write(run, page, frame)
+        return [[run, 0, page - 1, first]]
+
+    def take(self, until: int) -> Iterator[pd.DataFrame]:
+        """The rows up to a time, in order, frame by frame; they are held no longer."""
+        runs = self._runs()
+        yield from self._walk(runs, until)
+        self._keep(runs)
+
+    def first(self) -> int | None:
+        return min((r[3] for r in self._runs()), default=None)
+
+    def _at(self, frame: pd.DataFrame, i: int) -> tuple:
+        return tuple(frame[c].iat[i] for c in self.order)
+
+    def _upto(self, frame: pd.DataFrame, limit: tuple) -> int:
+        return bisect_right(range(len(frame)), limit, key=lambda i: self._at(frame, i)[: len(limit)])
+
+    def _walk(self, runs: list[list[int]], until: int) -> Iterator[pd.DataFrame]:
+        """Merges the runs; afterwards ``runs`` says what is left of them."""
+        held: dict[int, pd.DataFrame] = {}
+        cut: set[int] = set()  # runs whose page in memory is shorter than in the state
+        while True:
+            for r in runs:
+                if r[0] not in held and r[1] <= r[2] and r[3] <= until:
+                    held[r[0]] = _unpacked(self.pages.getValue((r[0], r[1]))[0])
+            if not held:
+                return
+            # Rows after the last one in memory of a run that goes on may have to come first.
+            ends = [self._at(held[r[0]], -1) for r in runs if r[0] in held and r[1] < r[2]]
+            limit, ready = min(ends, default=None), []
+            for r in runs:
+                if (frame := held.get(r[0])) is None:
+                    continue
+                n = self._upto(frame, (until,))
+                if limit is not None:
+                    n = min(n, self._upto(frame, limit))
+                if n:
+                    ready.append(frame.iloc[:n])
+                    held[r[0]] = frame = frame.iloc[n:]
+                    cut.add(r[0])
+                if not len(frame):
+                    self.pages.removeKey((r[0], r[1]))
+                    r[1] += 1
+                    cut.discard(r[0])
+                    del held[r[0]]
+                    # A next page begins no earlier; its rows tell.
+                else:
+                    r[3] = int(frame[self.order[0]].iloc[0])
+                    if r[3] > until:
+                        if r[0] in cut:
+                            self.pages.updateValue((r[0], r[1]), (_packed(frame),))
+                            cut.discard(r[0])
+                        del held[r[0]]
+            runs[:] = [r for r in runs if r[1] <= r[2]]
+            if ready:
+                frame = ready[0] if len(ready) == 1 else pd.concat(ready)
+                yield frame.sort_values(self.order, kind="stable", ignore_index=True)
+
+
+def _gathered(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Small frames together, large ones cut, so that each has at most RUN_ROWS rows."""
+    some, n = [], 0
+    for frame in frames:
+        for low in range(0, len(frame), RUN_ROWS):
+            part = frame.iloc[low : low + RUN_ROWS]
+            if n + len(part) > RUN_ROWS:
+                yield pd.concat(some)
+                some, n = [], 0
+            some.append(part)
+            n += len(part)
+    if some:
+        yield pd.concat(some)
+
+
+def _name(key) -> str:
+    return "null" if key is None or key != key else f"={key}"
+
 
 class _Ordered(StatefulProcessor):
-    """Sorts a key's rows, watches their order, keeps one state value per key.
+    """Walks the rows of its keys in order; keeps one value per key.
 
-    A subclass names the state it adds and turns (rows, that state or None) into
-    (result rows or None, new state).
+    A subclass names the state it adds and turns (key, a run of the key's rows as columns, that
+    state or None) into (result columns or None, new state).
     """
 
     added_state = ""
 
-    def __init__(self, order: Sequence[str]):
-        self.order = list(order)
+    def __init__(self, key: str, order: Sequence[str], results: Sequence[str], timed: bool = True):
+        self.key, self.order, self.results, self.timed = key, list(order), list(results), timed
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState(
-            "state", f"last_a long, last_b long, regressions long, {self.added_state}"
+        self.handle = handle
+        self.runs = SortedRuns(handle, ([_MS] if self.timed else []) + self.order)
+        self.state = handle.getMapState("state", "key string", self.added_state)
+        # Per key: the order of the latest row that arrived, how many rows arrived after a later
+        # one, and how many of them too late to be used.
+        self.arrivals = handle.getMapState(
+            "arrivals", "key string", "last string, regressions long, late long"
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True)
-        batch = batch.sort_values(self.order, kind="stable", ignore_index=True)
-        a, b = batch[self.order[0]], batch[self.order[-1]]
-        end, late = (int(a.iloc[-1]), int(b.iloc[-1])), 0
-        old = self.state.get()
-        if old is not None:
-            last_a, last_b, late = old[:3]
-            late += int(((a < last_a) | ((a == last_a) & (b < last_b))).sum())
-            end = max(end, (last_a, last_b))
-        result, new = self.advance(key, batch, None if old is None else old[3:])
-        self.state.update((*end, late, *new))
-        if result is not None:
-            yield result
+        if not self.timed:
+            self.runs.add(self._watched(rows, None))
+            yield from self._results(self.runs.take(FOREVER))
+            return
+        before = self.runs.first()
+        now = self.runs.add(self._watched(rows, timerValues.getCurrentWatermarkInMs()))
+        if now is not None and (before is None or now < before):
+            self._wait(before, now)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self._results(self.runs.take(timerValues.getCurrentWatermarkInMs()))
+        now = self.runs.first()
+        if now is not None:
+            self.handle.registerTimer(now)
+
+    def _wait(self, before: int | None, now: int) -> None:
+        if before is not None:
+            self.handle.deleteTimer(before)
+        self.handle.registerTimer(now)
+
+    def _watched(self, frames: Iterator[pd.DataFrame], watermark: int | None) -> Iterator[pd.DataFrame]:
+        """The rows that are in time; keeps count of the order in which they come."""
+        for frame in frames:
+            if not len(frame):
+                continue
+            late = np.zeros(len(frame), bool)
+            if watermark:  # 0: there is none yet
+                late = frame[_MS].to_numpy() <= watermark
+            self._watch(frame, late)
+            if late.any():
+                frame = frame[~late]
+            if len(frame):
+                yield frame.drop(columns=[_BUCKET])
+
+    def _watch(self, frame: pd.DataFrame, late: np.ndarray) -> None:
+        columns = [frame[c].to_numpy() for c in self.order]
+        for key, at in _groups(frame[self.key].to_numpy()):
+            name = _name(key)
+            old = self.arrivals.getValue((name,))
+            last, back, dropped = (None, 0, 0) if old is None else (json.loads(old[0]), old[1], old[2])
+            own = [list(x) for x in zip(*(c[at].tolist() for c in columns))]
+            if last is not None:
+                back += sum(x < last for x in own)
+            newest = max(own) if last is None else max(last, max(own))
+            self.arrivals.updateValue((name,), (json.dumps(newest), back, dropped + int(late[at].sum())))
+
+    def _results(self, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            columns: Columns = {c: frame[c].to_numpy() for c in frame.columns}
+            out: list[Columns] = []
+            for key, at in _groups(columns[self.key]):
+                name = _name(key)
+                rows = {c: v[at] for c, v in columns.items()}
+                result, new = self.advance(key, rows, self.state.getValue((name,)))
+                self.state.updateValue((name,), new)
+                if result is not None:
+                    out.append(result)
+            if out:
+                yield pd.DataFrame({c: np.concatenate([o[c] for o in out]) for c in self.results})
 
     def close(self) -> None:
         pass
 
 
+def _groups(keys: np.ndarray) -> Iterator[tuple[object, np.ndarray]]:
+    """Each key with the places of its rows, in order."""
+    codes, names = pd.factorize(keys, use_na_sentinel=False)
+    order = np.argsort(codes, kind="stable")
+    ends = np.cumsum(np.bincount(codes, minlength=len(names)))
+    for key, low, high in zip(names, [0, *ends], ends):
+        yield (None if key != key else key), order[low:high]
+
+
 class RollingProcessor(_Ordered):
     """Running min, max, sum or reduce of ``value``."""
 
     added_state = "ts long, value double"
 
-    def __init__(self, kind: str, order: Sequence[str]):
-        super().__init__(order)
+    def __init__(self, kind: str, *args, **options):
+        super().__init__(*args, **options)
         self.kind = kind
 
-    def advance(self, key, batch, old):
+    def advance(self, key, rows, old):
         step = {"min": np.minimum, "max": np.maximum}.get(self.kind, np.add)
-        values = batch["value"].to_numpy()
+        values = rows["value"]
         if old is None:
-            first = int(batch["ts"].iloc[0])
+            first = int(rows["ts"][0])
         else:
             first, before = old
             values = np.concatenate([[before], values])
-        running = step.accumulate(values)[-len(batch):]
-        batch["value"] = running
+        running = step.accumulate(values)[-len(rows["ts"]) :]
+        rows["value"] = running
         if self.kind != "reduce":
-            batch["ts"] = first
-        return batch, (first, float(running[-1]))
+            rows["ts"] = np.full(len(running), first)
+        return rows, (first, float(running[-1]))
 
 
 class CountProcessor(_Ordered):
@@ -92,10 +303,10 @@ class CountProcessor(_Ordered):
 
     added_state = "n long"
 
-    def advance(self, key, batch, old):
+    def advance(self, key, rows, old):
         before = 0 if old is None else old[0]
-        end = before + len(batch)
-        return batch.assign(count=np.arange(before + 1, end + 1, dtype="int64")), (end,)
+        end = before + len(rows[self.key])
+        return rows | {"count": np.arange(before + 1, end + 1, dtype="int64")}, (end,)
 
 
 class StuckVehicleProcessor(_Ordered):
@@ -104,50 +315,88 @@ class StuckVehicleProcessor(_Ordered):
     FIELDS = ("time", "seq", "xway", "seg", "dir", "pos")
     added_state = "tail array<long>"  # the fields of the last three reports, one after the other
 
-    def __init__(self, order: Sequence[str], same_dir: bool):
-        super().__init__(order)
+    def __init__(self, same_dir: bool, *args, **options):
+        super().__init__(*args, **options)
         self.place = ["pos", "dir"] if same_dir else ["pos"]
 
-    def advance(self, key, batch, old):
+    def advance(self, key, rows, old):
         fields = list(self.FIELDS)
         before = np.array([] if old is None else old[0], dtype="int64").reshape(-1, len(fields))
-        run = np.concatenate([before, batch[fields].to_numpy(dtype="int64")])
+        run = np.concatenate([before, np.stack([rows[c] for c in fields], axis=1).astype("int64")])
         place = run[:, [fields.index(c) for c in self.place]]
         tail = (run[-3:].flatten().tolist(),)
         if len(run) < 4:
             return None, tail
         same = (place[3:] == place[2:-1]) & (place[2:-1] == place[1:-2]) & (place[1:-2] == place[:-3])
         hit = same.all(axis=1)
+        if not hit.any():
+            return None, tail
         first, last = dict(zip(fields, run[:-3][hit].T)), dict(zip(fields, run[3:][hit].T))
-        found = pd.DataFrame({"time1": first["time"], "time2": last["time"], "vid": key[0]})
-        for c in ("xway", "seg", "dir", "pos"):
-            found[c] = first[c]
-        return (found if len(found) else None), tail
+        found = {"time1": first["time"], "time2": last["time"], "vid": np.full(hit.sum(), key)}
+        return found | {c: first[c] for c in ("xway", "seg", "dir", "pos")}, tail
+
+
+def _process(df: DataFrame, processor: _Ordered, schema: T.StructType, buckets: int) -> DataFrame:
+    columns = [c for c in df.columns if c != "event_time"]
+    bucket = F.pmod(F.xxhash64(processor.key), F.lit(buckets)).cast("int").alias(_BUCKET)
+    if processor.timed:
+        # Only as a number: Spark would drop late rows before the processor can count them.
+        columns.append(F.unix_millis("event_time").alias(_MS))
+    rows = df.select(bucket, *columns)
+    return rows.groupBy(_BUCKET).transformWithStateInPandas(
+        statefulProcessor=processor, outputStructType=schema, outputMode="Append",
+        timeMode="EventTime" if processor.timed else "None",
+    )
 
 
-def _process(df: DataFrame, key: str, processor: StatefulProcessor, schema: T.StructType) -> DataFrame:
-    return df.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode="None"
-    )
+def _timed(df: DataFrame) -> bool:
+    return "event_time" in df.columns
 
 
-def stream_rolling(df: DataFrame, kind: str, order: Sequence[str] = ("ts", "seq")) -> DataFrame:
-    """``operators.rolling.rolling`` on a stream of ``(ts, id, value, seq)``."""
-    return _process(df, "id", RollingProcessor(kind, order), df.schema)
+def stream_rolling(
+    df: DataFrame, kind: str, order: Sequence[str] = ("ts", "seq"), buckets: int = BUCKETS
+) -> DataFrame:
+    """``operators.rolling.rolling`` on a stream of ``(ts, id, value, seq)``.
+
+    Here and below: with an ``event_time`` that has a watermark (``bounded.with_event_time``) rows
+    come out once the watermark has passed them; without, with their micro-batch. ``buckets``, for
+    as long as a checkpoint lives, is how many groups the keys are dealt to.
+    """
+    schema = T.StructType([f for f in df.schema.fields if f.name != "event_time"])
+    processor = RollingProcessor(kind, "id", order, schema.names, timed=_timed(df))
+    return _process(df, processor, schema, buckets)
 
 
-def stream_running_count(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+def stream_running_count(
+    df: DataFrame, key: str, order: Sequence[str], buckets: int = BUCKETS
+) -> DataFrame:
     """``operators.rolling.running_count`` on a stream."""
-    schema = T.StructType(df.schema.fields + [T.StructField("count", T.LongType())])
-    return _process(df, key, CountProcessor(order), schema)
+    fields = [f for f in df.schema.fields if f.name != "event_time"]
+    schema = T.StructType([*fields, T.StructField("count", T.LongType())])
+    return _process(df, CountProcessor(key, order, schema.names, timed=_timed(df)), schema, buckets)
 
 
-def stream_accidents(df: DataFrame, same_dir: bool) -> DataFrame:
+def stream_accidents(df: DataFrame, same_dir: bool, buckets: int = BUCKETS) -> DataFrame:
     """Accidents on a stream of reports that already passed the preset's filter."""
     types = {f.name: f.dataType for f in df.schema.fields}
     columns = ("time1", "time2", "vid", "xway", "seg", "dir", "pos")
-    schema = T.StructType(
-        [T.StructField(c, types.get(c, T.IntegerType())) for c in columns]
-    )
-    rows = df.select("vid", *StuckVehicleProcessor.FIELDS)
-    return _process(rows, "vid", StuckVehicleProcessor(("time", "seq"), same_dir), schema)
+    schema = T.StructType([T.StructField(c, types.get(c, T.IntegerType())) for c in columns])
+    timed = _timed(df)
+    rows = df.select("vid", *StuckVehicleProcessor.FIELDS, *(["event_time"] if timed else []))
+    processor = StuckVehicleProcessor(same_dir, "vid", ("time", "seq"), columns, timed=timed)
+    return _process(rows, processor, schema, buckets)
+
+
+def arrivals(spark: SparkSession, checkpoint: str, batch: int | None = None) -> DataFrame:
+    """Per key of a processor above, as of a micro-batch (default: the last one): how many rows
+    came after a later row of their key (``regressions``), how many of them behind the
+    watermark, so that they were dropped (``late``), and the latest order seen.
+
+    Read from the state of the query's checkpoint, also while it runs; keys come as text.
+    """
+    reader = spark.read.format("statestore").option("stateVarName", "arrivals")
+    if batch is not None:
+        reader = reader.option("batchId", batch)
+    name = F.col("user_map_key.key")
+    key = F.when(name.startswith("="), F.expr("substring(user_map_key.key, 2)")).alias("key")
+    return reader.load(checkpoint).select(key, "user_map_value.*")

@@ -2,6 +2,7 @@ import glob
 import os
 
 import pytest
+from pyspark.errors import StreamingQueryException
 
 from roadpulse import views
 from roadpulse.__main__ import main, parser
@@ -9,6 +10,12 @@ from roadpulse.plans import jobs
 from roadpulse.plans.detectors import accidents, average_speed_fines, speed_fines
 from roadpulse.schemas import REPORT_COLUMNS
 from roadpulse.sources import readers, writers
+from roadpulse.streaming.bounded import (
+    ASCENDING,
+    BoundedInput,
+    start_available,
+    with_event_time,
+)
 
 
 def lines_of(path):
@@ -63,6 +70,49 @@ def test_staged_table_is_read_by_columns_and_dropped(spark, source):
     assert not os.path.exists(path)
 
 
+def test_keyed_detectors_share_the_staged_buckets(spark, source):
+    with jobs.shared(readers.read_reports(spark, source), key="vid") as rows:
+        for found in (average_speed_fines(rows), accidents(rows)):
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            assert "hashpartitioning" not in plan, plan
+        (table,) = [t.name for t in spark.catalog.listTables() if t.name.startswith("staged_")]
+    assert not spark.catalog.tableExists(table)
+
+
+def test_streaming_job_survives_a_sink_that_fails_half_way(spark, sf, tmp_path, monkeypatch):
+    reports = views.reports(spark, sf).where("vid < 8")
+    source = BoundedInput(spark, str(tmp_path / "s"), reports.schema)
+    out, failed = str(tmp_path / "out"), []
+    write = writers.write_text
+
+    def failing(lines, path, *args):
+        write(lines, path, *args)
+        if "avgspeedfines" in path and path.endswith("batch=1") and not failed:
+            failed.append(path)
+            raise OSError("disk full")
+
+    monkeypatch.setattr(writers, "write_text", failing)
+
+    def run():
+        stream = with_event_time(source.stream(), "time", delay=ASCENDING)
+        writer = jobs.stream_telematics(stream, out, str(tmp_path / "checkpoint"), "compact")
+        start_available(spark, writer, 2).awaitTermination()
+
+    middle = reports.agg({"time": "avg"}).first()[0]
+    for piece in (reports.where(f"time < {middle}"), reports.where(f"time >= {middle}")):
+        source.append(piece)
+        try:
+            run()
+        except StreamingQueryException:
+            run()
+    source.finalize({"vid": -1, "time": 2**31 - 1, "seq": 0, "spd": 0, "xway": 0, "lane": 0, "dir": 0,
+                     "seg": 52, "pos": 274560})
+    run()
+    assert failed
+    got = sorted(map(str, jobs.findings_of(spark, out, "compact").collect()))
+    assert got == sorted(map(str, jobs.all_findings(reports, "compact").collect()))
+
+
 def test_single_detectors(spark, source, tmp_path):
     reports = readers.read_reports(spark, source)
     main(["radar", source, str(tmp_path)])

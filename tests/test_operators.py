@@ -1,8 +1,11 @@
+import random
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from roadpulse.functions.text import numbered_tokens, running_word_count, tokens, word_count
+from roadpulse.operators import windows
 from roadpulse.operators.filters import above, fan_out
 from roadpulse.operators.rolling import rolling
 from roadpulse.operators.windows import sliding_sum
@@ -117,3 +120,15 @@ def test_one_shuffle_per_keyed_operator(make_sensor, make_reports):
     # By panes: rows are summed per slide, then the sums per window.
     plan = sliding_sum(sensor)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 2
+
+
+@pytest.mark.parametrize("size, slide", [(3, 1), (20, 1), (60, 3), (100, 5)])
+def test_windows_from_blocks_equal_spread_panes(spark, size, slide):
+    rng = random.Random(size)
+    data = [(rng.randrange(-300, 900), rng.choice(["a", "b", None]), float(rng.randrange(100))) for _ in range(150)]
+    data += [(5, "c", 1.0), (5, "c", None), (6, "d", None)]
+    panes = windows._panes(spark.createDataFrame(data, "ts long, id string, value double"), slide)
+    spread = windows._windows_by_spreading(panes, size, slide)
+    together = windows._windows_from_blocks(panes, size, slide)
+    assert together.columns == spread.columns and together.dtypes == spread.dtypes
+    assert sorted(map(str, together.collect())) == sorted(map(str, spread.collect()))

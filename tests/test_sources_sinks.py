@@ -79,6 +79,15 @@ def test_arrival_order_over_files(spark, tmp_path):
             .selectExpr("cast(split(value, ',')[0] as int) ts").limit(3).collect()] == [1, 2, 3]
 
 
+def test_plan_splits_a_line_once_and_names_no_files(spark, tmp_path):
+    for i in range(300):
+        (tmp_path / f"{i:03}.csv").write_text(f"{i},s,1.0\n")
+    sensor = readers.read_sensor(spark, str(tmp_path))
+    plan = sensor.where("value > 0")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1 and plan.count(".csv") < 3
+    assert [r.ts for r in sensor.orderBy("seq").collect()] == list(range(300))
+
+
 def test_byte_range(spark, folder):
     path = folder("1,7,95,3,0,1,200,500")
     assert readers.read_reports(spark, path).count() == 1

@@ -10,11 +10,16 @@ from roadpulse.operators.filters import above, fan_out
 from roadpulse.operators.rolling import rolling
 from roadpulse.operators.windows import sliding_sum
 from roadpulse.plans.detectors import accidents, average_speed_fines, speed_fines
-from roadpulse.schemas import REPORT, with_seq
+from roadpulse.schemas import REPORT, SENSOR, with_seq
 from roadpulse.sources import readers, writers
-from roadpulse.streaming.bounded import BoundedInput, replay, start_available, with_event_time
-from roadpulse.streaming.by_batch import AccidentsByBatch, RollingByBatch
-from roadpulse.streaming.stateful import stream_rolling, stream_running_count
+from roadpulse.streaming.bounded import (
+    ASCENDING,
+    BoundedInput,
+    replay,
+    start_available,
+    with_event_time,
+)
+from roadpulse.streaming.stateful import arrivals, stream_rolling, stream_running_count
 
 END_OF_REPORTS = {"vid": -1, "time": 2**31 - 1, "seq": 0, "spd": 0, "xway": 0, "lane": 0,
                   "dir": 0, "seg": 52, "pos": 274560}
@@ -68,10 +73,16 @@ def test_sensor_operators_take_streams(run, sensor):
 
 def test_accidents(run, reports):
     expected = rows(accidents(reports, "compact"))
-    got = run(cut(reports, "time", 3), lambda s: accidents(s, "compact"))
+    operator = lambda s: accidents(with_event_time(s, "time", delay=ASCENDING), "compact")
+    got = run(cut(reports, "time", 3), operator, END_OF_REPORTS)
     assert expected and rows(got) == expected
 
 
+def test_accidents_in_arrival_order(run, reports):
+    got = run(cut(reports, "time", 2), lambda s: accidents(s, "compact"))
+    assert rows(got) == rows(accidents(reports, "compact"))
+
+
 def test_average_speed_needs_the_end_for_its_last_sessions(run, reports):
     expected = rows(average_speed_fines(reports))
     operator = lambda s: average_speed_fines(with_event_time(s, "time"))
@@ -109,9 +120,21 @@ def test_sliding_sum(run, sensor):
     assert tidy(got) == tidy(sliding_sum(sensor))
 
 
+END_OF_READINGS = {"ts": 4102444800, "id": "end", "value": 0.0, "seq": 0}
+
+
+def test_wide_sliding_sum_by_panes(run, sensor):
+    operator = lambda s: sliding_sum(with_event_time(s, "ts", "s"), 3600, 600, panes=True)
+    got = run(cut(sensor, "ts"), operator, END_OF_READINGS)
+    tidy = lambda df: rows(df.withColumn("value", F.round("value", 6)))
+    assert tidy(got) == tidy(sliding_sum(sensor, 3600, 600))
+
+
 @pytest.mark.parametrize("kind", ["min", "reduce"])
 def test_rolling(run, sensor, kind):
-    got = run(cut(sensor, "ts"), lambda s: stream_rolling(s, kind))
+    got = run(
+        cut(sensor, "ts"), lambda s: stream_rolling(with_event_time(s, "ts", "s", ASCENDING), kind), END_OF_READINGS
+    )
     tidy = lambda df: rows(df.withColumn("value", F.round("value", 6)))
     assert tidy(got) == tidy(rolling(sensor, kind))
 
@@ -125,14 +148,20 @@ def test_a_count_per_token(run, spark):
     assert rows(got) == rows(running_word_count(lines))
 
 
-def test_regressions_are_counted_in_the_state(run, spark, make_sensor, tmp_path):
-    slices = [make_sensor([(10, "a", 1.0)]), make_sensor([(5, "a", 1.0), (20, "a", 1.0)])]
-    run(slices, lambda s: stream_rolling(s, "sum"))
-    state = (
-        spark.read.format("statestore").option("stateVarName", "state")
-        .load(str(tmp_path / "stream" / "checkpoint"))
-    )
-    assert [r["regressions"] for r in state.select("value.*").collect()] == [1]
+def test_late_and_shuffled_rows_are_counted_per_key_and_batch(run, spark, make_sensor, tmp_path):
+    slices = [
+        make_sensor([(100, "a", 1.0), (103, "b", 1.0)]),
+        make_sensor([(99, "a", 2.0), (120, "a", 4.0), (50, "b", 64.0)]),
+    ]
+    operator = lambda s: stream_rolling(with_event_time(s, "ts", "s", "10 seconds"), "sum")
+    got = run(slices, operator, END_OF_READINGS)
+    assert [r[:3] for r in rows(got)] == [(99, "a", 2.0), (99, "a", 3.0), (99, "a", 7.0), (103, "b", 1.0)]
+    counts = lambda batch: {
+        r.key: (r.regressions, r.late) for r in arrivals(spark, str(tmp_path / "stream" / "checkpoint"), batch).collect()
+    }
+    last = counts(None)
+    assert (last["a"], last["b"]) == ((1, 0), (1, 1))
+    assert counts(0)["a"] == (0, 0)
 
 
 def test_running_totals_per_word(spark, tmp_path):
@@ -167,6 +196,17 @@ def test_csv_stream_is_strict(spark, tmp_path):
         go()
 
 
+def test_csv_stream_numbers_its_lines(run, spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    stream = readers.stream_csv(spark, str(tmp_path / "in"), SENSOR, 1, numbered=True)
+    writer = writers.stream_files(stream_rolling(stream, "reduce"), str(tmp_path / "out"), str(tmp_path / "c"))
+    for name, text in (("b.csv", "5,s,1.0\n5,s,2.0\n"), ("a.csv", "5,s,4.0\n5,s,8.0\n")):
+        (tmp_path / "in" / name).write_text(text)
+        start_available(spark, writer, 2).awaitTermination()
+    got = spark.read.schema("ts long, id string, value double, seq string").parquet(str(tmp_path / "out"))
+    assert [r.value for r in got.orderBy("seq").collect()] == [1.0, 3.0, 7.0, 15.0]
+
+
 def test_running_words_of_a_text_stream(spark, tmp_path):
     from roadpulse.plans.jobs import running_words
 
@@ -203,21 +243,3 @@ def test_socket_lines_have_the_same_shape(spark):
     assert word_count(lines).columns == ["word", "count"]
 
 
-@pytest.mark.parametrize("preset, size", [("telematics", None), ("opt", 30)])
-def test_accidents_by_batch(spark, tmp_path, reports, preset, size):
-    target = AccidentsByBatch(str(tmp_path), preset, max_group_rows=size)
-    for batch, piece in enumerate(cut(reports, "time", 3)):
-        target(piece, batch)
-        target(piece, batch)  # a batch that runs again changes nothing
-    expected = accidents(reports, preset)
-    assert rows(target.results(spark, expected.schema).drop("batch")) == rows(expected)
-
-
-@pytest.mark.parametrize("kind, size", [("min", None), ("max", 20), ("sum", 20), ("reduce", 20)])
-def test_rolling_by_batch(spark, tmp_path, sensor, kind, size):
-    target = RollingByBatch(str(tmp_path), kind, max_group_rows=size)
-    for batch, piece in enumerate(cut(sensor, "ts", 3)):
-        target(piece, batch)
-    tidy = lambda df: rows(df.withColumn("value", F.round("value", 6)))
-    got = target.results(spark, sensor.schema).drop("batch")
-    assert tidy(got) == tidy(rolling(sensor, kind))
