@@ -10,12 +10,13 @@ the words left to give are used up. Random odds come from a digest of seed and
 Native: DataFrame functions only. Word counts are staged once; targets need only sums
 by source, and the driver sees three numbers per round of resharing. No source is ever
 sorted whole: ranks fall into buckets that are summed before the shuffle, and only the
-bucket in which the words run out, some BUCKET_ROWS rows, is put in order.
+bucket in which the words run out, some BUCKET_ROWS distinct rows with their counts, is put in
+order. The rows at which they run out, alike but perhaps many, are numbered within tasks.
 
 Defined cases. A null text has size 0, and what has size 0 is taken 0 times. A null
-source is a source, the last one. Repeated rows share one rank and one decision, that of
-the first of them; rows of one ``doc_id`` but different size are ordered by size. A null ``doc_id`` is drawn
-like the empty id. If all sizes are 0, so are all targets. Other columns are carried
+source is a source, the last one. Repeated rows share one rank and come one after the other;
+rows of one ``doc_id`` but different size are ordered by size. Where the words run out among rows
+equal in id and size, as many of them are taken as fit. A null ``doc_id`` is drawn like the empty id. If all sizes are 0, so are all targets. Other columns are carried
 along untouched by ``mixed`` and not read by ``copies``.
 """
 
@@ -132,8 +133,8 @@ def _drawn(sized: DataFrame, per_source: DataFrame, seed: str) -> DataFrame:
 def plan(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: str = SEED):
     """(doc_id, source, size) of all documents, and per source what decides on its documents.
 
-    A document is taken ``whole`` times, and once more if its bucket lies before ``edge`` or
-    it lies in ``edge`` and not after ``last``.
+    A document is taken ``whole`` times, and once more if its bucket lies before ``edge``, or if it
+    lies in ``edge`` and before ``last``, or is one of the first ``last.fit`` rows equal to ``last``.
     """
     sized = staged(docs.select("doc_id", "source", _size().alias("size")), "sizes")
     per_source = staged(
@@ -158,17 +159,23 @@ def plan(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: str = SEED):
         edges,
         F.col("p_source").eqNullSafe(F.col("e_source")) & (F.col("bucket") == F.col("edge")),
     )
+    alike = at_edge.groupBy("p_source", "rank", "doc_id", "size").agg(
+        F.count("*").alias("n"), F.first("rest").alias("rest"), F.first("edge_before").alias("edge_before")
+    )
     in_order = (
         Window.partitionBy("p_source")
         .orderBy("rank", "doc_id", "size")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    before = F.col("edge_before") + F.coalesce(F.sum("size").over(in_order), F.lit(0))
+    before = F.col("edge_before") + F.coalesce(F.sum(F.col("n") * F.col("size")).over(in_order), F.lit(0))
+    # A row is taken if half of it fits: before + (rows like it) * size + size / 2 <= rest.
+    room = F.floor((F.col("rest") - F.col("before") - F.col("size") / 2) / F.col("size")) + 1
     lasts = (
-        at_edge.withColumn("before", before)
-        .where(F.col("before") + F.col("size") / 2 <= F.col("rest"))
+        alike.withColumn("before", before)
+        .withColumn("fit", F.least("n", room))
+        .where("fit > 0")
         .groupBy(F.col("p_source").alias("l_source"))
-        .agg(F.max(F.struct("rank", "doc_id", "size")).alias("last"))
+        .agg(F.max(F.struct("rank", "doc_id", "size", "fit", "n")).alias("last"))
     )
     joined = per_source.join(edges, F.col("p_source").eqNullSafe(F.col("e_source")), "left").join(
         lasts, F.col("p_source").eqNullSafe(F.col("l_source")), "left"
@@ -177,10 +184,36 @@ def plan(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: str = SEED):
 
 
 def _taken(sized: DataFrame, rules: DataFrame, seed: str) -> DataFrame:
-    within = F.struct("rank", "doc_id", "size") <= F.col("last")
-    extra = (F.col("bucket") < F.col("edge")) | ((F.col("bucket") == F.col("edge")) & within)
-    copies = F.col("whole") + F.when(F.col("rank").isNotNull() & extra, 1).otherwise(0)
-    return _drawn(sized, rules, seed).withColumn("copies", F.when(F.col("size") > 0, copies).otherwise(0))
+    """``sized`` with the number of copies of each row that are taken."""
+    drawn = _drawn(sized, rules, seed)
+    last = F.struct("last.rank", "last.doc_id", "last.size")
+    at_edge = F.coalesce(F.col("bucket") == F.col("edge"), F.lit(False))
+    equal = at_edge & F.coalesce(F.struct("rank", "doc_id", "size").eqNullSafe(last), F.lit(False))
+    split = equal & (F.col("last.fit") < F.col("last.n"))
+    extra = (F.col("bucket") < F.col("edge")) | (at_edge & (F.struct("rank", "doc_id", "size") <= last))
+    decided = drawn.where(~split).withColumn(
+        "copies", _times(F.col("rank").isNotNull() & F.coalesce(extra, F.lit(False)))
+    )
+    if rules.where(F.col("last.fit") < F.col("last.n")).isEmpty():
+        return decided
+    # Rows alike, of which some are taken: numbered as they lie in the staged table.
+    some = staged(drawn.where(split).withColumn("task", F.spark_partition_id()), "edge")
+    counts = some.groupBy("p_source", "task").agg(F.count("*").alias("n"))
+    tasks_before = Window.partitionBy("p_source").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = counts.select(
+        F.col("p_source").alias("t_source"), F.col("task").alias("t_task"),
+        F.coalesce(F.sum("n").over(tasks_before), F.lit(0)).alias("shift"),
+    )
+    own = Window.partitionBy("p_source", "task").orderBy(F.xxhash64(*[c for c in sized.columns]))
+    numbered = some.withColumn("at", F.row_number().over(own)).join(
+        shifts, F.col("p_source").eqNullSafe(F.col("t_source")) & (F.col("task") == F.col("t_task"))
+    )
+    fits = F.col("at") + F.col("shift") <= F.col("last.fit")
+    return decided.unionByName(numbered.withColumn("copies", _times(fits)).drop("at", "shift", "t_source", "t_task", "task"))
+
+
+def _times(extra: Column) -> Column:
+    return F.when(F.col("size") > 0, F.col("whole") + F.when(extra, 1).otherwise(0)).otherwise(0)
 
 
 def copies(docs: DataFrame, weights=WEIGHTS, most: int = MOST, seed: str = SEED) -> DataFrame:
@@ -231,9 +264,8 @@ u as (select doc_id, size, f.source, source_size, target, whole, fraction, rest,
 k as (select *, case when fraction > 0 and size > 0
                      then u / (1 - u) / (fraction / (1 - fraction)) end as place from u),
 b as (select *, coalesce(sum(size) over (partition by source, place is null order by place, doc_id, size
-                   rows between unbounded preceding and 1 preceding), 0) as before from k),
-t as (select *, min(before) over (partition by source, place, doc_id, size) as first_before from b)
+                   rows between unbounded preceding and 1 preceding), 0) as before from k)
 select doc_id, size, source_size, target,
        case when size = 0 then 0 else size * (whole + case when place is not null
-              and first_before + size / 2.0::double <= rest then 1 else 0 end) end::bigint as taken
-from t"""
+              and before + size / 2.0::double <= rest then 1 else 0 end) end::bigint as taken
+from b"""
