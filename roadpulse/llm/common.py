@@ -13,6 +13,7 @@ from roadpulse.session import scratch_dir
 # The six characters that separate words.
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
+PLACE_BITS = 12
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -70,14 +71,29 @@ def remainder(modulus: int) -> Column:
 
 
 def sampled(rows: DataFrame, most: int, seed: int, key: str = "doc_id") -> DataFrame:
-    """At most ``most`` rows, the first in a random order of their keys.
+    """At most ``most`` rows, all there are if fewer: the first in a random order of their keys.
 
-    Only rows below the value that ``most`` rows are expected to stay below, with six
-    deviations of room, are put in order, so the one task that does it gets about ``most``.
+    Places in that order fall into 4,096 ranges, which are counted first; only the ranges up
+    to the one in which ``most`` rows are reached are put in order, so the one task that does
+    it gets about ``most``. If that range is crowded, as when one key is repeated, its
+    rows are thinned out at random to what is needed and six deviations of room.
     """
     place = F.xxhash64(key, F.lit(seed))
-    share = (most + 6 * most**0.5 + 10) / max(rows.count(), 1)
-    return rows.where(place / 2.0**64 + 0.5 < share).orderBy(place, key).limit(most)
+    at = F.shiftright(place, 64 - PLACE_BITS)
+    counts = sorted(tuple(r) for r in rows.groupBy(at.alias("at")).count().collect())  # 4,096 rows
+    before, last, inside = 0, None, 0
+    for last, inside in counts:
+        if before + inside >= most:
+            break
+        before += inside
+    else:
+        return rows
+    need = most - before
+    share = (need + 6 * need**0.5 + 10) / inside
+    chance = F.xxhash64(F.monotonically_increasing_id(), F.lit(seed)) / 2.0**64 + 0.5
+    crowded = inside > 2 * most + 1000
+    kept = (at < last) | ((at == last) & (chance < share)) if crowded else at <= last
+    return rows.where(kept).orderBy(place, key).limit(most)
 
 
 def running_total(rows: DataFrame, order: Sequence[str | Column], amount: Column, name: str) -> DataFrame:

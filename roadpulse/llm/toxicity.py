@@ -65,7 +65,8 @@ def train(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> np.ndar
     w[-1] = np.log(prior / (1 - prior))
     mean, square = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, STEPS + 1):
-        z_p, z_u = p @ w, u @ w
+        w32 = w.astype(np.float32)  # one type: numpy would convert the matrices in each step
+        z_p, z_u = p @ w32, u @ w32
         negative_part = _softplus(z_u).mean() - prior * _softplus(z_p).mean()
         # Gradients of the losses: as 1 sigmoid(z) - 1, as 0 sigmoid(z).
         grad_negative = u.T @ _sigmoid(z_u) / len(u) - prior * (p.T @ _sigmoid(z_p)) / len(p)
@@ -122,9 +123,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     sides = sampled(toxic, POSITIVES, 11).withColumn("positive", F.lit(True)).union(
         sampled(present, UNLABELLED, 12).withColumn("positive", F.lit(False))
     )
-    # At most POSITIVES + UNLABELLED ids, so they may be broadcast.
+    # At most POSITIVES + UNLABELLED ids, so they may be broadcast. Of an id's rows one is learned
+    # from, the one with the smallest hash of its text: as many rows as ids reach the driver.
+    one_row = F.min_by(F.struct("text"), F.xxhash64("text"))
     sample = staged(
         docs.select("doc_id", "text").join(F.broadcast(sides), "doc_id")
+        .groupBy("doc_id", "positive").agg(one_row.alias("row")).select("doc_id", "positive", "row.text")
         .select("doc_id", "positive", word_hashes().alias("words")),
         "sample",
     )
