@@ -45,6 +45,7 @@ WIDTH = 2
 ROWS, BANDS = 6, 40
 SAMPLE = 16_384
 SMALL = 24
+MEMBERS = 512  # members of a large bucket that meet its pivots together
 PIVOTS = 3
 QUERIES = 256
 FIRST, MORE = 1, 32
@@ -189,8 +190,16 @@ def _with_pivots(members: DataFrame) -> DataFrame:
     pivots = large.groupBy("key").agg(
         *(F.min_by(F.struct("cls", "n"), F.xxhash64("cls", F.lit(i))).alias(f"p{i}") for i in range(PIVOTS))
     )
-    each = pivots.select("key", F.explode(F.array(*(f"p{i}" for i in range(PIVOTS)))).alias("p"))
-    pairs = large.select("key", "cls", "n").join(each.select("key", "p.*").toDF("key", "p_cls", "p_n"), "key")
+    # A bucket's size is known: its members are dealt to as many parts as it holds MEMBERS of them,
+    # each of which gets the pivots.
+    parts = F.ceil(F.col("size") / MEMBERS)
+    dealt = large.select("key", "cls", "n", F.pmod(F.xxhash64("cls"), parts).alias("part"))
+    sizes = large.groupBy("key").agg(F.first(parts).alias("parts"))
+    each = pivots.join(sizes, "key").select(
+        "key", F.explode(F.array(*(f"p{i}" for i in range(PIVOTS)))).alias("p"), "parts"
+    )
+    each = each.select("key", "p.*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    pairs = dealt.join(each.toDF("key", "p_cls", "p_n", "part"), ["key", "part"])
     low = F.col("cls") < F.col("p_cls")
     return pairs.where("cls <> p_cls").select(
         F.least("cls", "p_cls").alias("a"), F.when(low, F.col("n")).otherwise(F.col("p_n")).alias("n_a"),
@@ -448,10 +457,23 @@ def memberships(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """One document of each component, the one with the smallest id, with its columns."""
-    judged = memberships(docs, width).where(F.col("doc") == F.col("component")).select("doc", "tag").distinct()
+    """One document of each component, the one with the smallest id, with its columns.
+
+    Rows that repeat its id and text are copies of it: one of them stays.
+    """
+    judged = staged(
+        memberships(docs, width).where(F.col("doc") == F.col("component"))
+        .groupBy("doc", "tag").agg(F.count("*").alias("n_rows")), "stay",
+    )
     rows = docs.select(F.struct("*").alias("row"), _doc().alias("doc"), _tag().alias("tag"))
-    return rows.join(judged.hint("shuffle_hash"), ["doc", "tag"], "left_semi").select("row.*")
+    stays = lambda which: rows.join(
+        judged.where(which).select("doc", "tag").hint("shuffle_hash"), ["doc", "tag"], "left_semi"
+    )
+    once = stays("n_rows = 1")
+    if judged.where("n_rows > 1").isEmpty():
+        return once.select("row.*")
+    repeated = stays("n_rows > 1").groupBy("doc", "tag").agg(F.first("row").alias("row"))
+    return once.select("row.*").unionByName(repeated.select("row.*"))
 
 
 def op5_near_dedup(spark, sf_dir: str) -> DataFrame:

@@ -208,7 +208,7 @@ def test_one_of_each_keeps_columns(make_docs, odd_rows):
     kept = near_dedup.one_of_each(docs)
     assert kept.columns == docs.columns
     ids = [r.doc_id for r in kept.collect()]
-    assert 8 in ids and 9 not in ids and ids.count(7) == 2 and None in ids
+    assert 8 in ids and 9 not in ids and ids.count(7) == 1 and None in ids
     assert near_dedup.one_of_each(make_docs([])).count() == 0
 
 
@@ -378,3 +378,50 @@ def test_long_texts_are_cut_at_words(library, monkeypatch):
     text = "Some words  and   spaces, " * 40 + "x" * 300 + " end"
     assert own.encode([text]) == [library.encode(text)]
     assert own.digests([text])[0][0] == len(library.encode(text))
+
+
+# --- rows alike
+
+
+def test_mix_of_many_null_ids_meets_its_target(make_docs, same):
+    rows = [(None, "w " * 50, "a")] * 1_000 + [(i, "x y", "b") for i in range(300)] + [(7, "x y z", "c")] * 400
+    docs = make_docs(rows).repartition(5)
+    got = mixing.copies(docs).drop("copies")
+    same(got, mixing.SQL, rows)
+    sums = {(r.source_size, round(r.target)): r.t for r in got.groupBy("source_size", "target").agg({"taken": "sum"})
+            .withColumnRenamed("sum(taken)", "t").collect()}
+    assert len(sums) == 3 and all(abs(taken - target) <= 51 for (_, target), taken in sums.items())
+    taken = mixing.mixed(docs).groupBy("source").count().collect()
+    words = {"a": 50, "b": 2, "c": 3}
+    assert sorted(r["count"] * words[r.source] for r in taken) == sorted(sums.values())
+
+
+def test_one_of_each_keeps_one_of_repeated_rows(make_docs):
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = make_docs([(1, text), (1, text), (2, text), (3, "other words here"), (3, "other words here"), (4, None), (4, None)])
+    kept = near_dedup.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 4]
+
+
+def test_members_of_a_large_bucket_meet_its_pivots_in_parts(make_docs, monkeypatch):
+    monkeypatch.setattr(near_dedup, "MEMBERS", 3)
+    random.seed(4)
+    base = [f"w{i}" for i in range(80)]
+    texts = [" ".join(base[:i % 7] + ["z"] + base[i % 7 + 1 :] + [f"e{i}"]) for i in range(60)]
+    docs = make_docs(list(enumerate(texts)))
+    pairs = [set(zip(t.split(), t.split()[1:])) for t in texts]
+    parent = list(range(60))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(60):
+        for j in range(i):
+            if 100 * len(pairs[i] & pairs[j]) >= 80 * len(pairs[i] | pairs[j]):
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    found = near_dedup.memberships(docs).collect()
+    assert {r.doc: r.component for r in found} == {i: root(i) for i in range(60)}

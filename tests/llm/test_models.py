@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from roadpulse.llm import projection_forest, quality_classifier, toxicity
+from roadpulse.llm.common import sampled
 
 MIDDLE = "/root/testdata/sf0.1"
 
@@ -159,3 +160,24 @@ def test_few_and_equal_vectors(spark):
     assert [(r.vec_id, r.score) for r in out] == [(i, 0.0) for i in range(10)]
     two = spark.createDataFrame([(1, [1.0]), (2, [2.0])], schema)
     assert [tuple(r) for r in projection_forest.nearest(two, F.col("vec_id") == 1).collect()] == [(1, 1, 2, 1.0)]
+
+
+def test_a_sample_has_its_size_however_often_an_id_is_repeated(spark):
+    rows = spark.range(60_000).selectExpr("case when id < 59000 then 5 else id end as doc_id", "id as n")
+    for seed in range(3):
+        assert sampled(rows, 2_000, seed).count() == 2_000
+    assert sampled(rows.where("doc_id = 5"), 100, 1).count() == 100
+    assert sampled(rows, 70_000, 1).count() == 60_000
+    plain = spark.range(30_000).selectExpr("id as doc_id")
+    first, again = (sorted(r[0] for r in sampled(d, 500, 9).collect()) for d in (plain, plain.repartition(7)))
+    assert first == again and len(first) == 500
+
+
+def test_toxicity_learns_from_one_row_of_a_repeated_id(spark):
+    docs = spark.range(400).selectExpr(
+        "id as doc_id", "if(id % 2 = 0, 'vile awful words ' || id % 7, 'kind plain words ' || id % 5) as text"
+    )
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 = 0 as int) as toxic")
+    repeated = docs.union(docs.where("doc_id = 2").crossJoin(spark.range(3_000)).select("doc_id", "text"))
+    one, many = (toxicity.fit(d, labels) for d in (docs, repeated))
+    assert (one.words == many.words).all() and abs(one.weights - many.weights).max() < 1e-3
