@@ -256,8 +256,20 @@ def _candidates(length: int, frequent: Callable[[], pa.Table], last: bool) -> Ca
     """Marks where a frequent phrase of ``length - 1`` words begins; in the last pass, the
     distinct phrases of ``length`` words between two marks that follow each other."""
 
+    def distinct(rows: list[np.ndarray]) -> np.ndarray:
+        all_ = np.concatenate([np.zeros((0, length), np.int32), *rows])
+        all_ = all_[np.lexsort(all_.T[::-1])]
+        new = np.ones(len(all_), bool)
+        new[1:] = (all_[1:] != all_[:-1]).any(axis=1)
+        return all_[new]
+
+    def out(rows: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in rows.T], names=_names(length))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tries = _Tries(frequent()).tries
+        held: list[np.ndarray] = []
+        known = np.zeros((0, length), np.int32)
         for batch in batches:
             marks = batch["marks"].to_pylist() if "marks" in batch.schema.names else [None] * len(batch)
             for block, before in zip(batch["codes"].to_pylist(), marks):
@@ -271,13 +283,15 @@ def _candidates(length: int, frequent: Callable[[], pa.Table], last: bool) -> Ca
                     yield pa.RecordBatch.from_arrays(arrays, names=["codes", "marks"])
                     continue
                 at = np.flatnonzero(marked[:-1] & marked[1:])
-                rows = codes[at[:, None] + np.arange(length)]
-                order = np.lexsort(rows.T[::-1])
-                rows = rows[order]
-                new = np.ones(len(rows), bool)
-                new[1:] = (rows[1:] != rows[:-1]).any(axis=1)
-                columns = [pa.array(c.astype(np.int32)) for c in rows[new].T]
-                yield pa.RecordBatch.from_arrays(columns, names=_names(length))
+                held.append(codes[at[:, None] + np.arange(length)].astype(np.int32))
+                if sum(map(len, held)) >= PAIRS_HELD:
+                    known = distinct([known, *held])
+                    held.clear()
+                    if len(known) >= PAIRS_HELD:
+                        yield out(known)
+                        known = known[:0]
+        if last:
+            yield out(distinct([known, *held]))
 
     return run
 
@@ -316,11 +330,13 @@ def _level(blocks: DataFrame, shorter: DataFrame, length: int, least: int) -> Da
     marked = blocks
     for one in passes[:-1]:
         marked = staged(marked.mapInArrow(_candidates(length, one, False), "codes binary, marks binary"), "marks")
-    found = marked.mapInArrow(_candidates(length, passes[-1], True), schema).distinct()
+    # Distinct within tasks already, as are the counts below: hence one aggregation each, after the shuffle.
+    found = marked.mapInArrow(_candidates(length, passes[-1], True), schema).repartition(*names).distinct()
     candidates = _numbered(found.withColumn("f", F.lit(0).cast("long")), length)
     counts = None
     for one in _passes(_tries(candidates, length)):
-        part = blocks.mapInArrow(_counts(length, one), "number long, f long").groupBy("number").agg(F.sum("f").alias("f"))
+        counted = blocks.mapInArrow(_counts(length, one), "number long, f long").repartition("number")
+        part = counted.groupBy("number").agg(F.sum("f").alias("f"))
         part = staged(part.where(F.col("f") >= least), "counts")
         counts = part if counts is None else counts.unionByName(part)
     if counts is None:
