@@ -8,10 +8,8 @@ that its number of bigrams allows, which for most units are none.
 
 Then the passages: all runs of words, across lines and paragraphs or within a line, of up
 to the largest size that the template allows (and as many repeats as the template has).
-Per template the best passage is one more match if it scores better than each unit. A
-line of a size that the template allows is judged as a whole, not by passages within it.
-``n_units`` counts units only. SQL has the units alone: rows differ from it where a
-passage is found.
+Per template the best passage is one more match if it scores better than each unit.
+``n_units`` counts units only.
 
 A match has at least ``low`` bigrams in common, all of them bigrams of the whole text, so
 units and passages are looked at only for templates that share as many with the text.
@@ -148,38 +146,21 @@ def _bigrams(unit: Column) -> Column:
     return F.array_distinct(_all_bigrams(unit))
 
 
-def _places(text: Column) -> Column:
-    """For each word of a normalised text its line and the number of bigrams of that line."""
-
-    def place(line: Column, i: Column) -> Column:
-        return let(
-            F.split(line, " "),
-            lambda w: F.array_repeat(F.struct(i.alias("line"), F.size(_bigrams(w)).alias("n")), F.size(w)),
-        )
-
-    return F.flatten(F.transform(F.filter(_lines(text), lambda line: line != ""), place))
-
-
-def _best_passage(pairs: Column, places: Column, t: Column, above: Column) -> Column:
+def _best_passage(pairs: Column, t: Column, above: Column) -> Column:
     """The best coefficient of a template and a passage if higher than ``above``, else ``above``.
 
-    ``pairs`` are all bigrams of the text in order, ``places`` as ``_places`` gives them.
+    ``pairs`` are all bigrams of the text in order.
     """
 
     def from_start(at: Column) -> Column:
         # At 1-based bigram ``at``: its passages grow bigram by bigram.
-        own = F.get(places, at - 1)
-        whole_line = (own["n"] >= t["low"]) & (own["n"] <= t["high"])
-
         def grow(run: Column) -> Column:
             def step(state: Column, j: Column) -> Column:
                 pair = F.get(run, j - 1)
                 new = (F.array_position(run, pair) == j).cast("int")
                 hit = F.array_contains(t["pairs"], pair)
                 common, n = state["common"] + new * hit.cast("int"), state["n"] + new
-                last = F.get(places, at + j - 1)
-                within = whole_line & (last["line"] == own["line"])
-                score = F.when(hit & ~within, 2.0 * common / (n + t["n"])).otherwise(F.lit(0.0))
+                score = F.when(hit, 2.0 * common / (n + t["n"])).otherwise(F.lit(0.0))
                 return F.struct(
                     common.alias("common"), n.alias("n"), F.greatest(state["best"], score).alias("best")
                 )
@@ -251,7 +232,7 @@ def matches(docs: DataFrame, templates: dict[str, str] | None = None, dice: floa
         above = F.coalesce(-of_units["minus"], F.lit(math.nextafter(dice, 0)))
 
         def scored(least_score: Column) -> Column:
-            best = F.when(least_score < 1.0, _best_passage(F.col("pairs"), F.col("places"), t, least_score))
+            best = F.when(least_score < 1.0, _best_passage(F.col("pairs"), t, least_score))
             return let(best, lambda b: F.struct(
                 F.when(b > least_score, -b).alias("minus"), t["place"].alias("place"), t["license"].alias("license"),
             ))
@@ -267,7 +248,6 @@ def matches(docs: DataFrame, templates: dict[str, str] | None = None, dice: floa
     long_enough = F.filter(split, lambda u: F.size(u) > least)
     scanned = met.select(
         "*", F.when(some, F.sort_array(F.flatten(F.transform(long_enough, scan)))).alias("of_units"),
-        F.when(some, _places(F.col("t"))).alias("places"),
     )
     passages = F.filter(F.transform("near", passage), lambda s: s["minus"].isNotNull())
     found = F.when(some, F.sort_array(F.concat("of_units", passages)))
@@ -293,12 +273,13 @@ def _template_rows() -> str:
     for i, (name, text) in enumerate(sorted(TEMPLATES.items())):
         pairs = bigrams(text)
         low, high = sizes(len(pairs), DICE)
-        rows.append(f"({i}, '{name}', {len(pairs)}, {low}, {high}, {pairs!r})")
+        span = high + len(_words(text)) - 1 - len(pairs)
+        rows.append(f"({i}, '{name}', {len(pairs)}, {low}, {high}, {span}, {pairs!r})")
     return ",\n  ".join(rows)
 
 
 SQL = rf"""
-with templates(place, license, n, low, high, pairs) as (values
+with templates(place, license, n, low, high, span, pairs) as (values
   {_template_rows()}),
 t as (select row_number() over () as row_id, doc_id,
              regexp_replace(lower(coalesce(text, '')), '[^\pL\pN_\n]+', ' ', 'g') as t from documents),
@@ -311,9 +292,27 @@ b as (select row_id, list_distinct(list_transform(range(1, len(ws)), lambda i: w
 m as (select row_id, license, place,
              2.0 * len(list_intersect(b.pairs, templates.pairs)) / (len(b.pairs) + n)::double as dice
       from b join templates on len(b.pairs) between low and high),
+-- Passages: all runs of words that start and end with a bigram of a template.
+a as (select row_id, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) as pairs
+      from (select row_id, string_split(units[1], ' ') as ws from u) where len(ws) > 1),
+near as (select row_id, place, license, n, span, a.pairs, templates.pairs as own
+         from a join templates on len(list_intersect(list_distinct(a.pairs), templates.pairs)) >= low),
+starts as (select *, unnest(range(1, len(pairs) + 1)) as i from near),
+runs as (select *, unnest(range(i, least(i + span, len(pairs) + 1))) as j from starts
+         where list_contains(own, pairs[i])),
+sets as (select row_id, place, license, n, own, list_distinct(pairs[i:j]) as run from runs
+         where list_contains(own, pairs[j])),
+passages as (select row_id, place, license,
+                    max(2.0 * len(list_intersect(run, own)) / (len(run) + n)::double) as dice
+             from sets group by all),
+of_units as (select row_id, place, max(dice) as dice from m group by all),
+found as (select row_id, license, place, dice from m where dice >= {DICE}
+          union all
+          select row_id, license, place, p.dice from passages p left join of_units o using (row_id, place)
+          where p.dice >= {DICE} and (coalesce(o.dice, 0) < {DICE} or p.dice > o.dice)),
 best as (select row_id, count(*) as n_matches,
                 arg_min(license, {{'a': -dice, 'b': place}}) as license, max(dice) as dice
-         from m where dice >= {DICE} group by row_id)
+         from found group by row_id)
 select doc_id, cast(len(units) as bigint) as n_units, coalesce(n_matches, 0) as n_matches, license,
        round(dice, 6) as dice
 from u left join best using (row_id)"""
