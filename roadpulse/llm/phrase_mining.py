@@ -8,7 +8,7 @@ word, the end of a piece or a text), staged once as blocks of some 250,000.
 Level by level (Apriori): a phrase of k words can be frequent only where both its first and its
 last k - 1 words are. Pairs are counted as two numbers, combined within tasks first: there are as
 many of them as candidates. For three and four words the candidates that occur are gathered first,
-then counted in double-array tries of at most TRIE_PHRASES phrases each: a task moves the
+then counted in double-array tries of at most TRIE_PHRASES phrases each, which begin with a range of words: a task moves the
 states of all positions of a block on together, word by word, counts the accepting states with
 one bincount per trie, and the tasks' counts are summed. Tries are built in tasks; a pass over
 the blocks broadcasts at most PASS_TRIES of them, and where there are more, there are more passes.
@@ -41,8 +41,8 @@ COVER = 80  # per cent of its occurrences inside a longer phrase that drop a phr
 SCALE = 2_000_000
 
 DICTIONARY = 1_000_000
-TRIE_PHRASES = 250_000
-PASS_TRIES = 4
+TRIE_PHRASES = 50_000
+PASS_TRIES = 10
 BLOCK_CODES = 1 << 18
 PAIRS_HELD = 1 << 20
 WORDS_HELD = 250_000
@@ -217,14 +217,14 @@ def _build(length: int) -> Callable:
         names = _names(length)
         frame = frame.sort_values(names)
         trie = DoubleArray.build(frame[names].to_numpy(np.int64))
-        row = (frame["trie"].iloc[0], trie.digits, trie.base.tobytes(), trie.check.tobytes(), trie.number.tobytes(),
-               frame["number"].to_numpy(np.int64).tobytes(), frame["f"].to_numpy(np.int64).tobytes())
+        row = (frame["trie"].iloc[0], int(frame["c1"].iloc[0]), int(frame["c1"].iloc[-1]), trie.digits, trie.base.tobytes(), trie.check.tobytes(), trie.number.tobytes(),
+               frame["number"].to_numpy(np.int64).tobytes())
         return pd.DataFrame([row])
 
     return run
 
 
-_TRIE = "trie long, digits int, base binary, check binary, number binary, numbers binary, counts binary"
+_TRIE = "trie long, low int, high int, digits int, base binary, check binary, number binary, numbers binary"
 
 
 def _tries(phrases: DataFrame, length: int) -> DataFrame:
@@ -234,16 +234,27 @@ def _tries(phrases: DataFrame, length: int) -> DataFrame:
 
 
 class _Tries:
-    """The tries of one pass, as tasks see them."""
+    """The tries of one pass, as tasks see them. Each holds a range of first words."""
 
     def __init__(self, table: pa.Table):
-        self.tries = []
+        self.tries, self.numbers = [], []
         for row in table.to_pylist():
             trie = DoubleArray(
                 np.frombuffer(row["base"], np.int32), np.frombuffer(row["check"], np.int32),
                 np.frombuffer(row["number"], np.int32), row["digits"],
             )
-            self.tries.append((trie, np.frombuffer(row["numbers"], np.int64), np.frombuffer(row["counts"], np.int64)))
+            self.tries.append((trie, row["low"], row["high"]))
+            self.numbers.append(np.frombuffer(row["numbers"], np.int64))
+
+    def walk(self, codes: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Per trie the (starts, numbers) of its phrases in a block, from the positions whose word it may
+        begin with."""
+        starts = np.flatnonzero(codes > 0)
+        starts = starts[np.argsort(codes[starts], kind="stable")]
+        first = codes[starts]
+        for trie, low, high in self.tries:
+            own = starts[np.searchsorted(first, low, "left") : np.searchsorted(first, high, "right")]
+            yield trie.walk(codes, own, length)
 
 
 def _passes(tries: DataFrame) -> Iterator[Callable[[], pa.Table]]:
@@ -267,7 +278,7 @@ def _candidates(length: int, frequent: Callable[[], pa.Table], last: bool) -> Ca
         return pa.RecordBatch.from_arrays([pa.array(c) for c in rows.T], names=_names(length))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tries = _Tries(frequent()).tries
+        tries = _Tries(frequent())
         held: list[np.ndarray] = []
         known = np.zeros((0, length), np.int32)
         for batch in batches:
@@ -275,9 +286,8 @@ def _candidates(length: int, frequent: Callable[[], pa.Table], last: bool) -> Ca
             for block, before in zip(batch["codes"].to_pylist(), marks):
                 codes = np.frombuffer(block, "<i4").astype(np.int64)
                 marked = np.zeros(len(codes), bool) if before is None else np.frombuffer(before, bool).copy()
-                starts = np.flatnonzero(codes > 0)
-                for trie, _, _ in tries:
-                    marked[trie.walk(codes, starts, length - 1)[0]] = True
+                for starts, _ in tries.walk(codes, length - 1):
+                    marked[starts] = True
                 if not last:
                     arrays = [pa.array([block], pa.binary()), pa.array([marked.tobytes()], pa.binary())]
                     yield pa.RecordBatch.from_arrays(arrays, names=["codes", "marks"])
@@ -300,15 +310,14 @@ def _counts(length: int, candidates: Callable[[], pa.Table]) -> Callable:
     """(number, f): how often each candidate of the tries occurs in a task's blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tries = _Tries(candidates()).tries
-        totals = [np.zeros(len(numbers), np.int64) for _, numbers, _ in tries]
+        tries = _Tries(candidates())
+        totals = [np.zeros(len(numbers), np.int64) for numbers in tries.numbers]
         for batch in batches:
             for block in batch["codes"].to_pylist():
                 codes = np.frombuffer(block, "<i4").astype(np.int64)
-                starts = np.flatnonzero(codes > 0)
-                for (trie, _, _), total in zip(tries, totals):
-                    total += np.bincount(trie.walk(codes, starts, length)[1], minlength=len(total))
-        for (_, numbers, _), total in zip(tries, totals):
+                for (_, found), total in zip(tries.walk(codes, length), totals):
+                    total += np.bincount(found, minlength=len(total))
+        for numbers, total in zip(tries.numbers, totals):
             seen = np.flatnonzero(total)
             arrays = [pa.array(numbers[seen]), pa.array(total[seen])]
             yield pa.RecordBatch.from_arrays(arrays, names=["number", "f"])
