@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +14,9 @@ from pyspark.sql import types as T
 from roadpulse.operators.numbering import number_rows
 from roadpulse.schemas import REPORT, REPORT_COMPACT, SENSOR
 
+# Functions travel with the plan, so executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # What the text of a field may look like; ranges are checked by the cast.
 _FIELD = {T.IntegralType: r"[+-]?[0-9]+", T.DataType: "[^,]*"}
 # monotonically_increasing_id: the partition above, the row within it in these bits.

@@ -194,11 +194,10 @@ class _Ordered(StatefulProcessor):
         self.handle = handle
         self.runs = SortedRuns(handle, ([_MS] if self.timed else []) + self.order)
         self.state = handle.getMapState("state", "key string", self.added_state)
-        # Per key: the order of the latest row that arrived, how many rows arrived after a later
-        # one, and how many of them too late to be used.
-        self.arrivals = handle.getMapState(
-            "arrivals", "key string", "last string, regressions long, late long"
-        )
+        # The order of the latest row that arrived, and per key, where there are any, how many rows
+        # arrived in a micro-batch after it and how many of them too late to be used.
+        self.latest = handle.getValueState("latest", "order string")
+        self.arrivals = handle.getMapState("arrivals", "key string", "regressions long, late long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         if not self.timed:
@@ -222,30 +221,40 @@ class _Ordered(StatefulProcessor):
         self.handle.registerTimer(now)
 
     def _watched(self, frames: Iterator[pd.DataFrame], watermark: int | None) -> Iterator[pd.DataFrame]:
-        """The rows that are in time; keeps count of the order in which they come."""
+        """The rows that are in time; keeps count of those that come out of order."""
+        old = self.latest.get()
+        before = json.loads(old[0]) if old else None
+        latest = before
         for frame in frames:
             if not len(frame):
                 continue
             late = np.zeros(len(frame), bool)
             if watermark:  # 0: there is none yet
                 late = frame[_MS].to_numpy() <= watermark
-            self._watch(frame, late)
+            columns = [frame[c].to_numpy() for c in self.order]
+            if before is not None:
+                behind = columns[0] < before[0]
+                for i in np.flatnonzero(columns[0] == before[0]):
+                    behind[i] = [c[i] for c in columns] < before
+                self._count(frame[self.key].to_numpy(), behind | late, late)
+            top = columns[0].max()
+            newest = max([c.item() if hasattr(c := col[i], "item") else c for col in columns]
+                         for i in np.flatnonzero(columns[0] == top))
+            latest = newest if latest is None else max(latest, newest)
             if late.any():
                 frame = frame[~late]
             if len(frame):
                 yield frame.drop(columns=[_BUCKET])
+        if latest != before:
+            self.latest.update((json.dumps(latest),))
 
-    def _watch(self, frame: pd.DataFrame, late: np.ndarray) -> None:
-        columns = [frame[c].to_numpy() for c in self.order]
-        for key, at in _groups(frame[self.key].to_numpy()):
+    def _count(self, keys: np.ndarray, behind: np.ndarray, late: np.ndarray) -> None:
+        if not behind.any():
+            return
+        for key, at in _groups(keys[behind]):
             name = _name(key)
-            old = self.arrivals.getValue((name,))
-            last, back, dropped = (None, 0, 0) if old is None else (json.loads(old[0]), old[1], old[2])
-            own = [list(x) for x in zip(*(c[at].tolist() for c in columns))]
-            if last is not None:
-                back += sum(x < last for x in own)
-            newest = max(own) if last is None else max(last, max(own))
-            self.arrivals.updateValue((name,), (json.dumps(newest), back, dropped + int(late[at].sum())))
+            n, dropped = self.arrivals.getValue((name,)) or (0, 0)
+            self.arrivals.updateValue((name,), (n + len(at), dropped + int(late[behind][at].sum())))
 
     def _results(self, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -388,9 +397,9 @@ def stream_accidents(df: DataFrame, same_dir: bool, buckets: int = BUCKETS) -> D
 
 
 def arrivals(spark: SparkSession, checkpoint: str, batch: int | None = None) -> DataFrame:
-    """Per key of a processor above, as of a micro-batch (default: the last one): how many rows
-    came after a later row of their key (``regressions``), how many of them behind the
-    watermark, so that they were dropped (``late``), and the latest order seen.
+    """Per key of a processor above that has any, as of a micro-batch (default: the last one): how
+    many rows came after a micro-batch with a later row of their bucket of keys (``regressions``), and
+    how many of them behind the watermark, so that they were dropped (``late``).
 
     Read from the state of the query's checkpoint, also while it runs; keys come as text.
     """
