@@ -81,15 +81,11 @@ def replay(
 
     The query runs once per slice, when the slice is complete: a query that is
     always on could see half of one and so break the order of arrival.
-    ``sentinel`` closes what is still open at the end.
+    ``sentinel`` comes with the last slice and closes what is open after it.
     """
-
-    def run() -> None:
-        start_available(source.spark, build(source.stream()), state_partitions).awaitTermination()
-
-    for piece in slices:
+    for number, piece in enumerate(slices, 1):
         source.append(piece)
-        run()
-    if sentinel is not None:
-        source.finalize(sentinel)
-        run()
+        if sentinel is not None and number == len(slices):
+            source.finalize(sentinel)
+        query = start_available(source.spark, build(source.stream()), state_partitions)
+        query.awaitTermination()
