@@ -150,10 +150,18 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-def _arrow(df: DataFrame) -> Callable[[], pa.Table]:
-    """A bounded table as a broadcast that tasks read."""
-    shared = df.sparkSession.sparkContext.broadcast(_packed(df.toArrow()))
-    return lambda: pa.ipc.open_stream(shared.value).read_all()
+class _Shared:
+    """A bounded table as a broadcast that tasks read; dropped once its pass is written."""
+
+    def __init__(self, df: DataFrame):
+        self.broadcast = df.sparkSession.sparkContext.broadcast(_packed(df.toArrow()))
+
+    def reader(self) -> Callable[[], pa.Table]:
+        shared = self.broadcast
+        return lambda: pa.ipc.open_stream(shared.value).read_all()
+
+    def drop(self) -> None:
+        self.broadcast.destroy()
 
 
 def _packed(table: pa.Table) -> bytes:
@@ -170,10 +178,15 @@ def _coded(docs: DataFrame, vocabulary: DataFrame, n_words: int) -> DataFrame:
         for low in range(0, max(n_words, 1), DICTIONARY):
             part = vocabulary.where(F.col("code").between(low + 1, low + DICTIONARY))
             last = low + DICTIONARY >= n_words
-            coder = _coder(_arrow(part.select("lang", "word", "code")), keep=not last)
+            shared = _Shared(part.select("lang", "word", "code"))
+            coder = _coder(shared.reader(), keep=not last)
             if last:
-                return staged(texts.mapInArrow(coder, "codes binary").mapInArrow(_blocks, "codes binary"), "blocks")
-            texts = staged(texts.mapInArrow(coder, "lang string, text binary, codes binary"), "coded")
+                coded = texts.mapInArrow(coder, "codes binary").mapInArrow(_blocks, "codes binary")
+            else:
+                coded = texts.mapInArrow(coder, "lang string, text binary, codes binary")
+            texts = staged(coded, "blocks" if last else "coded")
+            shared.drop()
+    return texts
 
 
 # --- levels
@@ -257,10 +270,11 @@ class _Tries:
             yield trie.walk(codes, own, length)
 
 
-def _passes(tries: DataFrame) -> Iterator[Callable[[], pa.Table]]:
+def _passes(tries: DataFrame) -> Iterator[DataFrame]:
+    """The tries, as many at a time as are broadcast together."""
     last = tries.agg(F.max("trie")).first()[0]
     for low in range(0, -1 if last is None else last + 1, PASS_TRIES):
-        yield _arrow(tries.where(F.col("trie").between(low, low + PASS_TRIES - 1)))
+        yield tries.where(F.col("trie").between(low, low + PASS_TRIES - 1))
 
 
 def _candidates(length: int, frequent: Callable[[], pa.Table], last: bool) -> Callable:
@@ -338,19 +352,26 @@ def _level(blocks: DataFrame, shorter: DataFrame, length: int, least: int) -> Da
         return blocks.sparkSession.createDataFrame([], f"{schema}, f long, number long")
     marked = blocks
     for one in passes[:-1]:
-        marked = staged(marked.mapInArrow(_candidates(length, one, False), "codes binary, marks binary"), "marks")
+        shared = _Shared(one)
+        marking = _candidates(length, shared.reader(), False)
+        marked = staged(marked.mapInArrow(marking, "codes binary, marks binary"), "marks")
+        shared.drop()
+    shared = _Shared(passes[-1])
     # Distinct within tasks already, as are the counts below: hence one aggregation each, after the shuffle.
-    found = marked.mapInArrow(_candidates(length, passes[-1], True), schema).repartition(*names).distinct()
-    candidates = _numbered(found.withColumn("f", F.lit(0).cast("long")), length)
+    found = marked.mapInArrow(_candidates(length, shared.reader(), True), schema).repartition(*names).distinct()
+    candidates = _numbered(found, length)
+    shared.drop()
     counts = None
     for one in _passes(_tries(candidates, length)):
-        counted = blocks.mapInArrow(_counts(length, one), "number long, f long").repartition("number")
+        shared = _Shared(one)
+        counted = blocks.mapInArrow(_counts(length, shared.reader()), "number long, f long").repartition("number")
         part = counted.groupBy("number").agg(F.sum("f").alias("f"))
         part = staged(part.where(F.col("f") >= least), "counts")
+        shared.drop()
         counts = part if counts is None else counts.unionByName(part)
     if counts is None:
-        return candidates
-    frequent = candidates.drop("f").join(counts, "number").select(*names, "f")
+        return candidates.withColumn("f", F.lit(0).cast("long"))
+    frequent = candidates.join(counts, "number").select(*names, "f")
     return _numbered(frequent, length)
 
 
