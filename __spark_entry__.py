@@ -212,6 +212,19 @@ def _stream_rolling_sum(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(result, "value")
 
 
+def _stream_accidents_by_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """Without an event time: reports are taken in arrival order, micro-batch by micro-batch."""
+    return _through_stream(spark, "batch-accidents", _all_reports(spark, sf), "time", accidents, None)
+
+
+def _stream_rolling_sum_by_batch(spark: SparkSession, sf: str) -> DataFrame:
+    result = _through_stream(
+        spark, "batch-rolling", views.sensor(spark, sf), "ts",
+        lambda stream: stream_rolling(stream, "sum"), None,
+    )
+    return _rounded(result, "value")
+
+
 def _stream_running_word_count(spark: SparkSession, sf: str) -> DataFrame:
     """Lines in order of their number, which is their event time."""
     end = {"seq": 2**40, "value": "end"}
@@ -327,6 +340,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["stream_sliding_sum_wide"] = _stream_sliding(3600, 600, panes=True)
     out["stream_rolling_sum"] = _stream_rolling_sum
     out["stream_word_count"] = _stream_word_count
+    out["stream_accidents_by_batch"] = _stream_accidents_by_batch
+    out["stream_rolling_sum_by_batch"] = _stream_rolling_sum_by_batch
     out["stream_telematics_job"] = _stream_telematics_job
     out["stream_keyed_reduce_files"] = _stream_reduce_of_files
     if training_data:
@@ -524,6 +539,8 @@ from ({_speed_fines_sql('radar')})"""
     out["stream_sliding_sum_wide"] = out["sliding_sum_wide"]
     out["stream_rolling_sum"] = out["rolling_sum"]
     out["stream_word_count"] = out["word_count"]
+    out["stream_accidents_by_batch"] = out["accidents_telematics"]
+    out["stream_rolling_sum_by_batch"] = out["rolling_sum"]
     out["stream_telematics_job"] = out["telematics_job"]
     out["stream_keyed_reduce_files"] = out["keyed_reduce_files"]
     if training_data:
