@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from roadpulse.session import STREAM_DEFAULTS
 
 # Fixed value: how far an ascending watermark stays behind, so that equal times are in time.
 ASCENDING = "1 millisecond"
@@ -58,16 +59,20 @@ def start_available(
     """Start a query that takes what has arrived and stops.
 
     The number of state partitions is fixed by the first start of a checkpoint;
-    ``state_partitions`` sets it for this query alone.
+    ``state_partitions`` sets it for this query alone. So are the settings of streams that
+    ``session.build_session`` makes, which a session of another make may lack.
     """
-    name = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(name)
+    wanted = dict(STREAM_DEFAULTS)
     if state_partitions:
-        spark.conf.set(name, str(state_partitions))
+        wanted["spark.sql.shuffle.partitions"] = str(state_partitions)
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         return writer.trigger(availableNow=True).start()
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def replay(

@@ -235,6 +235,28 @@ def test_restart_leaves_the_sessions_settings_alone(spark, tmp_path):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
+@pytest.mark.parametrize("stream, table", [
+    ("stream_telematics_job", "telematics_findings"), ("stream_keyed_reduce_files", "keyed_reduce_files"),
+])
+def test_whole_streams_bring_their_state_store(spark, sf, stream, table):
+    from __spark_entry__ import queries
+
+    names = ("spark.sql.streaming.stateStore.providerClass",
+             "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition")
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        for name in names:
+            spark.conf.unset(name)
+        plain = {name: spark.conf.get(name) for name in names}
+        got = rows(queries()[stream](spark, sf).na.fill(-1))
+        assert {name: spark.conf.get(name) for name in names} == plain
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    expected = queries()[table](spark, sf)
+    assert got == rows(expected.na.fill(-1))
+
+
 def test_socket_lines_have_the_same_shape(spark):
     # Nothing connects before the query starts.
     lines = readers.stream_lines(spark, "socket", host="localhost", port="9999")
