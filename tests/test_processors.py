@@ -231,3 +231,60 @@ def test_groups_keep_the_order_of_rows():
     keys = np.array(["b", None, "a", "b", None], dtype=object)
     assert {k: at.tolist() for k, at in stateful._groups(keys)} == {"b": [0, 3], None: [1, 4], "a": [2]}
     assert list(itertools.chain(*(at for _, at in stateful._groups(np.array([2, 1, 2]))))) == [0, 2, 1]
+
+
+class Counting(Map):
+    calls = 0
+
+    def getValue(self, key):
+        self.calls += 1
+        return super().getValue(key)
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        super().updateValue(key, value)
+
+
+def test_running_values_of_many_keys_take_few_exchanges_with_the_state():
+    handle, n = Handle(), 60_000
+    handle.states["state"] = Counting()
+    processor = CountProcessor("word", ("seq", "pos"), ("seq", "pos", "word", "count"), timed=False)
+    processor.init(handle)
+    for batch in (0, 1):
+        frame = pd.DataFrame({"seq": np.arange(n) + n * batch, "pos": 0, "word": [f"w{i % 7000}" for i in range(n)],
+                              "key_bucket": 1})
+        out = pd.concat(processor.handleInputRows((1,), iter([frame]), Now(0)))
+    seen, most = np.bincount(np.arange(n) % 7000), out.groupby("word")["count"].max()
+    assert all(most[f"w{i}"] == 2 * count for i, count in enumerate(seen))
+    assert handle.states["state"].calls <= 4 * stateful.PARTS
+
+
+def test_merging_of_runs_writes_a_row_a_few_times(monkeypatch):
+    for name, value in {"PAGE_ROWS": 2, "RUN_ROWS": 2, "MOST_RUNS": 4}.items():
+        monkeypatch.setattr(stateful, name, value)
+    handle, n = Handle(), 2000
+    handle.states["pages"] = Counting()
+    runs = stateful.SortedRuns(handle, ["t"])
+    order = np.random.default_rng(0).permutation(n)
+    runs.add({"t": order[low : low + 2]} for low in range(0, n, 2))
+    # Merged into one each time, a row would be moved some 160 times.
+    assert handle.states["pages"].calls < 40 * n
+    assert np.concatenate([rows["t"] for rows in runs.take(10**9)]).tolist() == list(range(n))
+
+
+def test_rows_packed_by_bucket_are_all_there(monkeypatch):
+    import pyarrow as pa
+
+    for name, value in {"SENT_ROWS": 50, "PACKED_ROWS": 3}.items():
+        monkeypatch.setattr(stateful, name, value)
+    rng, n = random.Random(0), 230
+    rows = [(rng.randrange(6), i, rng.choice(["a", None, "b"])) for i in range(n)]
+    table = pa.table({"key_bucket": pa.array([r[0] for r in rows], pa.int32()), "seq": [r[1] for r in rows],
+                      "id": [r[2] for r in rows]})
+    got = []
+    for batch in stateful._by_bucket(table.to_batches(max_chunksize=20)):
+        for bucket, packed in zip(*(c.to_pylist() for c in batch.columns)):
+            (part,) = stateful._opened([pd.DataFrame({"key_bucket": [bucket], "packed_rows": [packed]})])
+            assert len(part["seq"]) <= 3
+            got += [(bucket, s, i) for s, i in zip(part["seq"].tolist(), part["id"].tolist())]
+    assert sorted(got, key=str) == sorted(rows, key=str)
