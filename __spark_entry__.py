@@ -39,6 +39,8 @@ COMPACT = ("xway", "dir", "seg")
 SLICES = 2
 # The "split" queries cut every key with more rows than this, as hot keys are cut.
 SPLIT_ROWS = 1000
+# Events, of 40 reports each, that one task turns into reports.
+EVENTS_PER_TASK = 50_000
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -50,8 +52,11 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _all_reports(spark: SparkSession, sf: str) -> DataFrame:
-    # The test tables are single files: dealt out first, all cores make reports.
-    return views.reports(spark, sf, spark.sparkContext.defaultParallelism)
+    # The test tables are single files: dealt out first, all cores make reports. The tasks are as many
+    # as the events ask for, so that none has more to sort the larger the table is.
+    events = spark.read.parquet(f"{sf}/events.parquet").count()
+    tasks = max(spark.sparkContext.defaultParallelism, -(-events // EVENTS_PER_TASK))
+    return views.reports(spark, sf, tasks)
 
 
 def _compact(reports: DataFrame) -> DataFrame:
