@@ -55,23 +55,40 @@ class Split:
         return F.col(CHUNK) > 0
 
 
+@dataclass(frozen=True)
+class KeySizes:
+    """Rows per key (``key, _n``), the most and the mean of them."""
+
+    per_key: DataFrame
+    largest: int
+    mean: float
+
+
+def key_sizes(df: DataFrame, key: str) -> KeySizes:
+    per_key = df.groupBy(key).agg(F.count("*").alias("_n"))
+    largest, mean = per_key.agg(F.max("_n"), F.avg("_n")).first()
+    return KeySizes(per_key, largest or 0, mean or 0.0)
+
+
 def split_hot_groups(
-    df: DataFrame, key: str, order: Sequence[str], max_group_rows: int | None = MAX_GROUP_ROWS
+    df: DataFrame, key: str, order: Sequence[str], max_group_rows: int | None = MAX_GROUP_ROWS,
+    sizes: KeySizes | None = None,
 ) -> Split:
     """Cut the keys of ``df`` that hold more than ``max_group_rows`` rows.
 
     ``order`` lists columns that put a key's rows into a total order.
-    ``max_group_rows=None`` promises that no key is large and skips the count.
+    ``max_group_rows=None`` promises that no key is large and skips the count. ``sizes`` are
+    given where they are known or ``df`` holds its rows summed up.
     """
     order = tuple(order)
     whole = Split(df, key, order)
     if max_group_rows is None:
         return whole
-    sizes = df.groupBy(key).agg(F.count("*").alias("_n"))
-    largest = sizes.agg(F.max("_n")).first()[0] or 0
-    if largest <= max_group_rows:
+    sizes = sizes or key_sizes(df, key)
+    if sizes.largest <= max_group_rows:
         return whole
-    keys = staged(sizes.where(F.col("_n") > max_group_rows).select(F.col(key).alias("_hot")), "hot-keys")
+    is_hot = F.col("_n") > max_group_rows
+    keys = staged(sizes.per_key.where(is_hot).select(F.col(key).alias("_hot")), "hot-keys")
     same = df[key].eqNullSafe(keys["_hot"])
     number = F.monotonically_increasing_id()
     partition = F.shiftright(number, _ROW_BITS)

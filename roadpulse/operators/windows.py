@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from roadpulse.operators.hot_groups import (
     CHUNK,
     MAX_GROUP_ROWS,
+    key_sizes,
     split_hot_groups,
     with_lookback,
 )
@@ -18,6 +19,8 @@ from roadpulse.operators.hot_groups import (
 _MERGE = {"min": F.min, "max": F.max, "sum": F.sum}
 # Panes of a window up to which each pane is spread over its windows; only cost depends on it.
 MOST_SPREAD = 16
+# Rows per key from which sessions are made of sums; only cost depends on it.
+ROWS_TO_SUM = 8
 
 
 def sliding_sum(
@@ -149,17 +152,27 @@ def session_aggregate(
     (inclusive); it ends ``gap_ticks`` after its last row. ``aggregates`` maps a
     name to (``min`` | ``max`` | ``sum``, column).
 
+    Rows of a table that lie in one stretch of time as long as the gap are in one session. Where keys
+    have some rows these are summed up, for most of them before a shuffle, and sessions are
+    made of what is left; a table of ever new keys takes one shuffle instead.
+
     Chunks of a cut key are sessionised apart. Only the first and the last
     session of a chunk can go on in a neighbour; these, at most two per chunk,
     are merged in a second step. All other sessions are final.
     """
-    gap = f"{gap_ticks} milliseconds"
-    firsts = [_MERGE[how](column).alias(name) for name, (how, column) in aggregates.items()]
     session_time = F.col("event_time") if df.isStreaming else F.timestamp_millis(F.col(time))
-    split = split_hot_groups(df, key, order, None if df.isStreaming else max_group_rows)
+    length = f"{gap_ticks} milliseconds"
+    sizes = None if df.isStreaming or max_group_rows is None else key_sizes(df, key)
+    if sizes and sizes.mean >= ROWS_TO_SUM:
+        df = _stretches(df, key, time, gap_ticks, aggregates)
+        aggregates = {name: (how, F.col(name)) for name, (how, _) in aggregates.items()}
+        order, session_time = ("_from",), F.timestamp_millis("_from")
+        length = F.concat((F.col("_to") - F.col("_from") + gap_ticks).cast("string"), F.lit(" milliseconds"))
+    session = F.session_window(session_time, length)
+    split = split_hot_groups(df, key, order, None if df.isStreaming else max_group_rows, sizes)
     local = (
-        split.rows.groupBy(*split.keys, F.session_window(session_time, gap).alias("_s"))
-        .agg(*firsts)
+        split.rows.groupBy(*split.keys, session.alias("_s"))
+        .agg(*[_MERGE[how](column).alias(name) for name, (how, column) in aggregates.items()])
         .select(
             *split.keys,
             F.unix_millis("_s.start").alias("session_start"),
@@ -194,6 +207,23 @@ def session_aggregate(
     return final.unionByName(merged)
 
 
+def _stretches(
+    df: DataFrame, key: str, time: str, gap_ticks: int, aggregates: dict[str, tuple[str, Column]]
+) -> DataFrame:
+    """``key, _from, _to`` and the aggregates per key and stretch of ``gap_ticks`` that has rows."""
+    ticks = F.col(time).cast("long")
+    return (
+        df.where(F.col(time).isNotNull())
+        .groupBy(key, F.floor(ticks / max(gap_ticks, 1)).alias("_stretch"))
+        .agg(
+            F.min(ticks).alias("_from"),
+            F.max(ticks).alias("_to"),
+            *[_MERGE[how](column).alias(name) for name, (how, column) in aggregates.items()],
+        )
+        .drop("_stretch")
+    )
+
+
 def with_previous(
     df: DataFrame,
     key: str,

@@ -137,3 +137,49 @@ def test_several_aggregates_of_one_shuffle(spark, sf):
             assert rows(together.selectExpr("ts", "id", "seq", f"round({kind}, 6)")) == rows(one)
     plan = rolling_together(sensor, ("min", "max", "sum"), max_group_rows=None)
     assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+@pytest.mark.parametrize("size", [5, 1_000_000])
+@pytest.mark.parametrize("seed", range(3))
+def test_sessions_of_sums_are_sessions_of_rows(spark, monkeypatch, seed, size):
+    import random
+
+    from roadpulse.operators import windows
+
+    rng, gap = random.Random(seed), 10
+    times = [(rng.choice([1, 2, None]), rng.choice([None, rng.randrange(-300, 300), gap * rng.randrange(-30, 30)]), i)
+             for i in range(150)]
+    df = spark.createDataFrame(times, "k int, t int, seq long").cache()
+    expected = []
+    for key in (1, 2, None):
+        runs = []
+        for t, seq in sorted((t, seq) for k, t, seq in times if k == key and t is not None):
+            if not runs or t - runs[-1][-1][0] > gap:
+                runs.append([])
+            runs[-1].append((t, seq))
+        expected += [(key, r[0][0], r[-1][0] + gap, min(q for _, q in r), sum(q for _, q in r)) for r in runs]
+    for least in (1, 1000):
+        monkeypatch.setattr(windows, "ROWS_TO_SUM", least)
+        got = windows.session_aggregate(
+            df, "k", "t", ("t", "seq"), gap, {"low": ("min", F.col("seq")), "all": ("sum", F.col("seq"))}, size
+        )
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(expected, key=str)
+
+
+def test_sessions_shuffle_sums_whatever_the_settings(spark):
+    from roadpulse.operators.windows import session_aggregate
+
+    df = spark.range(0, 20_000, 1, 2).selectExpr("cast(id % 5 as int) k", "cast(id as int) t", "id seq")
+    name = "spark.sql.sessionWindow.merge.sessions.in.local.partition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        out = session_aggregate(df, "k", "t", ("t", "seq"), 1000, {"low": ("min", F.struct("seq"))})
+        assert out.count() == 5
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(name, before)
+    # The first step sums per key and stretch before its shuffle; the raw rows are not shuffled.
+    first = plan[plan.rindex("Exchange hashpartitioning"):]
+    assert "_groupingexpression" in first.split(")")[0] and "partial_min" in first
