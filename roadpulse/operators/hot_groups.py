@@ -19,6 +19,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,7 +58,8 @@ class Split:
 
 @dataclass(frozen=True)
 class KeySizes:
-    """Rows per key (``key, _n``), the most and the mean of them."""
+    """Rows per key (``key, _n``), kept until ``split_hot_groups`` has taken the hot keys from them,
+    the most and the mean of them."""
 
     per_key: DataFrame
     largest: int
@@ -65,8 +67,12 @@ class KeySizes:
 
 
 def key_sizes(df: DataFrame, key: str) -> KeySizes:
-    per_key = df.groupBy(key).agg(F.count("*").alias("_n"))
-    largest, mean = per_key.agg(F.max("_n"), F.avg("_n")).first()
+    per_key = df.groupBy(key).agg(F.count("*").alias("_n")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        largest, mean = per_key.agg(F.max("_n"), F.avg("_n")).first()
+    except Exception:
+        per_key.unpersist()
+        raise
     return KeySizes(per_key, largest or 0, mean or 0.0)
 
 
@@ -85,10 +91,13 @@ def split_hot_groups(
     if max_group_rows is None:
         return whole
     sizes = sizes or key_sizes(df, key)
-    if sizes.largest <= max_group_rows:
-        return whole
-    is_hot = F.col("_n") > max_group_rows
-    keys = staged(sizes.per_key.where(is_hot).select(F.col(key).alias("_hot")), "hot-keys")
+    try:
+        if sizes.largest <= max_group_rows:
+            return whole
+        is_hot = F.col("_n") > max_group_rows
+        keys = staged(sizes.per_key.where(is_hot).select(F.col(key).alias("_hot")), "hot-keys")
+    finally:
+        sizes.per_key.unpersist()
     same = df[key].eqNullSafe(keys["_hot"])
     number = F.monotonically_increasing_id()
     partition = F.shiftright(number, _ROW_BITS)

@@ -183,3 +183,23 @@ def test_sessions_shuffle_sums_whatever_the_settings(spark):
     # The first step sums per key and stretch before its shuffle; the raw rows are not shuffled.
     first = plan[plan.rindex("Exchange hashpartitioning"):]
     assert "_groupingexpression" in first.split(")")[0] and "partial_min" in first
+
+
+@pytest.mark.parametrize("most", [10, 1_000_000])
+def test_keys_are_counted_once_and_not_kept(spark, most):
+    from roadpulse.operators.hot_groups import key_sizes
+
+    counted = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            counted.add(len(batch))
+            yield batch
+
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    df = spark.range(0, 100, 1, 2).selectExpr("id % 3 k", "id").mapInPandas(count, "k long, id long")
+    sizes = key_sizes(df, "k")
+    split = split_hot_groups(spark.range(100).selectExpr("id % 3 k", "id"), "k", ("id",), most, sizes)
+    assert split.is_split == (most == 10) and (sizes.largest, round(sizes.mean, 2)) == (34, 33.33)
+    assert counted.value == 100
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
