@@ -23,7 +23,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,18 +67,19 @@ def _unsigned(values) -> np.ndarray:
     return np.asarray(values, np.int64).view(np.uint64)
 
 
-def _build(frame: pd.DataFrame) -> pd.DataFrame:
+def _build(keys: pa.Table) -> pa.Table:
     """The arrays of one shard's distinct keys."""
-    a, b = _unsigned(frame["a"]), _unsigned(frame["b"])
+    a, b = _unsigned(keys["a"].to_numpy()), _unsigned(keys["b"].to_numpy())
     numbers = MinimalHash.build(a, b)
     at = numbers.find(a, b)
     marks, counts = np.empty(len(a), np.uint32), np.empty(len(a), np.uint8)
     firsts = np.empty(len(a), np.int64)
     marks[at] = (b >> np.uint64(32)).astype(np.uint32)
-    counts[at] = np.minimum(frame["n_docs"].to_numpy(), 255)
-    firsts[at] = frame["first_doc"]
+    counts[at] = np.minimum(keys["n_docs"].to_numpy(), 255)
+    firsts[at] = keys["first_doc"].to_numpy()
     arrays = (numbers.sizes, numbers.bits, marks, counts, firsts)
-    return pd.DataFrame([[int(frame["shard"].iloc[0]), *(x.tobytes() for x in arrays)]])
+    columns = [keys["shard"].slice(0, 1), *(pa.array([x.tobytes()], pa.binary()) for x in arrays)]
+    return pa.table(columns, ["shard", *(c.split()[0] for c in _ARRAYS.split(", "))])
 
 
 class _Shard:
@@ -133,8 +133,8 @@ def _index(counted: DataFrame, shards: int, heads: DataFrame) -> DataFrame:
     """(shard, kind, arrays): kind 0 is the shard's own index, 1 its copy of the heads'."""
     keyed = counted.withColumn("shard", F.pmod("a", F.lit(shards)).cast("int"))
     schema = f"shard int, {_ARRAYS}"
-    own = keyed.groupBy("shard").applyInPandas(_build, schema).withColumn("kind", F.lit(0))
-    few = heads.withColumn("shard", F.lit(-1)).groupBy("shard").applyInPandas(_build, schema)
+    own = keyed.groupBy("shard").applyInArrow(_build, schema).withColumn("kind", F.lit(0))
+    few = heads.withColumn("shard", F.lit(-1)).groupBy("shard").applyInArrow(_build, schema)
     spread = few.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     return own.unionByName(spread.withColumn("kind", F.lit(1)))
 
@@ -157,7 +157,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     )
     total = counted.agg(F.sum("n_lines")).first()[0] or 0
     shards = max(LEAST_SHARDS, -(-total // SHARD_LINES))
-    heads = staged(counted.where(F.col("n_lines") * HEADS > total), "heads")
+    heads = counted.where(F.col("n_lines") * HEADS > total)
     probes = line_hashes(docs).join(
         F.broadcast(heads.select("a", "b", F.lit(True).alias("head"))), ["a", "b"], "left"
     )
@@ -167,8 +167,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
         F.when(F.col("head"), salted).otherwise(F.pmod("a", F.lit(shards))).cast("int").alias("shard"),
         F.when(F.col("head"), 3).otherwise(2).alias("kind"), "doc", "tag", "at", "a", "b", *empty,
     )
-    index = staged(_index(counted, shards, heads), "index")
-    stream = index.unionByName(asked, allowMissingColumns=True)
+    stream = _index(counted, shards, heads).unionByName(asked, allowMissingColumns=True)
     hits = (
         stream.repartition("shard")
         .sortWithinPartitions("shard", "kind")

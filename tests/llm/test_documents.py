@@ -427,3 +427,12 @@ def test_members_of_a_large_bucket_meet_its_pivots_in_parts(make_docs, monkeypat
                 parent[b] = a
     found = near_dedup.memberships(docs).collect()
     assert {r.doc: r.component for r in found} == {i: root(i) for i in range(60)}
+
+
+def test_lines_are_staged_once(make_docs, monkeypatch):
+    """Every staged table is one more file per task; heads and arrays go on without."""
+    labels, staged = [], line_dedup.staged
+    monkeypatch.setattr(line_dedup, "staged", lambda df, label: labels.append(label) or staged(df, label))
+    out = line_dedup.without_repeated_lines(make_docs([(1, "one common line\na"), (2, "One common line\nb")]))
+    assert sorted(out.select("doc_id", "text").collect()) == [(1, "one common line\na"), (2, "b")]
+    assert labels == ["lines"]
