@@ -26,7 +26,6 @@ from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -150,6 +149,11 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
+def _then(first: Callable, second: Callable) -> Callable:
+    """Both in one Python worker: two steps of a plan would take, and keep, two for each core."""
+    return lambda batches: second(first(batches))
+
+
 class _Shared:
     """A bounded table as a broadcast that tasks read; dropped once its pass is written."""
 
@@ -181,7 +185,7 @@ def _coded(docs: DataFrame, vocabulary: DataFrame, n_words: int) -> DataFrame:
             shared = _Shared(part.select("lang", "word", "code"))
             coder = _coder(shared.reader(), keep=not last)
             if last:
-                coded = texts.mapInArrow(coder, "codes binary").mapInArrow(_blocks, "codes binary")
+                coded = texts.mapInArrow(_then(coder, _blocks), "codes binary")
             else:
                 coded = texts.mapInArrow(coder, "lang string, text binary, codes binary")
             texts = staged(coded, "blocks" if last else "coded")
@@ -226,13 +230,16 @@ def _names(length: int) -> list[str]:
 
 
 def _build(length: int) -> Callable:
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        names = _names(length)
-        frame = frame.sort_values(names)
-        trie = DoubleArray.build(frame[names].to_numpy(np.int64))
-        row = (frame["trie"].iloc[0], int(frame["c1"].iloc[0]), int(frame["c1"].iloc[-1]), trie.digits, trie.base.tobytes(), trie.check.tobytes(), trie.number.tobytes(),
-               frame["number"].to_numpy(np.int64).tobytes())
-        return pd.DataFrame([row])
+    def run(phrases: pa.Table) -> pa.Table:
+        keys = np.stack([phrases[c].to_numpy() for c in _names(length)], axis=1).astype(np.int64)
+        order = np.lexsort(keys.T[::-1])
+        keys, numbers = keys[order], phrases["number"].to_numpy()[order].astype(np.int64)
+        trie = DoubleArray.build(keys)
+        whole = (phrases["trie"][0].as_py(), int(keys[0, 0]), int(keys[-1, 0]), trie.digits)
+        row = (*whole, *(x.tobytes() for x in (trie.base, trie.check, trie.number, numbers)))
+        columns = [c.split() for c in _TRIE.split(", ")]
+        kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+        return pa.table([pa.array([v], kinds[k]) for v, (_, k) in zip(row, columns)], [n for n, _ in columns])
 
     return run
 
@@ -243,7 +250,7 @@ _TRIE = "trie long, low int, high int, digits int, base binary, check binary, nu
 def _tries(phrases: DataFrame, length: int) -> DataFrame:
     """A row per trie of TRIE_PHRASES phrases (c1 .., number, f)."""
     dealt = phrases.withColumn("trie", F.floor(F.col("number") / TRIE_PHRASES))
-    return staged(dealt.groupBy("trie").applyInPandas(_build(length), _TRIE), "tries")
+    return staged(dealt.groupBy("trie").applyInArrow(_build(length), _TRIE), "tries")
 
 
 class _Tries:
@@ -251,13 +258,14 @@ class _Tries:
 
     def __init__(self, table: pa.Table):
         self.tries, self.numbers = [], []
-        for row in table.to_pylist():
+        for i in range(table.num_rows):
+            # The arrays lie in the broadcast itself, no second copy is made of them.
+            at = lambda name, kind: np.frombuffer(table[name][i].as_buffer(), kind)  # noqa: E731, B023
             trie = DoubleArray(
-                np.frombuffer(row["base"], np.int32), np.frombuffer(row["check"], np.int32),
-                np.frombuffer(row["number"], np.int32), row["digits"],
-            )
-            self.tries.append((trie, row["low"], row["high"]))
-            self.numbers.append(np.frombuffer(row["numbers"], np.int64))
+                at("base", np.int32), at("check", np.int32), at("number", np.int32), table["digits"][i].as_py()
+            )
+            self.tries.append((trie, table["low"][i].as_py(), table["high"][i].as_py()))
+            self.numbers.append(at("numbers", np.int64))
 
     def walk(self, codes: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Per trie the (starts, numbers) of its phrases in a block, from the positions whose word it may

@@ -90,3 +90,18 @@ def test_scores_beyond_64_bits(spark):
     rows = [([1, 2], big), ([1], big + 1), ([2], big + 3)]
     phrases = spark.createDataFrame(rows, "codes array<int>, f long")
     assert [r.score for r in phrase_mining.scored(phrases).collect()] == [2_000_000 * big // (2 * big + 4)]
+
+
+def test_texts_are_numbered_and_packed_in_one_python_step(spark, monkeypatch):
+    """Each Python step of a stage keeps a worker of its own per core."""
+    plans, staged = {}, phrase_mining.staged
+
+    def seen(df, label):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return staged(df, label)
+
+    monkeypatch.setattr(phrase_mining, "staged", seen)
+    docs = spark.createDataFrame([(i, "one two three", "en") for i in range(3)], "doc_id long, text string, lang string")
+    _agree(docs)
+    assert plans["blocks"].count("MapInArrow") == 1
+    assert "Pandas" not in plans["tries"]
