@@ -76,6 +76,26 @@ def key_sizes(df: DataFrame, key: str) -> KeySizes:
     return KeySizes(per_key, largest or 0, mean or 0.0)
 
 
+def hot_apart(
+    df: DataFrame, key: str, order: Sequence[str], max_group_rows: int | None, sizes: KeySizes | None = None
+) -> tuple[DataFrame, DataFrame] | None:
+    """The rows of ordinary keys and those of keys with more than ``max_group_rows`` rows, the latter
+    in ranges of (key, order) and sorted; None if no key has that many."""
+    if max_group_rows is None:
+        return None
+    sizes = sizes or key_sizes(df, key)
+    try:
+        if sizes.largest <= max_group_rows:
+            return None
+        is_hot = F.col("_n") > max_group_rows
+        keys = staged(sizes.per_key.where(is_hot).select(F.col(key).alias("_hot")), "hot-keys")
+    finally:
+        sizes.per_key.unpersist()
+    same = df[key].eqNullSafe(keys["_hot"])
+    hot = df.join(keys, same, "left_semi").repartitionByRange(key, *order).sortWithinPartitions(key, *order)
+    return df.join(keys, same, "left_anti"), hot
+
+
 def split_hot_groups(
     df: DataFrame, key: str, order: Sequence[str], max_group_rows: int | None = MAX_GROUP_ROWS,
     sizes: KeySizes | None = None,
@@ -87,30 +107,16 @@ def split_hot_groups(
     given where they are known or ``df`` holds its rows summed up.
     """
     order = tuple(order)
-    whole = Split(df, key, order)
-    if max_group_rows is None:
-        return whole
-    sizes = sizes or key_sizes(df, key)
-    try:
-        if sizes.largest <= max_group_rows:
-            return whole
-        is_hot = F.col("_n") > max_group_rows
-        keys = staged(sizes.per_key.where(is_hot).select(F.col(key).alias("_hot")), "hot-keys")
-    finally:
-        sizes.per_key.unpersist()
-    same = df[key].eqNullSafe(keys["_hot"])
+    apart = hot_apart(df, key, order, max_group_rows, sizes)
+    if apart is None:
+        return Split(df, key, order)
+    cold, hot = apart
     number = F.monotonically_increasing_id()
     partition = F.shiftright(number, _ROW_BITS)
     row = number.bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     chunk = F.shiftleft(partition, _ROW_BITS) + F.floor(row / max_group_rows) + 1
-    hot = (
-        df.join(keys, same, "left_semi")
-        .repartitionByRange(key, *order)
-        .sortWithinPartitions(key, *order)
-        .withColumn(CHUNK, chunk)
-    )
-    hot = staged(hot, "hot-rows")
-    cold = df.join(keys, same, "left_anti").withColumn(CHUNK, F.lit(0).cast("long"))
+    hot = staged(hot.withColumn(CHUNK, chunk), "hot-rows")
+    cold = cold.withColumn(CHUNK, F.lit(0).cast("long"))
     return Split(cold.unionByName(hot), key, order, hot)
 
 
@@ -135,25 +141,3 @@ def with_carry(rows: DataFrame, split: Split, carry: DataFrame) -> DataFrame:
     """``rows`` with the columns that ``carry_over`` has for their key and chunk."""
     same = rows[split.key].eqNullSafe(carry["_c_key"]) & (rows[CHUNK] == carry["_c_chunk"])
     return rows.join(carry, same, "left")
-
-
-def with_lookback(split: Split, rows: int, flag: str) -> DataFrame:
-    """Rows plus, for every chunk, copies of the ``rows`` rows of its key before it.
-
-    Copies carry ``flag = true`` and are to be dropped after the frame was
-    evaluated. At most ``rows`` copies per chunk.
-    """
-    newest = Window.partitionBy(*split.keys).orderBy(*[F.desc(c) for c in split.order])
-    by_key = Window.partitionBy(split.key).orderBy(*split.order)
-    oldest = Window.partitionBy(*split.keys).orderBy(*split.order)
-    record = F.struct(*[c for c in split.rows.columns if c != CHUNK])
-    tails = split.hot.withColumn("_n", F.row_number().over(newest)).where(F.col("_n") <= rows)
-    before = (
-        tails.withColumn("_before", F.collect_list(record).over(by_key.rowsBetween(-rows, -1)))
-        .withColumn("_n", F.row_number().over(oldest))
-        .where("_n = 1")
-    )
-    copies = before.select(CHUNK, F.explode("_before").alias("_r")).select("_r.*", CHUNK)
-    return split.rows.withColumn(flag, F.lit(False)).unionByName(
-        copies.withColumn(flag, F.lit(True))
-    )

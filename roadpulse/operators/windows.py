@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,10 +14,11 @@ from pyspark.sql import types as T
 from roadpulse.operators.hot_groups import (
     CHUNK,
     MAX_GROUP_ROWS,
+    hot_apart,
     key_sizes,
     split_hot_groups,
-    with_lookback,
 )
+from roadpulse.session import staged
 
 _MERGE = {"min": F.min, "max": F.max, "sum": F.sum}
 # Panes of a window up to which each pane is spread over its windows; only cost depends on it.
@@ -230,18 +234,88 @@ def with_previous(
     order: Sequence[str],
     previous: dict[str, tuple[str, int]],
     max_group_rows: int | None = MAX_GROUP_ROWS,
+    where: Column | None = None,
 ) -> DataFrame:
     """Rows with values of earlier rows of their key: the count window of n rows
     that slides by one, seen from its last row.
 
     ``previous`` maps a name to (column, how many rows back); null where the key
-    has fewer rows.
+    has fewer rows. ``where`` tells which of the rows are wanted.
+
+    Rows of hot keys are walked in ranges of their order after the one shuffle that
+    deals them out; only wanted rows are written, and those at the edges of a range, at
+    most twice the depth. A range's first rows are looked up once more among the edges.
     """
-    split = split_hot_groups(df, key, order, max_group_rows)
-    depth = max(n for _, n in previous.values())
-    rows = with_lookback(split, depth, "_copy") if split.is_split else split.rows
-    frame = Window.partitionBy(*split.keys).orderBy(*order)
-    out = rows.select(
-        "*", *[F.lag(column, n).over(frame).alias(name) for name, (column, n) in previous.items()]
+    chosen = F.lit(True) if where is None else where
+    frame = Window.partitionBy(key).orderBy(*order)
+    lags = [F.lag(column, n).over(frame).alias(name) for name, (column, n) in previous.items()]
+    apart = hot_apart(df, key, order, max_group_rows)
+    if apart is None:
+        return df.select("*", *lags).where(chosen)
+    cold, hot = apart
+    plain = df.schema.fields
+    found = [T.StructField(name, df.schema[column].dataType) for name, (column, _) in previous.items()]
+    own = [T.StructField(_AT, T.LongType()), T.StructField(_EDGE, T.ByteType())]
+    walked = hot.withColumn(_AT, F.monotonically_increasing_id()).mapInArrow(
+        _previous_in_range(key, previous), T.StructType([*plain, *found, *own])
+    )
+    ranges = staged(walked.where(chosen | (F.col(_EDGE) != _INNER)), "previous")
+    inner = ranges.where(F.col(_EDGE) == _INNER).drop(_AT, _EDGE)
+    by_place = Window.partitionBy(key).orderBy(_AT)
+    names = [f.name for f in plain]
+    edges = ranges.where(F.col(_EDGE) != _INNER).select(
+        *names, *[F.lag(column, n).over(by_place).alias(name) for name, (column, n) in previous.items()], _EDGE
     )
-    return out.where(~F.col("_copy")).drop("_copy", CHUNK) if split.is_split else out
+    first = edges.where(F.col(_EDGE) == _FIRST).drop(_EDGE).where(chosen)
+    return cold.select("*", *lags).where(chosen).unionByName(inner).unionByName(first)
+
+
+_AT, _EDGE = "_at", "_edge"
+# A row whose earlier rows are all in its range; one of the first of a range; a copy of one of the last.
+_INNER, _FIRST, _LAST = 0, 1, 2
+
+
+def _runs(values: pa.Array) -> np.ndarray:
+    """Numbers of the runs of equal values; nulls are equal, and so are NaNs."""
+    a, b = values.slice(1), values.slice(0, max(len(values) - 1, 0))
+    same = pc.fill_null(pc.equal(a, b), False)
+    same = pc.or_(same, pc.and_(pc.is_null(a), pc.is_null(b)))
+    if pa.types.is_floating(values.type):
+        same = pc.or_(same, pc.fill_null(pc.and_(pc.is_nan(a), pc.is_nan(b)), False))
+    return np.concatenate([[0], np.cumsum(~same.to_numpy(zero_copy_only=False))])
+
+
+def _previous_in_range(key: str, previous: dict[str, tuple[str, int]]) -> Callable:
+    """Rows of one range, in order, with the values of earlier rows of their key in that range."""
+    depth = max(n for _, n in previous.values())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, seen = None, 0
+
+        def framed(rows: pa.Table, low: int, edge: np.ndarray) -> Iterator[pa.RecordBatch]:
+            """From row ``low`` on."""
+            at, run_of = np.arange(low, rows.num_rows), _runs(rows[key].combine_chunks())
+            columns = [c.slice(low) for c in rows.columns[:-1]]
+            for column, n in previous.values():
+                known = at >= n
+                known[known] = run_of[at[known]] == run_of[at[known] - n]
+                columns.append(rows[column].take(pa.array(at - n, mask=~known)))
+            names = [*rows.column_names[:-1], *previous, _AT, _EDGE]
+            yield from pa.table([*columns, rows[_AT].slice(low), pa.array(edge, pa.int8())], names).to_batches()
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            low = 0 if last is None else last.num_rows
+            rows = rows if last is None else pa.concat_tables([last, rows]).combine_chunks()
+            place = seen + np.arange(batch.num_rows)
+            yield from framed(rows, low, np.where(place < depth, _FIRST, _INNER).astype(np.int8))
+            seen += batch.num_rows
+            last = rows.slice(max(rows.num_rows - depth, 0))
+        if last is not None:
+            again = last.slice(max(0, last.num_rows - max(seen - depth, 0)))
+            if again.num_rows:
+                yield from framed(again, 0, np.full(again.num_rows, _LAST, np.int8))
+
+    return run

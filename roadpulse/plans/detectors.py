@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -133,11 +135,8 @@ def accidents(
     previous = {f"{c}_{n}": (c, n) for c in same for n in (1, 2, 3)}
     previous |= {f"{c}_3": (c, 3) for c in first}
     rows = rows.select("vid", "time", "seq", "xway", "seg", "dir", "pos")
-    framed = with_previous(rows, "vid", ARRIVAL, previous, max_group_rows)
-    for c in same:
-        for n in (1, 2, 3):
-            framed = framed.where(F.col(f"{c}_{n}") == F.col(c))
-    return framed.select(
+    four = reduce(and_, [F.col(f"{c}_{n}") == F.col(c) for c in same for n in (1, 2, 3)])
+    return with_previous(rows, "vid", ARRIVAL, previous, max_group_rows, four).select(
         F.col("time_3").alias("time1"),
         F.col("time").alias("time2"),
         "vid",

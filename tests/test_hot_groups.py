@@ -203,3 +203,55 @@ def test_keys_are_counted_once_and_not_kept(spark, most):
     assert split.is_split == (most == 10) and (sizes.largest, round(sizes.mean, 2)) == (34, 33.33)
     assert counted.value == 100
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def _lookback(rows_, columns, depth):
+    """(key, at, values of the rows before) by a plain loop."""
+    out, before = [], {}
+    for key, at in sorted(rows_, key=lambda r: (r[0] is not None, r[0] or 0, r[1])):
+        seen = before.setdefault(key, [])
+        out.append((key, at, *(seen[-n] if len(seen) >= n else None for n in range(1, depth + 1))))
+        seen.append(at)
+    return out
+
+
+@pytest.mark.parametrize("batch", [1, 2, 1000])
+def test_previous_rows_over_ranges_batches_and_null_keys(spark, batch):
+    import random
+
+    some = random.Random(batch)
+    places = some.sample(range(1000), 300)
+    rows_ = [(some.choice([None, 1, 1, 1, 2, 3, 4, 5 + i]), at) for i, at in enumerate(places)]
+    df = spark.createDataFrame(rows_, "k long, at long")
+    previous = {f"p{n}": ("at", n) for n in (1, 2, 3)}
+    names = {"spark.sql.shuffle.partitions": "60", "spark.sql.execution.arrow.maxRecordsPerBatch": str(batch),
+             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    kept = {n: spark.conf.get(n) for n in names}
+    try:
+        for n, v in names.items():
+            spark.conf.set(n, v)
+        for most in (1, 2, 40):
+            got = [tuple(r) for r in with_previous(df, "k", ("at",), previous, most).collect()]
+            key = lambda r: (r[0] is not None, r[0] or 0, r[1])
+            assert sorted(got, key=key) == _lookback(rows_, ("at",), 3)
+        some_ = with_previous(df, "k", ("at",), previous, 1, F.col("at") - F.col("p3") < 20)
+        expected = [r for r in _lookback(rows_, ("at",), 3) if r[4] is not None and r[1] - r[4] < 20]
+        assert sorted((tuple(r) for r in some_.collect()), key=key) == expected and expected
+    finally:
+        for n, v in kept.items():
+            spark.conf.set(n, v)
+
+
+def test_accidents_of_hot_keys_shuffle_reports_once_and_write_few(reports, monkeypatch):
+    """Only accidents and the edges of ranges are written between."""
+    from roadpulse.operators import windows
+
+    written = {}
+    staged = windows.staged
+    monkeypatch.setattr(windows, "staged", lambda df, label: written.setdefault(label, staged(df, label)))
+    found = accidents(reports, "telematics", 500)
+    assert found.count()
+    assert list(written) == ["previous"]
+    ranges = written["previous"]
+    assert ranges.where("_edge = 0").count() <= found.count()
+    assert ranges.where("_edge > 0").count() < reports.count() / 100
