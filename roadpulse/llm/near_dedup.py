@@ -207,8 +207,7 @@ def _with_pivots(members: DataFrame) -> DataFrame:
     )
 
 
-@F.arrow_udf(T.LongType())
-def _differing(left: pa.Array, right: pa.Array) -> pa.Array:
+def _count_differing(left: pa.Array, right: pa.Array) -> pa.Array:
     """Bits in which two sketches differ, the longer one folded."""
 
     def count(a: bytes, b: bytes) -> int:
@@ -219,6 +218,12 @@ def _differing(left: pa.Array, right: pa.Array) -> pa.Array:
     return pa.array([count(a.as_py(), b.as_py()) for a, b in zip(left, right)], pa.int64())
 
 
+# A filter on what a function in Python returns moves below the column that holds it, and the function then
+# runs in two Python steps, each with a worker of its own per core. It stays above what is not known to be
+# deterministic, so sketches are compared once.
+_differing = F.arrow_udf(_count_differing, T.LongType()).asNondeterministic()
+
+
 def _limit() -> Column:
     """``limit`` as a column."""
     sampled = F.greatest("n_a", "n_b") > SAMPLE

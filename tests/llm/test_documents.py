@@ -436,3 +436,13 @@ def test_lines_are_staged_once(make_docs, monkeypatch):
     out = line_dedup.without_repeated_lines(make_docs([(1, "one common line\na"), (2, "One common line\nb")]))
     assert sorted(out.select("doc_id", "text").collect()) == [(1, "one common line\na"), (2, "b")]
     assert labels == ["lines"]
+
+
+def test_sketches_are_compared_in_one_python_step(spark):
+    """Each Python step of a stage keeps a worker of its own per core."""
+    pairs = spark.createDataFrame([(1, 9, 2, 9), (1, 9, 3, 9)], "a long, n_a long, b long, n_b long")
+    sketches = [(1, bytes(32)), (2, b"\x03" + bytes(31)), (3, b"\x07" + bytes(31))]
+    reps = spark.createDataFrame(sketches, "cls long, sketch binary")
+    passing = near_dedup._passing(pairs, reps)
+    assert passing._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert [tuple(r) for r in passing.collect()] == [(1, 2, 2, 2.0)]
