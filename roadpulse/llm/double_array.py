@@ -93,8 +93,8 @@ class _Places:
             low = begins[group]
             own = codes[low : low + size]
             if n % 256 == 0:
-                free = np.flatnonzero(self.check[: self.end] == 0)
-            base = self._base(own, free)
+                tried = self._tried()
+            base = self._base(own, tried)
             out[low : low + size] = self._take(parents[low], base, own)
         single = begins[sizes == 1]
         if len(single):
@@ -106,10 +106,16 @@ class _Places:
             self.end = max(self.end, int(free[-1]) + 1)
         return out
 
-    def _base(self, codes: np.ndarray, free: np.ndarray) -> int:
-        """The first of some free places, the smaller ones more closely, where all codes fit."""
-        if len(free):
-            tried = free[np.unique((len(free) - 1) * np.linspace(0, 1, TRIES) ** 2).astype(int)]
+    def _tried(self) -> np.ndarray:
+        """Some free places, the smaller ones more closely."""
+        free = np.flatnonzero(self.check[: self.end] == 0)
+        if not len(free):
+            return free
+        return free[np.unique((len(free) - 1) * np.linspace(0, 1, TRIES) ** 2).astype(int)]
+
+    def _base(self, codes: np.ndarray, tried: np.ndarray) -> int:
+        """The first of the places tried where all codes fit."""
+        if len(tried):
             bases = tried - codes[0]
             at = bases[:, None] + codes[None, : min(len(codes), 64)]
             fits = (self.check[np.minimum(at, len(self.check) - 1)] == 0) | (at >= self.end)

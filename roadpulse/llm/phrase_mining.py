@@ -43,10 +43,12 @@ DICTIONARY = 1_000_000
 TRIE_PHRASES = 50_000
 PASS_TRIES = 10
 BLOCK_CODES = 1 << 18
-PAIRS_HELD = 1 << 20
+PAIRS_HELD = 1 << 19
 WORDS_HELD = 250_000
 BATCH_ROWS = 256
 BATCH_BLOCKS = 4
+BATCH_PHRASES = 10_000
+OUT_ROWS = 1 << 16
 SEGMENT = 1 << 22
 SALTS = 32
 
@@ -70,6 +72,11 @@ def _texts(docs: DataFrame) -> DataFrame:
     )
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of OUT_ROWS: an executor holds what Python hands it outside its heap, a batch at a time."""
+    return (batch.slice(low, OUT_ROWS) for low in range(0, batch.num_rows, OUT_ROWS))
+
+
 # --- words
 
 
@@ -83,7 +90,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([lang] * len(counts), pa.string()), pa.array(list(counts), pa.binary()),
                 pa.array(list(counts.values()), pa.int64()),
             ]
-            yield pa.RecordBatch.from_arrays(arrays, names=["lang", "word", "f"])
+            yield from _parts(pa.RecordBatch.from_arrays(arrays, names=["lang", "word", "f"]))
         held.clear()
 
     for batch in batches:
@@ -202,6 +209,9 @@ def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pairs, counts = none, none
     held: list[np.ndarray] = []
 
+    def out() -> Iterator[pa.RecordBatch]:
+        return _parts(pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(counts)], names=["pair", "f"]))
+
     def combined() -> tuple[np.ndarray, np.ndarray]:
         new, n = np.unique(np.concatenate([none, *held]), return_counts=True)
         held.clear()
@@ -219,10 +229,10 @@ def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if sum(map(len, held)) >= PAIRS_HELD:
                 pairs, counts = combined()
                 if len(pairs) >= PAIRS_HELD:
-                    yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(counts)], names=["pair", "f"])
+                    yield from out()
                     pairs, counts = none, none
     pairs, counts = combined()
-    yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(counts)], names=["pair", "f"])
+    yield from out()
 
 
 def _names(length: int) -> list[str]:
@@ -250,7 +260,8 @@ _TRIE = "trie long, low int, high int, digits int, base binary, check binary, nu
 def _tries(phrases: DataFrame, length: int) -> DataFrame:
     """A row per trie of TRIE_PHRASES phrases (c1 .., number, f)."""
     dealt = phrases.withColumn("trie", F.floor(F.col("number") / TRIE_PHRASES))
-    return staged(dealt.groupBy("trie").applyInArrow(_build(length), _TRIE), "tries")
+    with arrow_batches(phrases.sparkSession, BATCH_PHRASES):  # not by the few rows that blocks come in
+        return staged(dealt.groupBy("trie").applyInArrow(_build(length), _TRIE), "tries")
 
 
 class _Tries:
@@ -270,7 +281,9 @@ class _Tries:
     def walk(self, codes: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Per trie the (starts, numbers) of its phrases in a block, from the positions whose word it may
         begin with."""
-        starts = np.flatnonzero(codes > 0)
+        # All words are above 0; of a pass's tries, only positions within their words are sorted.
+        least, most = min(low for _, low, _ in self.tries), max(high for _, _, high in self.tries)
+        starts = np.flatnonzero((codes >= least) & (codes <= most))
         starts = starts[np.argsort(codes[starts], kind="stable")]
         first = codes[starts]
         for trie, low, high in self.tries:
@@ -296,8 +309,8 @@ def _candidates(length: int, frequent: Callable[[], pa.Table], last: bool) -> Ca
         new[1:] = (all_[1:] != all_[:-1]).any(axis=1)
         return all_[new]
 
-    def out(rows: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in rows.T], names=_names(length))
+    def out(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        return _parts(pa.RecordBatch.from_arrays([pa.array(c) for c in rows.T], names=_names(length)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tries = _Tries(frequent())
@@ -320,10 +333,10 @@ def _candidates(length: int, frequent: Callable[[], pa.Table], last: bool) -> Ca
                     known = distinct([known, *held])
                     held.clear()
                     if len(known) >= PAIRS_HELD:
-                        yield out(known)
+                        yield from out(known)
                         known = known[:0]
         if last:
-            yield out(distinct([known, *held]))
+            yield from out(distinct([known, *held]))
 
     return run
 
@@ -342,7 +355,7 @@ def _counts(length: int, candidates: Callable[[], pa.Table]) -> Callable:
         for numbers, total in zip(tries.numbers, totals):
             seen = np.flatnonzero(total)
             arrays = [pa.array(numbers[seen]), pa.array(total[seen])]
-            yield pa.RecordBatch.from_arrays(arrays, names=["number", "f"])
+            yield from _parts(pa.RecordBatch.from_arrays(arrays, names=["number", "f"]))
 
     return run
 

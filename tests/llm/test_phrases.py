@@ -105,3 +105,28 @@ def test_texts_are_numbered_and_packed_in_one_python_step(spark, monkeypatch):
     _agree(docs)
     assert plans["blocks"].count("MapInArrow") == 1
     assert "Pandas" not in plans["tries"]
+
+
+def test_counts_leave_python_in_parts():
+    """An executor holds a whole batch from Python outside its heap."""
+    block = np.random.default_rng(7).integers(1, 2**30, 200_000).astype("<i4")
+    batch = pa.RecordBatch.from_arrays([pa.array([block.tobytes()], pa.binary())], names=["codes"])
+    parts = list(phrase_mining._count_pairs(iter([batch])))
+    assert max(p.num_rows for p in parts) <= 1 << 16
+    got = pa.Table.from_batches(parts)
+    pairs = np.unique((block[:-1].astype(np.int64) << 32) | block[1:], return_counts=True)
+    assert all((got[c].to_numpy() == x).all() for c, x in zip(("pair", "f"), pairs))
+
+
+def test_tries_are_fed_in_large_batches(spark, monkeypatch):
+    """Blocks come in batches of BATCH_BLOCKS rows, for they are long; phrases are short."""
+    sizes, staged = {}, phrase_mining.staged
+
+    def seen(df, label):
+        sizes[label] = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+        return staged(df, label)
+
+    monkeypatch.setattr(phrase_mining, "staged", seen)
+    docs = spark.createDataFrame([(i, "one two three", "en") for i in range(3)], "doc_id long, text string, lang string")
+    _agree(docs)
+    assert sizes["tries"] >= 1_000 > sizes["counts"] == phrase_mining.BATCH_BLOCKS
