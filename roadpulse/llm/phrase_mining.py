@@ -6,12 +6,15 @@ so texts become arrays of the numbers of frequent words, with 0 where a phrase c
 word, the end of a piece or a text), staged once as blocks of some 250,000.
 
 Level by level (Apriori): a phrase of k words can be frequent only where both its first and its
-last k - 1 words are. Pairs are counted as two numbers, combined within tasks first: there are as
-many of them as candidates. For three and four words the candidates that occur are gathered first,
-then counted in double-array tries of at most TRIE_PHRASES phrases each, which begin with a range of words: a task moves the
-states of all positions of a block on together, word by word, counts the accepting states with
-one bincount per trie, and the tasks' counts are summed. Tries are built in tasks; a pass over
-the blocks broadcasts at most PASS_TRIES of them, and where there are more, there are more passes.
+last k - 1 words are. The frequent phrases of k - 1 words make double-array tries of at most
+TRIE_PHRASES phrases each, which begin with a range of words. A task moves the states of all
+positions of a block on together, word by word; a candidate is an accepting state with the word
+after it, one step further in the trie, and is counted under both numbers in one. For pairs the
+first number is that of a word. Counts are combined within tasks, dealt out in packed arrays to
+parts of some PART_PHRASES by a hash of the phrase, and summed there, so no row is made of a
+phrase that is not frequent. Tries are built in tasks; a pass over the blocks broadcasts at most
+PASS_TRIES of them, and where there are more, there are more passes, each of which counts what
+begins with its own words. A position has one candidate at most, over all passes.
 
 What a broadcast holds is bounded by these constants, and so are the dictionaries with which texts
 are numbered (DICTIONARY words to a pass). Nothing is gathered by language or by word.
@@ -24,6 +27,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +48,8 @@ TRIE_PHRASES = 50_000
 PASS_TRIES = 10
 BLOCK_CODES = 1 << 18
 PAIRS_HELD = 1 << 19
+PART_PHRASES = 1 << 19
+PACKED = 1 << 22
 WORDS_HELD = 250_000
 BATCH_ROWS = 256
 BATCH_BLOCKS = 4
@@ -116,7 +122,8 @@ def _coder(dictionary: Callable[[], pa.Table], keep: bool) -> Callable:
             before = batch["codes"].to_pylist() if "codes" in batch.schema.names else None
             for i, (lang, text) in enumerate(zip(batch["lang"].to_pylist(), batch["text"].to_pylist())):
                 own = number.get(lang, {})
-                flat = np.array([own.get(w, 0) for some in words_and_breaks(text) for w in some], "<i4")
+                flat = [np.fromiter(map(own.get, some, repeat(0)), "<i4", len(some)) for some in words_and_breaks(text)]
+                flat = flat[0] if len(flat) == 1 else np.concatenate(flat)
                 if before is not None:
                     flat = np.maximum(flat, np.frombuffer(before[i], "<i4"))
                 codes.append(flat.tobytes())
@@ -203,36 +210,114 @@ def _coded(docs: DataFrame, vocabulary: DataFrame, n_words: int) -> DataFrame:
 # --- levels
 
 
-def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(pair, f): both numbers of a pair in one, each pair once per task where it has room for them."""
+def _merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each key once, in order, with the sum of its counts."""
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))[: len(keys)]
+    return (keys[first], np.add.reduceat(counts, first)) if len(keys) else (keys, counts)
+
+
+def _combined(found: Iterator[np.ndarray], name: str) -> Iterator[pa.RecordBatch]:
+    """(name, f): the numbers found and how often, each once per task where it has room for them."""
     none = np.zeros(0, np.int64)
-    pairs, counts = none, none
+    keys, counts = none, none
     held: list[np.ndarray] = []
 
     def out() -> Iterator[pa.RecordBatch]:
-        return _parts(pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(counts)], names=["pair", "f"]))
+        return _parts(pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=[name, "f"]))
 
     def combined() -> tuple[np.ndarray, np.ndarray]:
         new, n = np.unique(np.concatenate([none, *held]), return_counts=True)
         held.clear()
-        both, f = np.concatenate([pairs, new]), np.concatenate([counts, n])
-        order = np.argsort(both, kind="stable")
-        both, f = both[order], f[order]
-        first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))[: len(both)]
-        return (both[first], np.add.reduceat(f, first)) if len(f) else (both, f)
+        return _merged(np.concatenate([keys, new]), np.concatenate([counts, n]))
+
+    for some in found:
+        held.append(some)
+        if sum(map(len, held)) >= PAIRS_HELD:
+            keys, counts = combined()
+            if len(keys) >= PAIRS_HELD:
+                yield from out()
+                keys, counts = none, none
+    keys, counts = combined()
+    yield from out()
+
 
+def _blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
     for batch in batches:
         for block in batch["codes"].to_pylist():
-            codes = np.frombuffer(block, "<i4").astype(np.int64)
-            both = (codes[:-1] > 0) & (codes[1:] > 0)
-            held.append((codes[:-1][both] << 32) | codes[1:][both])
-            if sum(map(len, held)) >= PAIRS_HELD:
-                pairs, counts = combined()
-                if len(pairs) >= PAIRS_HELD:
-                    yield from out()
-                    pairs, counts = none, none
-    pairs, counts = combined()
-    yield from out()
+            yield np.frombuffer(block, "<i4").astype(np.int64)
+
+
+def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(pair, f): both numbers of a pair in one."""
+
+    def pairs(codes: np.ndarray) -> np.ndarray:
+        both = (codes[:-1] > 0) & (codes[1:] > 0)
+        return (codes[:-1][both] << 32) | codes[1:][both]
+
+    yield from _combined(map(pairs, _blocks_of(batches)), "pair")
+
+
+_PACKED = "part int, keys binary, counts binary"
+_SUMMED = "key long, f long"
+
+
+def _dealt(parts: int) -> Callable:
+    """Counts (key, f) of a task in a row per part, which the key's hash names."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def out() -> Iterator[pa.RecordBatch]:
+            keys, counts = (np.concatenate([b.column(i).to_numpy() for b in held]).astype("<i8") for i in (0, 1))
+            held.clear()
+            mixed = (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
+            part = (mixed % np.uint64(parts)).astype(np.uint16 if parts <= 1 << 16 else np.uint32)
+            order = np.argsort(part, kind="stable")
+            part, keys, counts = part[order], keys[order], counts[order]
+            first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))[: len(part)]
+            ends = np.append(first[1:], len(part))
+            packed = [
+                pa.array(part[first].astype(np.int32)),
+                *(pa.array([x[i:j].tobytes() for i, j in zip(first, ends)], pa.binary()) for x in (keys, counts)),
+            ]
+            yield from _parts(pa.RecordBatch.from_arrays(packed, names=["part", "keys", "counts"]))
+
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= PACKED:
+                yield from out()
+        if held:
+            yield from out()
+
+    return run
+
+
+def _summed(least: int) -> Callable:
+    """The keys of a part that occur often enough."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        keys, counts = (
+            np.concatenate([np.frombuffer(x, "<i8") for x in rows[c].to_pylist()]) for c in ("keys", "counts")
+        )
+        keys, counts = _merged(keys, counts)
+        often = counts >= least
+        return pa.table([pa.array(keys[often]), pa.array(counts[often])], ["key", "f"])
+
+    return run
+
+
+def _often(blocks: DataFrame, counting: Callable, positions: int, least: int) -> DataFrame:
+    """(key, f), staged: what ``counting`` finds at ``positions`` places at most, if ``least`` times."""
+    parts = max(1, -(-positions // PART_PHRASES))
+    packed = blocks.mapInArrow(_then(counting, _dealt(parts)), _PACKED)
+    return staged(packed.groupBy("part").applyInArrow(_summed(least), _SUMMED), "counts")
+
+
+def _positions(vocabulary: DataFrame, low: int, high: int) -> int:
+    """How many words of a range of numbers there are in the texts."""
+    return vocabulary.where(F.col("code").between(low, high)).agg(F.sum("f")).first()[0] or 0
 
 
 def _names(length: int) -> list[str]:
@@ -298,64 +383,27 @@ def _passes(tries: DataFrame) -> Iterator[DataFrame]:
         yield tries.where(F.col("trie").between(low, low + PASS_TRIES - 1))
 
 
-def _candidates(length: int, frequent: Callable[[], pa.Table], last: bool) -> Callable:
-    """Marks where a frequent phrase of ``length - 1`` words begins; in the last pass, the
-    distinct phrases of ``length`` words between two marks that follow each other."""
-
-    def distinct(rows: list[np.ndarray]) -> np.ndarray:
-        all_ = np.concatenate([np.zeros((0, length), np.int32), *rows])
-        all_ = all_[np.lexsort(all_.T[::-1])]
-        new = np.ones(len(all_), bool)
-        new[1:] = (all_[1:] != all_[:-1]).any(axis=1)
-        return all_[new]
-
-    def out(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-        return _parts(pa.RecordBatch.from_arrays([pa.array(c) for c in rows.T], names=_names(length)))
+def _count_longer(length: int, frequent: Callable[[], pa.Table], after: int, before: int) -> Callable:
+    """(key, f): phrases of ``length`` words, as the number of the frequent phrase they begin with
+    and their last word, unless what follows their first word is known not to be frequent: the
+    tries have all frequent phrases that begin with words between ``after`` and ``before``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tries = _Tries(frequent())
-        held: list[np.ndarray] = []
-        known = np.zeros((0, length), np.int32)
-        for batch in batches:
-            marks = batch["marks"].to_pylist() if "marks" in batch.schema.names else [None] * len(batch)
-            for block, before in zip(batch["codes"].to_pylist(), marks):
-                codes = np.frombuffer(block, "<i4").astype(np.int64)
-                marked = np.zeros(len(codes), bool) if before is None else np.frombuffer(before, bool).copy()
-                for starts, _ in tries.walk(codes, length - 1):
-                    marked[starts] = True
-                if not last:
-                    arrays = [pa.array([block], pa.binary()), pa.array([marked.tobytes()], pa.binary())]
-                    yield pa.RecordBatch.from_arrays(arrays, names=["codes", "marks"])
-                    continue
-                at = np.flatnonzero(marked[:-1] & marked[1:])
-                held.append(codes[at[:, None] + np.arange(length)].astype(np.int32))
-                if sum(map(len, held)) >= PAIRS_HELD:
-                    known = distinct([known, *held])
-                    held.clear()
-                    if len(known) >= PAIRS_HELD:
-                        yield from out(known)
-                        known = known[:0]
-        if last:
-            yield from out(distinct([known, *held]))
-
-    return run
 
+        def candidates(codes: np.ndarray) -> np.ndarray:
+            number = np.full(len(codes) + 1, -1, np.int64)
+            number[:-1][(codes > 0) & ((codes <= after) | (codes >= before))] = 0  # perhaps frequent
+            at = []
+            for (starts, found), numbers in zip(tries.walk(codes, length - 1), tries.numbers):
+                number[starts] = numbers[found]
+                at.append(starts)
+            at = np.concatenate(at)
+            at = at[at <= len(codes) - length]
+            at = at[(number[at + 1] >= 0) & (codes[at + length - 1] > 0)]
+            return (number[at] << 32) | codes[at + length - 1]
 
-def _counts(length: int, candidates: Callable[[], pa.Table]) -> Callable:
-    """(number, f): how often each candidate of the tries occurs in a task's blocks."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tries = _Tries(candidates())
-        totals = [np.zeros(len(numbers), np.int64) for numbers in tries.numbers]
-        for batch in batches:
-            for block in batch["codes"].to_pylist():
-                codes = np.frombuffer(block, "<i4").astype(np.int64)
-                for (_, found), total in zip(tries.walk(codes, length), totals):
-                    total += np.bincount(found, minlength=len(total))
-        for numbers, total in zip(tries.numbers, totals):
-            seen = np.flatnonzero(total)
-            arrays = [pa.array(numbers[seen]), pa.array(total[seen])]
-            yield from _parts(pa.RecordBatch.from_arrays(arrays, names=["number", "f"]))
+        yield from _combined(map(candidates, _blocks_of(batches)), "key")
 
     return run
 
@@ -364,36 +412,29 @@ def _numbered(phrases: DataFrame, length: int) -> DataFrame:
     return running_total(phrases, _names(length), F.lit(1), "number")
 
 
-def _level(blocks: DataFrame, shorter: DataFrame, length: int, least: int) -> DataFrame:
+def _level(blocks: DataFrame, vocabulary: DataFrame, shorter: DataFrame, length: int, least: int) -> DataFrame:
     """Frequent phrases of ``length`` words (c1 .., f, number), from the frequent ones of one less."""
     names = _names(length)
-    schema = ", ".join(f"{c} int" for c in names)
-    passes = list(_passes(_tries(shorter, length - 1)))
-    if not passes:
-        return blocks.sparkSession.createDataFrame([], f"{schema}, f long, number long")
-    marked = blocks
-    for one in passes[:-1]:
-        shared = _Shared(one)
-        marking = _candidates(length, shared.reader(), False)
-        marked = staged(marked.mapInArrow(marking, "codes binary, marks binary"), "marks")
-        shared.drop()
-    shared = _Shared(passes[-1])
-    # Distinct within tasks already, as are the counts below: hence one aggregation each, after the shuffle.
-    found = marked.mapInArrow(_candidates(length, shared.reader(), True), schema).repartition(*names).distinct()
-    candidates = _numbered(found, length)
-    shared.drop()
     counts = None
-    for one in _passes(_tries(candidates, length)):
+    passes = list(_passes(_tries(shorter, length - 1)))
+    for i, one in enumerate(passes):
+        low, high = one.agg(F.min("low"), F.max("high")).first()
         shared = _Shared(one)
-        counted = blocks.mapInArrow(_counts(length, shared.reader()), "number long, f long").repartition("number")
-        part = counted.groupBy("number").agg(F.sum("f").alias("f"))
-        part = staged(part.where(F.col("f") >= least), "counts")
+        # The phrases of a word may lie in two passes; before the first and after the last there are none.
+        between = low if i else 0, high if i < len(passes) - 1 else 2**31
+        counting = _count_longer(length, shared.reader(), *between)
+        part = _often(blocks, counting, _positions(vocabulary, low, high), least)
         shared.drop()
         counts = part if counts is None else counts.unionByName(part)
     if counts is None:
-        return candidates.withColumn("f", F.lit(0).cast("long"))
-    frequent = candidates.join(counts, "number").select(*names, "f")
-    return _numbered(frequent, length)
+        schema = ", ".join(f"{c} int" for c in names)
+        return blocks.sparkSession.createDataFrame([], f"{schema}, f long, number long")
+    begun = counts.select(F.shiftright("key", 32).alias("number"), _last(names[-1]), "f")
+    return _numbered(begun.join(shorter.drop("f"), "number").select(*names, "f"), length)
+
+
+def _last(name: str) -> Column:
+    return F.col("key").bitwiseAND(F.lit(2**32 - 1)).cast("int").alias(name)
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST):
@@ -407,18 +448,14 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     frequent = words.where(F.col("f") >= least)
     vocabulary = running_total(frequent, [F.desc("f"), "lang", "word"], F.lit(1), "code")
     vocabulary = vocabulary.withColumn("code", (F.col("code") + 1).cast("int"))
-    blocks = _coded(docs, vocabulary, vocabulary.count())
+    n_words = vocabulary.count()
+    blocks = _coded(docs, vocabulary, n_words)
     with arrow_batches(docs.sparkSession, BATCH_BLOCKS):
-        # Combined within tasks already: a second time before the shuffle would only cost memory.
-        counted = blocks.mapInArrow(_count_pairs, "pair long, f long").repartition("pair")
-        pairs = counted.groupBy("pair").agg(F.sum("f").alias("f"))
-        pairs = pairs.where(F.col("f") >= least).select(
-            F.shiftright("pair", 32).cast("int").alias("c1"),
-            F.col("pair").bitwiseAND(F.lit(2**32 - 1)).cast("int").alias("c2"), "f",
-        )
-        levels = {2: _numbered(pairs, 2)}
+        pairs = _often(blocks, _count_pairs, _positions(vocabulary, 1, n_words), least)
+        first = F.shiftright("key", 32).cast("int").alias("c1")
+        levels = {2: _numbered(pairs.select(first, _last("c2"), "f"), 2)}
         for length in range(3, longest + 1):
-            levels[length] = _level(blocks, levels[length - 1], length, least)
+            levels[length] = _level(blocks, vocabulary, levels[length - 1], length, least)
     phrases = vocabulary.select(F.array("code").alias("codes"), "f")
     for length, found in levels.items():
         if length <= longest:

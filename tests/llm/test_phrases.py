@@ -130,3 +130,41 @@ def test_tries_are_fed_in_large_batches(spark, monkeypatch):
     docs = spark.createDataFrame([(i, "one two three", "en") for i in range(3)], "doc_id long, text string, lang string")
     _agree(docs)
     assert sizes["tries"] >= 1_000 > sizes["counts"] == phrase_mining.BATCH_BLOCKS
+
+
+def test_rows_from_python_do_not_grow_with_the_phrases(spark, monkeypatch):
+    """Whatever becomes of a position, few rows leave Python for a block, and each frequent phrase is one row."""
+    made, frame = {}, type(spark.range(0))
+    plain = frame.mapInArrow
+
+    def counted(self, func, schema, *args, **kwargs):
+        total = spark.sparkContext.accumulator(0)
+        names = [c.split()[0] for c in schema.split(", ")]
+        made[tuple(names)] = [*made.get(tuple(names), []), total]
+
+        def run(batches):
+            for batch in func(batches):
+                total.add(batch.num_rows)
+                yield batch
+
+        return plain(self, run, schema, *args, **kwargs)
+
+    monkeypatch.setattr(frame, "mapInArrow", counted)
+    random.seed(8)
+    words = [f"w{i}" for i in range(14)]
+    rows = [(i, " ".join(random.choices(words, k=500)), "x") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(2)
+    # Pairs and triples are frequent (30,000 positions over 2,744 triples), nearly all of 38,416 quadruples are not.
+    assert _agree(docs)
+    most = {names: max(t.value for t in totals) for names, totals in made.items()}
+    del most["lang", "word", "f"]  # a row per word
+    assert len(most) > 1 and max(most.values()) <= 100
+
+
+def test_words_whose_phrases_lie_in_several_passes(spark, monkeypatch):
+    """A pass has some of the phrases that begin with its first and its last word."""
+    rows = [(i, ". ".join(f"a b{j} a b{j + 1} c" for j in range(12)), "x") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    monkeypatch.setattr(phrase_mining, "TRIE_PHRASES", 3)
+    monkeypatch.setattr(phrase_mining, "PASS_TRIES", 1)
+    assert 4 in {len(r[2].split()) for r in _agree(docs)}
