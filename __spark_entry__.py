@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse import views
@@ -36,7 +36,12 @@ except ModuleNotFoundError as missing:
     training_data = None
 
 COMPACT = ("xway", "dir", "seg")
-SLICES = 2
+# A stream is fed in slices of time, as many as there are rows for, within these bounds: the disk
+# holds one slice, but rows that are not cut before they are made are read once per slice.
+SLICES, MOST_SLICES = 2, 16
+SLICE_ROWS = 32_000_000
+# Characters of a token and what separates it from the next; an estimate.
+TOKEN_LENGTH = 6
 # The "split" queries cut every key with more rows than this, as hot keys are cut.
 SPLIT_ROWS = 1000
 # Events, of 40 reports each, that one task turns into reports.
@@ -148,19 +153,33 @@ def _tuple_text(spark: SparkSession, sf: str) -> DataFrame:
     return readers.read_lines(spark, path)
 
 
-def _slices(rows: DataFrame, time: str) -> list[DataFrame]:
-    """By ranges of ``time``; rows without one are in the first."""
-    low, high = rows.agg(F.min(time), F.max(time)).first()
+def _ranges(rows: DataFrame, time: Column, size: Column | int, longest: int = 0) -> list[tuple]:
+    """Ranges of ``time`` with about as many rows each, as (first time, time after the last), open
+    at both ends. ``size`` is what a row counts for, ``longest`` how long it may go on."""
+    shares = [i / MOST_SLICES for i in range(1, MOST_SLICES)]
+    low, high, total, at = rows.agg(
+        F.min(time), F.max(time), F.sum(F.lit(size)), F.percentile_approx(time, F.array(*map(F.lit, shares)))
+    ).first()
     if low is None:
-        return [rows]
-    number = F.floor((F.coalesce(F.col(time), F.lit(low)) - low) / ((high - low) // SLICES + 1))
-    return [rows.where(number == i) for i in range(SLICES)]
+        return [(None, None)]
+    n = min(MOST_SLICES, -(-int(total or 0) // SLICE_ROWS))
+    if n <= SLICES:
+        wide = (high + longest - low) // SLICES + 1
+        cuts = [low + i * wide for i in range(1, SLICES)]
+    else:
+        cuts = sorted({at[i * MOST_SLICES // n - 1] for i in range(1, n)})
+    return list(zip([None, *cuts], [*cuts, None]))
+
 
+def _slices(rows: DataFrame, time: str, size: Column | int = 1) -> list[DataFrame]:
+    """By ranges of ``time``; rows without one are in the first."""
+    return [rows.where(views.within(F.col(time), *r)) for r in _ranges(rows, F.col(time), size)]
 
-def _through_stream(spark, label, rows, time, operator, sentinel) -> DataFrame:
-    """Feed ``rows`` in slices of ``time`` through ``operator`` and return what came out."""
+
+def _through_stream(spark, label, slices, operator, sentinel) -> DataFrame:
+    """Feed rows in slices of their time through ``operator`` and return what came out."""
     root = scratch_dir(spark, label)
-    source = BoundedInput(spark, root, rows.schema)
+    source = BoundedInput(spark, root, slices[0].schema)
     built = {}
 
     def build(stream: DataFrame):
@@ -168,7 +187,7 @@ def _through_stream(spark, label, rows, time, operator, sentinel) -> DataFrame:
         built["schema"] = result.schema
         return writers.stream_files(result, f"{root}/out", f"{root}/checkpoint")
 
-    replay(source, _slices(rows, time), build, sentinel, spark.sparkContext.defaultParallelism)
+    replay(source, slices, build, sentinel, spark.sparkContext.defaultParallelism, lean=True)
     return spark.read.schema(built["schema"]).parquet(f"{root}/out")
 
 
@@ -179,14 +198,14 @@ END_OF_READINGS = {"ts": 4102444800, "id": "end of input", "value": 0.0, "seq":
 
 def _stream_accidents(spark: SparkSession, sf: str) -> DataFrame:
     return _through_stream(
-        spark, "stream-accidents", _all_reports(spark, sf), "time",
+        spark, "stream-accidents", _slices(_all_reports(spark, sf), "time"),
         lambda stream: accidents(with_event_time(stream, "time", delay=ASCENDING)), END_OF_REPORTS,
     )
 
 
 def _stream_avg_speed(spark: SparkSession, sf: str) -> DataFrame:
     return _through_stream(
-        spark, "stream-average", _all_reports(spark, sf), "time",
+        spark, "stream-average", _slices(_all_reports(spark, sf), "time"),
         lambda stream: average_speed_fines(with_event_time(stream, "time")), END_OF_REPORTS,
     )
 
@@ -194,7 +213,7 @@ def _stream_avg_speed(spark: SparkSession, sf: str) -> DataFrame:
 def _stream_sliding(size: int, slide: int, panes: bool = False):
     def run(spark: SparkSession, sf: str) -> DataFrame:
         result = _through_stream(
-            spark, "stream-sliding", views.sensor(spark, sf), "ts",
+            spark, "stream-sliding", _slices(views.sensor(spark, sf), "ts"),
             lambda stream: sliding_sum(with_event_time(stream, "ts", "s"), size, slide, panes),
             END_OF_READINGS,
         )
@@ -205,7 +224,7 @@ def _stream_sliding(size: int, slide: int, panes: bool = False):
 
 def _stream_rolling_sum(spark: SparkSession, sf: str) -> DataFrame:
     result = _through_stream(
-        spark, "stream-rolling", views.sensor(spark, sf), "ts",
+        spark, "stream-rolling", _slices(views.sensor(spark, sf), "ts"),
         lambda stream: stream_rolling(with_event_time(stream, "ts", "s", ASCENDING), "sum"), END_OF_READINGS,
     )
     return _rounded(result, "value")
@@ -213,12 +232,12 @@ def _stream_rolling_sum(spark: SparkSession, sf: str) -> DataFrame:
 
 def _stream_accidents_by_batch(spark: SparkSession, sf: str) -> DataFrame:
     """Without an event time: reports are taken in arrival order, micro-batch by micro-batch."""
-    return _through_stream(spark, "batch-accidents", _all_reports(spark, sf), "time", accidents, None)
+    return _through_stream(spark, "batch-accidents", _slices(_all_reports(spark, sf), "time"), accidents, None)
 
 
 def _stream_rolling_sum_by_batch(spark: SparkSession, sf: str) -> DataFrame:
     result = _through_stream(
-        spark, "batch-rolling", views.sensor(spark, sf), "ts",
+        spark, "batch-rolling", _slices(views.sensor(spark, sf), "ts"),
         lambda stream: stream_rolling(stream, "sum"), None,
     )
     return _rounded(result, "value")
@@ -228,7 +247,7 @@ def _stream_running_word_count(spark: SparkSession, sf: str) -> DataFrame:
     """Lines in order of their number, which is their event time."""
     end = {"seq": 2**40, "value": "end"}
     return _through_stream(
-        spark, "stream-tokens", views.lines(spark, sf), "seq",
+        spark, "stream-tokens", _slices(views.lines(spark, sf), "seq", F.length("value") / TOKEN_LENGTH),
         lambda stream: stream_running_count(
             numbered_tokens(with_event_time(stream, "seq", delay=ASCENDING), also=("event_time",)),
             "word", ("seq", "pos"),

@@ -81,6 +81,12 @@ def reports(spark: SparkSession, sf_dir: str, partitions: int | None = None) ->
     return reports_from_events(events.repartition(partitions, "event_id") if partitions else events)
 
 
+def within(time: Column, low: int | None, high: int | None) -> Column:
+    """From ``low`` on and before ``high``; without a ``low`` rows without a time are in it."""
+    inside = F.lit(True) if high is None else time < high
+    return inside | time.isNull() if low is None else inside & (time >= low)
+
+
 def sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sensor_from_events(_table(spark, sf_dir, "events"))
 
