@@ -57,11 +57,13 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def _all_reports(spark: SparkSession, sf: str) -> DataFrame:
-    # The test tables are single files: dealt out first, all cores make reports. The tasks are as many
-    # as the events ask for, so that none has more to sort the larger the table is.
-    events = spark.read.parquet(f"{sf}/events.parquet").count()
-    tasks = max(spark.sparkContext.defaultParallelism, -(-events // EVENTS_PER_TASK))
-    return views.reports(spark, sf, tasks)
+    return views.reports(spark, sf, _tasks(spark, spark.read.parquet(f"{sf}/events.parquet").count()))
+
+
+def _tasks(spark: SparkSession, events: int) -> int:
+    """The test tables are single files: dealt out first, all cores make reports. The tasks are as many
+    as the events ask for, so that none has more to sort the larger the table is."""
+    return max(spark.sparkContext.defaultParallelism, -(-events // EVENTS_PER_TASK))
 
 
 def _compact(reports: DataFrame) -> DataFrame:
@@ -176,6 +178,14 @@ def _slices(rows: DataFrame, time: str, size: Column | int = 1) -> list[DataFram
     return [rows.where(views.within(F.col(time), *r)) for r in _ranges(rows, F.col(time), size)]
 
 
+def _report_slices(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """All reports by ranges of their time; each slice makes its own from the trips that reach into it."""
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    ranges = _ranges(events, views.trip_start(events), views.REPORTS, views.TICKS * (views.REPORTS - 1))
+    tasks = _tasks(spark, events.count() // len(ranges))
+    return [views.reports(spark, sf, tasks, *r) for r in ranges]
+
+
 def _through_stream(spark, label, slices, operator, sentinel) -> DataFrame:
     """Feed rows in slices of their time through ``operator`` and return what came out."""
     root = scratch_dir(spark, label)
@@ -198,14 +208,14 @@ END_OF_READINGS = {"ts": 4102444800, "id": "end of input", "value": 0.0, "seq":
 
 def _stream_accidents(spark: SparkSession, sf: str) -> DataFrame:
     return _through_stream(
-        spark, "stream-accidents", _slices(_all_reports(spark, sf), "time"),
+        spark, "stream-accidents", _report_slices(spark, sf),
         lambda stream: accidents(with_event_time(stream, "time", delay=ASCENDING)), END_OF_REPORTS,
     )
 
 
 def _stream_avg_speed(spark: SparkSession, sf: str) -> DataFrame:
     return _through_stream(
-        spark, "stream-average", _slices(_all_reports(spark, sf), "time"),
+        spark, "stream-average", _report_slices(spark, sf),
         lambda stream: average_speed_fines(with_event_time(stream, "time")), END_OF_REPORTS,
     )
 
@@ -232,7 +242,7 @@ def _stream_rolling_sum(spark: SparkSession, sf: str) -> DataFrame:
 
 def _stream_accidents_by_batch(spark: SparkSession, sf: str) -> DataFrame:
     """Without an event time: reports are taken in arrival order, micro-batch by micro-batch."""
-    return _through_stream(spark, "batch-accidents", _slices(_all_reports(spark, sf), "time"), accidents, None)
+    return _through_stream(spark, "batch-accidents", _report_slices(spark, sf), accidents, None)
 
 
 def _stream_rolling_sum_by_batch(spark: SparkSession, sf: str) -> DataFrame:

@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Reports of a trip and the time from one to the next.
+REPORTS, TICKS = 40, 30
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -25,17 +29,22 @@ def _epoch_seconds(df: DataFrame, name: str) -> Column:
     return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 
 
+def trip_start(events: DataFrame) -> Column:
+    """The time of the first report of an event's trip."""
+    return (_epoch_seconds(events, "ts") - 1704067200).cast("int")
+
+
 def reports_from_events(events: DataFrame) -> DataFrame:
     """``(seq, time, vid, spd, xway, lane, dir, seg, pos)``, batch or stream."""
     trips = events.select(
         "event_id",
         F.col("user_id").cast("int").alias("vid"),
-        (_epoch_seconds(events, "ts") - 1704067200).cast("int").alias("t0"),
+        trip_start(events).alias("t0"),
         (F.floor("value").cast("int") % 40 + 10).alias("v"),
         (F.col("event_type") == "error").alias("stops"),
         (F.col("event_id") % 2).cast("int").alias("dir0"),
     )
-    steps = trips.select("*", F.explode(F.sequence(F.lit(0), F.lit(39))).alias("step"))
+    steps = trips.select("*", F.explode(F.sequence(F.lit(0), F.lit(REPORTS - 1))).alias("step"))
     moved = F.when(
         F.col("stops"), F.least("step", F.lit(10)) + F.greatest(F.col("step") - 15, F.lit(0))
     ).otherwise(F.col("step"))
@@ -43,7 +52,7 @@ def reports_from_events(events: DataFrame) -> DataFrame:
     flipped = F.col("stops") & (F.col("step") == 13) & (F.col("event_id") % 3 == 0)
     placed = steps.select(
         (F.col("event_id") * 100 + F.col("step")).alias("seq"),
-        (F.col("t0") + 30 * F.col("step")).alias("time"),
+        (F.col("t0") + TICKS * F.col("step")).alias("time"),
         "vid",
         F.when(F.col("stops") & F.col("step").between(11, 15), 0)
         .otherwise(F.floor(F.col("v") * 2.2369 + 0.5).cast("int"))
@@ -75,10 +84,22 @@ def lines_from_documents(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").alias("seq"), F.col("text").alias("value"))
 
 
-def reports(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
-    """``partitions`` deals the events out before each becomes 40 reports; for few, large files."""
+def reports(
+    spark: SparkSession, sf_dir: str, partitions: int | None = None,
+    low: int | None = None, high: int | None = None,
+) -> DataFrame:
+    """``partitions`` deals the events out before each becomes 40 reports; for few, large files.
+
+    With ``low`` or ``high`` only the reports from ``low`` on and before ``high``; trips that lie
+    outside are left out before they become reports.
+    """
     events = _table(spark, sf_dir, "events")
-    return reports_from_events(events.repartition(partitions, "event_id") if partitions else events)
+    start = trip_start(events)
+    if low is not None or high is not None:
+        earliest = None if low is None else low - TICKS * (REPORTS - 1)
+        events = events.where(within(start, earliest, high))
+    made = reports_from_events(events.repartition(partitions, "event_id") if partitions else events)
+    return made.where(within(F.col("time"), low, high))
 
 
 def within(time: Column, low: int | None, high: int | None) -> Column:

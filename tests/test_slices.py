@@ -31,6 +31,7 @@ def tables(spark, tmp_path):
 
 @pytest.mark.parametrize("stream, table, whole, slice_rows", [
     ("stream_running_word_count", "running_word_count", 121, 200),
+    ("stream_accidents", "accidents_telematics", None, 1300),
 ])
 def test_a_stream_holds_one_slice_and_little_state(
     spark, tables, monkeypatch, stream, table, whole, slice_rows
@@ -54,6 +55,21 @@ def test_a_stream_holds_one_slice_and_little_state(
     assert got == expected and got
 
 
+@pytest.mark.parametrize("slice_rows", [300, 1500, 10**9])
+def test_slices_of_reports_are_all_reports_in_order_of_time(spark, tables, monkeypatch, slice_rows):
+    untimed = spark.createDataFrame([(90, None, 1, "click", 70.0)], EVENTS)
+    untimed.write.mode("append").parquet(f"{tables}/events.parquet")
+    monkeypatch.setattr(entry_point, "SLICE_ROWS", slice_rows)
+    slices = [rows(s.na.fill(-1)) for s in entry_point._report_slices(spark, tables)]
+    assert sorted(r for s in slices for r in s) == rows(views.reports(spark, tables).na.fill(-1))
+    assert sum(r[1] == -1 for r in slices[0]) == views.REPORTS
+    times = [[r[1] for r in s if r[1] != -1] for s in slices]
+    assert all(max(a) < min(b) for a, b in zip(times, times[1:]))
+    # A slice from 0 on makes reports of the trips that began before.
+    late = views.reports(spark, tables, None, 0, 60)
+    assert rows(late) == rows(views.reports(spark, tables).where("time >= 0 and time < 60"))
+
+
 def test_slices_of_one_time_or_none(spark):
     same = spark.createDataFrame([(5, i) for i in range(8)], "ts long, seq long")
     assert sorted(r for s in entry_point._slices(same, "ts") for r in rows(s)) == rows(same)
