@@ -268,14 +268,14 @@ def _stream_running_word_count(spark: SparkSession, sf: str) -> DataFrame:
 
 def _stream_telematics_job(spark: SparkSession, sf: str) -> DataFrame:
     """The full job on a stream; its three outputs read back as one table."""
-    root, rows = scratch_dir(spark, "stream-job"), _all_reports(spark, sf)
-    source = BoundedInput(spark, root, rows.schema)
+    root, slices = scratch_dir(spark, "stream-job"), _report_slices(spark, sf)
+    source = BoundedInput(spark, root, slices[0].schema)
 
     def build(stream: DataFrame):
         timed = with_event_time(stream, "time", delay=ASCENDING)
         return stream_telematics(timed, f"{root}/out", f"{root}/checkpoint")
 
-    replay(source, _slices(rows, "time"), build, END_OF_REPORTS, spark.sparkContext.defaultParallelism)
+    replay(source, slices, build, END_OF_REPORTS, spark.sparkContext.defaultParallelism, lean=True)
     return findings_of(spark, f"{root}/out")
 
 

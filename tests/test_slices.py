@@ -31,6 +31,7 @@ def tables(spark, tmp_path):
 
 @pytest.mark.parametrize("stream, table, whole, slice_rows", [
     ("stream_running_word_count", "running_word_count", 121, 200),
+    ("stream_telematics_job", "telematics_findings", None, 1300),
     ("stream_accidents", "accidents_telematics", None, 1300),
 ])
 def test_a_stream_holds_one_slice_and_little_state(
